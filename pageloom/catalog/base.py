@@ -128,7 +128,7 @@ PRODUCTS_SQL = """
 products AS (
   SELECT l_partkey AS product_id, 's' || CAST(l_suppkey AS VARCHAR) AS site, l_shipdate AS scraped_at,
          CAST(l_extendedprice AS DECIMAL(12,2)) AS list_price,
-         CAST(round(l_extendedprice * (1 - l_discount), 2) AS DECIMAL(12,2)) AS selling_price,
+         CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(12,2)) AS selling_price,
          CAST(round(l_discount * 100) AS INTEGER) AS discount_percentage,
          l_returnflag AS flag, l_linestatus AS line_status, l_orderkey, l_linenumber, l_quantity, l_tax
   FROM lineitem)
@@ -139,7 +139,8 @@ def products(t: Tables) -> DataFrame:
     return t.lineitem.select(
         F.col("l_partkey").alias("product_id"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("site"),
         F.col("l_shipdate").alias("scraped_at"), F.col("l_extendedprice").cast("decimal(12,2)").alias("list_price"),
-        F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).cast("decimal(12,2)").alias("selling_price"),
+        F.round(F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)")), 2)
+        .cast("decimal(12,2)").alias("selling_price"),
         F.round(F.col("l_discount") * 100).cast("int").alias("discount_percentage"),
         F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("line_status"),
         "l_orderkey", "l_linenumber", "l_quantity", "l_tax",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pageloom.catalog.base import query
 from pageloom.functions import cleaning as K
 
-SELL = "CAST(round(l_extendedprice * (1 - l_discount), 2) AS DECIMAL(12,2))"
+SELL = "CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(12,2))"
 LIST = "CAST(l_extendedprice AS DECIMAL(12,2))"
 LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_shipdate"
 
@@ -17,7 +17,7 @@ def _line():
 
 
 def _sell():
-    return F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).cast(K.PRICE)
+    return F.round(_list() * (1 - F.col("l_discount").cast("decimal(4,2)")), 2).cast(K.PRICE)
 
 
 def _list():

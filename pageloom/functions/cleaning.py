@@ -42,7 +42,7 @@ def parse_price_digits(c: Column) -> Column:
 
 def price_pair(c: Column) -> Column:
     """(sell, list): the lower and higher of the first two currency prices; one price is the sell price."""
-    found = F.transform(F.regexp_extract_all(c, F.lit(CURRENCY_PRICE), F.lit(1)), _number)
+    found = F.transform(F.regexp_extract_all(c, F.lit(CURRENCY_PRICE), F.lit(1)), lambda p: _number(p))
     two = F.slice(found, 1, 2)
     return F.struct(
         F.array_min(two).alias("sell"),

@@ -53,7 +53,8 @@ def compare(df, con, sql):
     a, b = rows_of(got_names, got), rows_of(want_names, want)
     if a == b:
         return None
-    only_a, only_b = [r for r in a if r not in set(b)][:2], [r for r in b if r not in set(a)][:2]
+    in_a, in_b = set(a), set(b)
+    only_a, only_b = [r for r in a if r not in in_b][:2], [r for r in b if r not in in_a][:2]
     return f"rows {len(a)} vs {len(b)}; spark only {str(only_a)[:700]}; sql only {str(only_b)[:700]}"
 
 
