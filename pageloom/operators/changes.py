@@ -48,9 +48,9 @@ def expire_state(state: DataFrame, now: Column, days: int = 30) -> DataFrame:
 def detect_changes_ordered(state: DataFrame, batch: DataFrame, ts: str, tie: str, key: str = "url",
                            chunk_s: int = 24 * 3600) -> DataFrame:
     """Several versions of a URL in one batch, applied in time order; the first meets the state."""
-    lagged = lag_by_time(batch, [key], [ts, tie], "hash", ts, "__prev", chunk_s)
+    lagged = lag_by_time(batch, [key], [ts, tie], "hash", ts, "__before", chunk_s)
     known = state.select(key, F.col("hash").alias("__state"))
-    old = F.coalesce(F.col("__prev"), F.col("__state"))
+    old = F.coalesce(F.col("__before"), F.col("__state"))
     kind = _change_type(old, F.col("hash"))
     return lagged.join(known, key, "left").select(
         key, ts, tie, kind.alias("change_type"), old.alias("old_hash"), F.col("hash").alias("new_hash"),

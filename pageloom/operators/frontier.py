@@ -125,23 +125,20 @@ def expand_frontier(seeds: DataFrame, pages: DataFrame, config: DataFrame, metho
     for number in range(1, depth + 1):
         steps = config.filter(F.col("level") == number).select("project", "site", "method")
         todo = _dedup_level(level).join(steps, ["project", "site"])
-        found = []
+        if any(registry[m].kind == "links" for m in methods):
+            todo = todo.join(page_links, "url", "left")
+        # one branch for all methods, so that the plan grows with the depth only
+        urls = F.array().cast("array<string>")
         for name in methods:
-            mine = todo.filter(F.col("method") == name)
             method = registry[name]
             if method.kind == "pages":
-                urls = method.fn(F.col("url"))
+                mine = method.fn(F.col("url"))
             else:
-                mine = mine.join(page_links, "url")
-                urls = link_array(F.col("url"), F.col("__hrefs"), method.fn)
-            found.append(
-                mine.select(
-                    "project", "site", "schedule_id", F.col("url").alias("parent_url"), F.posexplode(urls).alias("__p", "url")
-                ).select(*FRONTIER_KEY, (F.col("__p") + 1).alias("rank"), "parent_url")
-            )
-        level = found[0]
-        for more in found[1:]:
-            level = level.unionByName(more)
+                mine = F.coalesce(link_array(F.col("url"), F.col("__hrefs"), method.fn), F.array().cast("array<string>"))
+            urls = F.when(F.col("method") == name, mine).otherwise(urls)
+        level = todo.select(
+            "project", "site", "schedule_id", F.col("url").alias("parent_url"), F.posexplode(urls).alias("__p", "url")
+        ).select(*FRONTIER_KEY, (F.col("__p") + 1).alias("rank"), "parent_url")
     return level.withColumn("depth", F.lit(depth))
 
 

@@ -76,13 +76,6 @@ def size_gap(supply: DataFrame, demand: DataFrame, category: str = "category", s
     )
 
 
-def _mentions(text: Column, words: Sequence[str]) -> Column:
-    """The vocabulary words in a text, whole words only, each at most once."""
-    low = F.lower(text)
-    hits = [F.when(low.rlike(rf"(?<![a-z0-9]){w.lower()}(?![a-z0-9])"), F.lit(w)) for w in words]
-    return F.array_compact(F.array(*hits))
-
-
 def tokens(text: Column) -> Column:
     """Lower-cased ASCII word tokens."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"([a-z0-9]+)"), F.lit(1))
@@ -95,8 +88,10 @@ def mentions(df: DataFrame, text: str, vocab: Sequence[str], keep: Sequence[str]
 
 
 def phrase_mentions(df: DataFrame, text: str, phrases: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """As `mentions` for terms of several words."""
-    return df.select(*keep, F.explode(_mentions(F.col(text), phrases)).alias("term"))
+    """As `mentions` for terms of several words: whole words, in sequence."""
+    padded = F.concat(F.lit(" "), F.array_join(tokens(F.col(text)), " "), F.lit(" "))
+    hits = [F.when(F.contains(F.col("__text"), F.lit(f" {p.lower()} ")), F.lit(p)) for p in phrases]
+    return df.select(*keep, padded.alias("__text")).select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("term"))
 
 
 def week_of(ts: Column) -> Column:
@@ -127,7 +122,7 @@ def heatmap(articles: DataFrame, products: DataFrame, on: Sequence[str]) -> Data
     return a.join(p, keys, "full_outer").select(
         *keys, F.coalesce("articles", zero).cast("bigint").alias("articles"),
         F.coalesce("skus", zero).cast("bigint").alias("skus"),
-        F.try_divide(F.col("articles").cast("double"), F.col("skus").cast("double")).alias("ratio"),
+        F.try_divide(F.coalesce("articles", zero).cast("double"), F.col("skus").cast("double")).alias("ratio"),
     )
 
 
@@ -165,21 +160,21 @@ def lag_corr(a: DataFrame, b: DataFrame, key: str, step: str, value: str = "n",
     )
 
 
-def repricing_corr(prices: DataFrame, max_lag: int = 8, site: str = "site", category: str = "category",
+def repricing_corr(prices: DataFrame, pairs: DataFrame, max_lag: int = 8, site: str = "site", category: str = "category",
                    step: str = "step", value: str = "avg_price") -> DataFrame:
-    """Cross-correlation of average-price changes between pairs of sites, by category.
+    """Cross-correlation of average-price changes of a leading and a following site, by category.
 
-    Works on one average for each (category, site, step); sites are paired through
-    the join on category and step.
+    `prices` has one average for each (category, site, step); `pairs` (leader,
+    follower) names the site pairs to look at.
     """
     w = W.partitionBy(category, site).orderBy(step)
     deltas = prices.withColumn("d", F.col(value) - F.lag(value).over(w)).filter(F.col("d").isNotNull())
-    lead = deltas.select(category, F.col(site).alias("leader"), F.col("d").alias("x"),
-                         F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("lag"), F.col(step).alias("__t"))
+    lead = deltas.select(category, F.col(site).alias("leader"), F.col("d").alias("x"), F.col(step).alias("__t"),
+                         F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("lag")).join(pairs, "leader")
     lead = lead.withColumn(step, F.col("__t") + F.col("lag"))
     follow = deltas.select(category, F.col(site).alias("follower"), F.col("d").alias("y"), step)
     return (
-        lead.join(follow, [category, step]).filter(F.col("leader") != F.col("follower"))
+        lead.join(follow, [category, "follower", step])
         .groupBy(category, "leader", "follower", "lag")
         .agg(F.corr("x", "y").alias("corr"), F.count("*").alias("n_pairs"))
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,23 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pageloom_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="pageloom-"), "pageloom.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    sc._pageloom_shipped = True
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/pageloom/{purpose}-{uuid.uuid4().hex}"
 

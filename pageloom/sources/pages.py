@@ -12,8 +12,8 @@ def read_pages(spark: SparkSession, root: str, pattern: str = "*.html.gz") -> Da
     """HTML files under `{project}/{domain}/{date}/{md5}.html[.gz]`. gzip is undone by the file source."""
     path = F.col("_metadata.file_path")
     part = lambda i: F.regexp_extract(path, r"([^/]+)/([^/]+)/([^/]+)/([^/]+?)\.html(?:\.gz)?$", i)
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    return files.text(root).select(
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
+    return files.select(
         part(1).alias("project"), part(2).alias("domain"), part(3).alias("date"), part(4).alias("url_md5"),
         F.col("value").alias("html"),
     )

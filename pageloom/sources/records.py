@@ -177,7 +177,7 @@ def _yaml_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_config_files(spark: SparkSession, root: str) -> DataFrame:
     """YAML files as JSON text, with project and site from `{project}/{site}_{project}.yml`."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.yml").text(root)
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.yml")
     rows = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")).mapInPandas(
         _yaml_rows, "path string, config string, error string"
     )

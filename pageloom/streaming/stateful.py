@@ -6,14 +6,19 @@ the state carries on. State sits in RocksDB, one small row for each key.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pageloom.operators.health import EMA_ALPHA, FAIL_THRESHOLD, LATENCY_ALPHA, LATENCY_START
 
+# the process that sets up state on the driver does not see files added to the session
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DAY_MS = 24 * 3600 * 1000
 CHANGES = "url string, ts timestamp, tie bigint, change_type string, old_hash string, new_hash string, changed boolean"
 HEALTH = "endpoint bigint, ema_rate double, ema_latency_ms double, consecutive_fails bigint, total_requests bigint, cb_tripped boolean"

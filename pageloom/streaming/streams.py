@@ -34,26 +34,46 @@ def stream_pages(spark: SparkSession, path: str, schema, workers: int = 8, patte
     return stream_table(spark, path, schema, max(2 * workers, MIN_WINDOW), pattern)
 
 
-def drain(df: DataFrame, purpose: str) -> DataFrame:
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def _run(writer, spark: SparkSession, idle_batches: bool):
+    """Start, and wait for the end of the input.
+
+    Keyed state with a TTL asks for another batch for ever, so a run to the end
+    of the input goes without idle batches; windows need them to close.
+    """
+    before = spark.conf.get(IDLE_BATCHES)
+    spark.conf.set(IDLE_BATCHES, str(idle_batches).lower())
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(IDLE_BATCHES, before)
+    query.awaitTermination()
+    return query
+
+
+def drain(df: DataFrame, purpose: str, idle_batches: bool = True) -> DataFrame:
     """Process all input there is, in micro-batches, into an append-only file table and read it back."""
     spark = df.sparkSession
     out = new_folder(spark, purpose)
-    query = (
-        df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-        .option("path", f"{out}/data").option("checkpointLocation", f"{out}/checkpoint").start()
+    writer = (
+        df.writeStream.format("parquet").outputMode("append")
+        .option("path", f"{out}/data").option("checkpointLocation", f"{out}/checkpoint")
     )
-    query.awaitTermination()
+    _run(writer, spark, idle_batches)
     return spark.read.schema(df.schema).parquet(f"{out}/data")
 
 
-def run_batches(df: DataFrame, purpose: str, handle: Callable[[DataFrame, int, str], None], mode: str = "append") -> str:
+def run_batches(df: DataFrame, purpose: str, handle: Callable[[DataFrame, int, str], None], mode: str = "append",
+                idle_batches: bool = True) -> str:
     """Process all input there is, giving each micro-batch to `handle(batch, batch_id, folder)`."""
     out = new_folder(df.sparkSession, purpose)
-    query = (
-        df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", f"{out}/checkpoint")
-        .foreachBatch(lambda batch, batch_id: handle(batch, batch_id, out)).start()
+    writer = (
+        df.writeStream.outputMode(mode).option("checkpointLocation", f"{out}/checkpoint")
+        .foreachBatch(lambda batch, batch_id: handle(batch, batch_id, out))
     )
-    query.awaitTermination()
+    _run(writer, df.sparkSession, idle_batches)
     return out
 
 
