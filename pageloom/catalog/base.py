@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.session import ship_package
+from pageloom.session import ship_package, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,8 +22,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{name}.parquet"
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """A table ahead of a CPU-heavy step; only a small scan is repartitioned."""
+        df = getattr(self, name)
+        return spread(df.select(*columns) if columns else df)
 
 
 def query(name: str, sql: str | None = None):

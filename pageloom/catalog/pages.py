@@ -44,7 +44,7 @@ firsts AS (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY page_id) AS r
 SELECT domain, count(*) AS docs, CAST(sum(text_len) AS BIGINT) AS text_chars, round(avg(title_len), 6) AS avg_title_len
 FROM firsts WHERE rn = 1 GROUP BY domain ORDER BY docs DESC, domain LIMIT 20""")
 def digest(t):
-    return domain_digest(t.pages)
+    return domain_digest(t.spread("pages"))
 
 
 # ---- classes -------------------------------------------------------------------------------
@@ -58,7 +58,7 @@ def _doc_status():
 
 @query("is_challenge_page", "SELECT doc_id, regexp_matches(lower(left(text, 8000)), '" + "|".join(C.CHALLENGE_SIGNALS).replace(".", "\\.") + "') AS challenge FROM documents")
 def is_challenge_page(t):
-    return t.documents.select("doc_id", C.is_challenge_page(F.col("text")).alias("challenge"))
+    return t.spread("documents", "doc_id", "lang", "text").select("doc_id", C.is_challenge_page(F.col("text")).alias("challenge"))
 
 
 @query("is_blocked", f"""
@@ -66,12 +66,12 @@ SELECT doc_id, CASE WHEN {_DOC_STATUS} IN (403, 407, 429, 503) THEN true WHEN {_
   ELSE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) < 500 OR regexp_matches(lower(text), '{"|".join(C.BLOCK_SIGNALS)}') END AS blocked
 FROM documents""")
 def is_blocked(t):
-    return t.documents.select("doc_id", C.is_blocked(_doc_status(), F.col("text")).alias("blocked"))
+    return t.spread("documents", "doc_id", "lang", "text").select("doc_id", C.is_blocked(_doc_status(), F.col("text")).alias("blocked"))
 
 
 @query("is_ok", f"SELECT doc_id, {_DOC_STATUS} = 200 AND trim(text) <> '' AS ok FROM documents")
 def is_ok(t):
-    return t.documents.select("doc_id", C.is_ok(_doc_status(), F.col("text")).alias("ok"))
+    return t.spread("documents", "doc_id", "lang", "text").select("doc_id", C.is_ok(_doc_status(), F.col("text")).alias("ok"))
 
 
 @query("retryable", f"""
@@ -100,7 +100,7 @@ def title_and_h1(t):
 
 @query("container_text", f"SELECT page_id, nullif({ARTICLE}, '') AS body FROM pages")
 def container_text(t):
-    return t.pages.select("page_id", H.container_text(F.col("html"), "article").alias("body"))
+    return t.spread("pages").select("page_id", H.container_text(F.col("html"), "article").alias("body"))
 
 
 @query("text_with_class", f"""
@@ -116,7 +116,7 @@ def script_value(t):
 
 @query("strip_html", f"SELECT page_id, {sql_strip('html')} AS text FROM pages")
 def strip_html(t):
-    return t.pages.select("page_id", H.strip_html(F.col("html")).alias("text"))
+    return t.spread("pages").select("page_id", H.strip_html(F.col("html")).alias("text"))
 
 
 @query("split_sections", """

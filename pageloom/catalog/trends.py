@@ -88,7 +88,7 @@ _TERMS = f"{_DATED}, terms AS (SELECT doc_id, source, lang, ts, term FROM (SELEC
 
 def dated(t):
     days = F.least(F.floor(F.col("n_chars") / 25), F.lit(200)).cast("int")
-    return t.documents.select("doc_id", "source", "lang", "text", (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days)).alias("ts"))
+    return t.spread("documents").select("doc_id", "source", "lang", "text", (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days)).alias("ts"))
 
 
 def terms(t):
@@ -113,7 +113,7 @@ def keyword_peaks(t):
 WITH p AS (SELECT doc_id, ' ' || array_to_string({_TOK}, ' ') || ' ' AS padded FROM documents)
 SELECT doc_id, term FROM p, (VALUES ('of the'), ('de la'), ('in the'), ('and the')) AS v(term) WHERE contains(padded, ' ' || term || ' ')""")
 def phrase_mentions(t):
-    return TR.phrase_mentions(t.documents, "text", ["of the", "de la", "in the", "and the"], ["doc_id"])
+    return TR.phrase_mentions(t.spread("documents", "doc_id", "text"), "text", ["of the", "de la", "in the", "and the"], ["doc_id"])
 
 
 @query("trend_heatmap", f"""
@@ -163,7 +163,7 @@ WITH heads AS (SELECT doc_id, regexp_extract_all(lower(split_part(text, '.', 1))
 tok AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM heads), g AS ({_GRAMS})
 SELECT ngram, count(*) AS n FROM g WHERE ngram IS NOT NULL GROUP BY ngram HAVING count(*) > 1""")
 def headline_ngrams(t):
-    heads = t.documents.select("doc_id", F.split_part(F.col("text"), F.lit("."), F.lit(1)).alias("head"))
+    heads = t.spread("documents", "doc_id", "text").select("doc_id", F.split_part(F.col("text"), F.lit("."), F.lit(1)).alias("head"))
     return TR.headline_ngrams(heads, "head", keep=["doc_id"]).groupBy("ngram").agg(F.count("*").alias("n")).filter("n > 1")
 
 

@@ -40,11 +40,16 @@ RETRY_STATUSES = [429, 500, 502, 503, 504]
 
 
 def _any_of(signals: Sequence[str]) -> str:
-    return "|".join(re.escape(s) for s in signals)
+    """One pattern for all texts, branched on the first character so that most positions fail at once."""
+    by_first: dict[str, list[str]] = {}
+    for s in signals:
+        by_first.setdefault(s[0], []).append(re.escape(s[1:]))
+    firsts = "".join(re.escape(c) for c in by_first)
+    return f"(?=[{firsts}])(?:" + "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in by_first.items()) + ")"
 
 
 def strip_space(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.trim(c, F.lit(" \t\n\r\f\x0b"))
 
 
 def is_challenge_page(html: Column, sample: int = 8000) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, functions as F
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 LINK_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["']"""
-HIDDEN_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
+HIDDEN_PATTERN = r"(?is)<(?:!--.*?--|script\b.*?</script|style\b.*?</style)>"
 
 
 def _null_if_blank(c: Column) -> Column:

@@ -94,7 +94,8 @@ def lag_by_time(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     pieces = df.withColumn(CHUNK, time_chunk(F.col(ts), chunk_s))
     w = W.partitionBy(*keys, CHUNK).orderBy(*order)
     rows = pieces.withColumn("__rn", F.row_number().over(w)).withColumn("__prev", F.lag(value).over(w))
-    ends = pieces.groupBy(*keys, CHUNK).agg(F.max_by(F.col(value), F.struct(*order)).alias("__end"))
+    # from the windowed rows, which are partitioned for this already
+    ends = rows.groupBy(*keys, CHUNK).agg(F.max_by(F.col(value), F.col("__rn")).alias("__end"))
     carry = ends.select(
         *keys, CHUNK, F.lag("__end").over(W.partitionBy(*keys).orderBy(CHUNK)).alias("__carry")
     )
@@ -172,13 +173,18 @@ def rank_by_number(df: DataFrame, keys: Sequence[str], number: str, out: str, wi
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, salts: int = 32,
                   spread_by: Sequence[str] = ()) -> DataFrame:
-    """First n rows of each group. Groups are cut into salted pieces first, so a hot group uses many tasks."""
-    salt = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(salts))
-    pieces = df.withColumn("__salt", salt)
-    head = F.row_number().over(W.partitionBy(*keys, "__salt").orderBy(*order))
-    kept = pieces.withColumn("__r", head).filter(F.col("__r") <= n)
+    """First n rows of each group.
+
+    Up to Spark's limit for it, every map task drops all but its own first n rows
+    of a group before the shuffle. Beyond that, groups are first cut into salted
+    pieces, so a hot group uses many tasks.
+    """
     place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return kept.withColumn("__r", place).filter(F.col("__r") <= n).drop("__r", "__salt")
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        salt = F.pmod(F.xxhash64(*(spread_by or df.columns)), F.lit(salts))
+        head = F.row_number().over(W.partitionBy(*keys, "__salt").orderBy(*order))
+        df = df.withColumn("__salt", salt).withColumn("__r", head).filter(F.col("__r") <= n).drop("__salt")
+    return df.withColumn("__r", place).filter(F.col("__r") <= n).drop("__r")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
