@@ -60,12 +60,8 @@ def is_challenge_page(html: Column, sample: int = 8000) -> Column:
 def is_blocked(status: Column, html: Column, min_len: int = 500) -> Column:
     """A blocking status; or a 200 that is too short or holds a block text anywhere."""
     body = F.coalesce(html, F.lit(""))
-    return (
-        F.when(status.isin(BLOCK_STATUSES), True)
-        .when(status != 200, False)
-        .when(F.length(strip_space(body)) < min_len, True)
-        .otherwise(F.coalesce((status == 200) & F.lower(body).rlike(_any_of(BLOCK_SIGNALS)), F.lit(False)))
-    )
+    bad_body = (F.length(strip_space(body)) < min_len) | F.lower(body).rlike(_any_of(BLOCK_SIGNALS))
+    return F.when(status.isin(BLOCK_STATUSES), True).when(status == 200, bad_body).otherwise(False)
 
 
 def is_ok(status: Column, html: Column) -> Column:

@@ -122,7 +122,7 @@ class Page(HTMLParser):
         return [(n, n.text if n.tag is None else self.string(n)) for n in current]
 
 
-_STEP = re.compile(r"(//|/)(following-sibling::)?(@?[\w:-]+(?:\(\))?|\*)")
+_STEP = re.compile(r"(//|/)(following-sibling::)?(@?[\w-]+(?:\(\))?|\*)")
 
 
 def _split(text: str, separators: str) -> list[str]:

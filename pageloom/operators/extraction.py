@@ -156,7 +156,7 @@ def _typed(rule: Rule, value: Column) -> Column:
     if rule.post:
         value = POSTS[rule.post](value)
     wanted = FIELD_TYPES.get(rule.field)
-    return value.try_cast(wanted) if wanted else value
+    return value.try_cast(wanted) if wanted else F.nullif(F.trim(value.cast("string")), F.lit(""))
 
 
 def extract_fields(pages: DataFrame, rule_sets: dict[str, list[Rule]] | None = None, keep: Sequence[str] = ("page_id",),
@@ -192,7 +192,7 @@ def extract_fields(pages: DataFrame, rule_sets: dict[str, list[Rule]] | None = N
                     later[r.kind].setdefault(field, []).append((name, r.rule))
                 elif r.kind in DOM_KINDS:
                     slot = dom_plan[name].index(r)
-                    chain.append(_typed(r, F.col("__dom.values")[slot]))
+                    chain.append(_typed(r, F.get(F.col("__dom.values"), F.lit(slot))))
                 else:
                     chain.append(_typed(r, sources.value(r)))
             if chain:

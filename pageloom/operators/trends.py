@@ -139,14 +139,13 @@ def period_delta(df: DataFrame, keys: Sequence[str], period: str) -> DataFrame:
 def headline_ngrams(df: DataFrame, text: str, lo: int = 2, hi: int = 4, keep: Sequence[str] = ()) -> DataFrame:
     """Word n-grams as rows; made inside the row, so only counts are shuffled."""
     words = F.col("__w")
-    grams = [
-        F.when(
-            F.size(words) >= n,
-            F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i, n=n: F.array_join(F.slice(words, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(lo, hi + 1)
-    ]
-    return df.select(*keep, tokens(F.col(text)).alias("__w")).select(*keep, F.explode(F.concat(*grams)).alias("ngram"))
+
+    def grams(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+        found = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, found).otherwise(F.array().cast("array<string>"))
+
+    return df.select(*keep, tokens(F.col(text)).alias("__w")).select(*keep, F.explode(F.concat(*[grams(n) for n in range(lo, hi + 1)])).alias("ngram"))
 
 
 def lag_corr(a: DataFrame, b: DataFrame, key: str, step: str, value: str = "n", max_lag: int = 8) -> DataFrame:

@@ -45,6 +45,11 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Times are compared and formatted in UTC, whatever the machine's zone."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each application."""
     sc = spark.sparkContext
