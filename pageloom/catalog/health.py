@@ -142,3 +142,16 @@ def queue_depths(t):
     dlq = t.events.filter(F.col("event_type") == "error").select(F.when(F.col("value") < 20, "discovery").otherwise("retriever").alias("stage"))
     stages = t.spark.createDataFrame([("discovery",), ("retriever",), ("parser",)], "stage string")
     return HE.queue_depths(dlq, stages)
+
+
+@query("publish_latency_histogram", _histogram(HE.PUBLISH_BUCKETS, "latency_ms / 1000"))
+def publish_latency_histogram(t):
+    return HE.latency_histogram(domain_log(t), HE.PUBLISH_BUCKETS)
+
+
+@query("pipeline_counters", f"""
+WITH {LOG_SQL}
+SELECT domain, count(*) AS urls_discovered, count(*) - count(DISTINCT endpoint) AS urls_deduplicated, count(*) FILTER (WHERE ok) AS pages_fetched,
+       count(*) FILTER (WHERE NOT ok) AS dead_letters FROM log GROUP BY domain""")
+def pipeline_counters(t):
+    return HE.pipeline_counters(fetch_log(t), "endpoint")

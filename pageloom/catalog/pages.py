@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pageloom.catalog.base import LOG_SQL, fetch_log, query
 from pageloom.functions import classify as C, cleaning as K, embedded as E, html as H, urls as U
 from pageloom.operators import extraction as X
-from pageloom.plans.crawl import domain_digest
+from pageloom.plans.crawl import domain_digest, records_of_crawl
 from pageloom.plans.rules import RULE_SETS
 from pageloom.session import spread
 
@@ -355,3 +355,26 @@ def coalesce_chain(t):
     return t.documents.select("doc_id", K.first_non_empty(
         F.when(lang == "en", F.col("source")).otherwise(""), F.when(lang == "de", F.concat(F.lit(" "), lang)).otherwise("  "), F.lit("none")
     ).alias("picked"))
+
+
+# ---- the whole flow --------------------------------------------------------------------------
+
+@query("crawl_records", f"""
+SELECT 'media_crawl' AS project, CASE WHEN contains(url, '.org') THEN 'org' ELSE 'net' END AS site, 's1' AS schedule_id, url AS page_url, page_id,
+       nullif(trim({sql_unescape(sql_tag('h1'))}), '') AS article_title, nullif(trim({sql_unescape(sql_tag('title'))}), '') AS head_title
+FROM pages WHERE NOT ({BLOCKED}) AND NOT contains(html, '<html lang="de"') AND (contains(url, '.org') OR contains(url, '.net'))""")
+def crawl_records(t):
+    """Seeds, frontier, change check, extraction. German pages were crawled before and are unchanged."""
+    pages = t.spread("pages")
+    site = F.when(F.contains("url", F.lit(".org")), "org").otherwise("net")
+    seeds = pages.filter(F.contains("url", F.lit(".org")) | F.contains("url", F.lit(".net"))).select(
+        F.lit("media_crawl").alias("project"), site.alias("site"), F.lit("s1").alias("schedule_id"), "url"
+    )
+    config = t.spark.createDataFrame(
+        [("media_crawl", s, level, "seed_only") for s in ("org", "net") for level in (1, 2)],
+        "project string, site string, level int, method string",
+    )
+    german = pages.filter(F.contains("html", F.lit('<html lang="de"'))).select("url", F.md5(F.encode("html", "UTF-8")).alias("hash"))
+    rules = {"page": [r for r in PAGE_RULES["page"] if r.field in ("article_title", "head_title")]}
+    out = records_of_crawl(seeds, pages, config, ["seed_only"], F.lit("page"), german, rules)
+    return out.select("project", "site", "schedule_id", "page_url", "page_id", "article_title", "head_title")

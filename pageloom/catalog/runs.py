@@ -111,6 +111,18 @@ def newest_runs(t):
     return R.newest(t.orders.select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], 50)
 
 
+@query("dispatch_log", """
+SELECT o_custkey AS site, o_orderkey AS schedule_id, CAST(left(o_orderpriority, 1) AS INTEGER) AS priority, o_orderdate AS dispatched_at FROM orders
+WHERE o_orderdate > TIMESTAMP '2001-08-01 00:00:00' - INTERVAL 48 HOUR ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 200""")
+def dispatch_log(t):
+    """Dispatches of the last 48 hours, newest first, at most the 200 the report shows."""
+    recent = t.orders.filter(F.col("o_orderdate") > F.lit("2001-07-30 00:00:00").cast("timestamp_ntz"))
+    return R.newest(recent, ["o_orderdate", "o_orderkey"], 200).select(
+        F.col("o_custkey").alias("site"), F.col("o_orderkey").alias("schedule_id"),
+        F.left("o_orderpriority", F.lit(1)).cast("int").alias("priority"), F.col("o_orderdate").alias("dispatched_at"),
+    )
+
+
 @query("custom_order", """
 SELECT o_orderkey, o_orderstatus, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'F' THEN 1 ELSE 2 END AS sort_rank FROM orders""")
 def custom_order(t):

@@ -137,15 +137,17 @@ def sitemap_text(t):
 
 
 @query("listing_items", """
-WITH i AS (SELECT o_custkey, p, min(pos) AS pos FROM (
-  SELECT o_custkey, '/p/' || left(o_orderpriority, 1) || o_orderstatus AS p, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos FROM orders) GROUP BY 1, 2)
-SELECT o_custkey, 3 AS page, CAST(135 + row_number() OVER (PARTITION BY o_custkey ORDER BY pos) AS INTEGER) AS rank, 'https://shop.example' || p AS url FROM i""")
+SELECT p_partkey, 3 AS page, CAST(135 + i AS INTEGER) AS rank, 'https://shop.example/p/' || x AS url FROM (
+  SELECT p_partkey, unnest([1, 2, 3]) AS i, unnest([CAST(p_partkey AS VARCHAR), p_brand, p_type]) AS x FROM part)""")
 def listing_items(t):
-    """Listing payloads made of each customer's orders: rank = page x 45 + position, repeats dropped."""
-    item = F.struct("o_orderkey", F.concat(F.lit("/p/"), F.left("o_orderpriority", F.lit(1)), F.col("o_orderstatus")).alias("url"))
-    payload = t.orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(item)).alias("products"))
-    body = F.to_json(F.struct("products", F.struct(F.lit(3).alias("currentPage")).alias("pagination")))
-    return SP.listing_items(payload.select("o_custkey", body.alias("j")), "j", site_root="https://shop.example", keep=("o_custkey",))
+    """A listing payload of each part: rank = page x 45 + position, blank and repeated items dropped."""
+    item = lambda c: F.struct(F.concat(F.lit("/p/"), c).alias("url"), F.col("p_name").alias("title"))
+    blank = F.struct(F.lit("").alias("url"), F.lit("x").alias("title"))
+    key, brand, kind = F.col("p_partkey").cast("string"), F.col("p_brand"), F.col("p_type")
+    body = F.to_json(F.struct(
+        F.array(item(key), blank, item(brand), item(key), item(kind)).alias("products"), F.struct(F.lit(3).alias("currentPage")).alias("pagination")
+    ))
+    return SP.listing_items(t.part.select("p_partkey", body.alias("j")), "j", site_root="https://shop.example", keep=("p_partkey",))
 
 
 @query("listing_articles", """

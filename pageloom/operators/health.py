@@ -142,6 +142,20 @@ def fetch_counters(log: DataFrame) -> DataFrame:
     return log.groupBy("domain", kind.alias("error_type")).agg(F.count("*").alias("n"))
 
 
+def pipeline_counters(log: DataFrame, item: str, by: str = "domain") -> DataFrame:
+    """Found, repeated, fetched and failed items of each domain.
+
+    Counted by (domain, item) first: repeats collapse before the second shuffle.
+    """
+    per_item = log.groupBy(by, item).agg(F.count("*").alias("n"), F.count_if("ok").alias("good"))
+    return per_item.groupBy(by).agg(
+        F.sum("n").alias("urls_discovered"),
+        (F.sum("n") - F.count("*")).alias("urls_deduplicated"),
+        F.sum("good").alias("pages_fetched"),
+        (F.sum("n") - F.sum("good")).alias("dead_letters"),
+    )
+
+
 def latency_histogram(log: DataFrame, buckets: Sequence[float] = FETCH_BUCKETS, by: str = "domain",
                       seconds: Column | None = None) -> DataFrame:
     """Cumulative `le` counts, one row for each bound and +Inf."""

@@ -11,16 +11,21 @@ from pageloom.operators import changes as CH, extraction as X, frontier as FR
 
 
 def records_of_crawl(seeds: DataFrame, pages: DataFrame, config: DataFrame, methods: Sequence[str], rule_set: Column,
-                     state: DataFrame | None = None) -> DataFrame:
-    """Seeds to records. Blocked and unchanged pages are dropped before any page is parsed."""
-    found = FR.expand_frontier(seeds, pages, config, methods).select("project", "site", "schedule_id", "url", "rank")
-    wanted = FR.dedup_in_run(found)
+                     state: DataFrame | None = None, rule_sets: dict | None = None) -> DataFrame:
+    """Seeds to records. `rule_set` is a column over url.
+
+    Blocked and unchanged pages are dropped before any page is parsed, and pages
+    are turned into records before the frontier is joined, so page text stays
+    where it was read unless the changed set is too large to broadcast.
+    """
+    found = FR.expand_frontier(seeds, pages, config, methods).select("project", "site", "schedule_id", "url")
+    wanted = FR.dedup_in_run(found, ("project", "site", "schedule_id", "url"))
     usable = pages.filter(~C.is_blocked(F.lit(200), F.col("html")))
     if state is not None:
         batch = usable.select("url", CH.content_hash(F.col("html")).alias("hash"))
         usable = CH.changed_pages(usable, CH.detect_changes(state, batch))
-    fetched = wanted.join(usable, "url").withColumn("rule_set", rule_set)
-    return X.extract_fields(fetched, keep=("project", "site", "schedule_id", "page_id"))
+    records = X.extract_fields(usable.withColumn("rule_set", rule_set), rule_sets)
+    return wanted.withColumnRenamed("url", "page_url").join(records, "page_url")
 
 
 def domain_digest(pages: DataFrame, top: int = 20) -> DataFrame:

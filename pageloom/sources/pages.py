@@ -22,17 +22,16 @@ def read_pages(spark: SparkSession, root: str, pattern: str = "*.html.gz") -> Da
 def write_pages(pages: DataFrame, path: str) -> None:
     """Pages by project, domain and date; a second write of a day replaces that day.
 
-    Rows are clustered on the partition columns and split by url hash, so a large
-    domain gives several files and no task holds a whole domain.
+    Rows are clustered on the partition columns by a rebalance, so that run-time
+    statistics join small domains into one task and split a large one over many.
     """
     rows = pages.withColumns({
         "domain": U.domain(F.col("url")),
         "date": F.to_date("fetched_at"),
         "url_md5": U.url_hash(F.col("url")),
     })
-    shard = F.substring("url_md5", 1, 1)
     (
-        rows.repartition("project", "domain", "date", shard)
+        rows.hint("rebalance", "project", "domain", "date")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("project", "domain", "date").parquet(path)
     )
