@@ -29,7 +29,8 @@ DOM_KINDS = {"xpath", "css", "python"}
 class Rule:
     """One candidate for a field. Candidates of a field are tried in table order.
 
-    kind: xpath, css, python | meta, ldjson, next, state, regex, script, url, column, const | field, discount.
+    kind: xpath, css, python | meta, ldjson, next, state, apollo, regex, script, url, column, const | field, discount.
+    An apollo rule is a path into the article entity, `path->path` to follow a reference, or `prefix*path`.
     A field rule names another field, or is a function that gives a column over the other fields.
     take: first, first_text (skips blanks), join, count. post: a name in POSTS.
     """
@@ -117,28 +118,56 @@ class _Sources:
 
     def __init__(self, rules: Sequence[Rule]):
         self.columns: dict[str, Column] = {}
+        self.second: dict[str, Column] = {}
         html = F.col("html")
         for r in rules:
+            name = self.name(r)
+            if not name or name in self.columns:
+                continue
             if r.kind == "ldjson":
-                types = tuple(r.rule[1:]) or ("Product", "product")
-                self.columns.setdefault("__ld_" + "_".join(types), E.ld_json(html, types))
+                self.columns[name] = E.ld_json(html, self.types(r))
             elif r.kind == "next":
-                self.columns.setdefault("__next", F.try_parse_json(E.next_json(html)))
+                self.columns[name] = F.try_parse_json(E.next_json(html))
             elif r.kind == "state":
-                self.columns.setdefault(f"__state_{r.rule[0]}", F.try_parse_json(E.embedded_state(html, r.rule[0])))
+                self.columns[name] = F.try_parse_json(E.embedded_state(html, r.rule[0]))
+            elif r.kind == "apollo":
+                self.columns[name] = E.apollo_cache(html)
+                self.second["__entity"] = E.apollo_entity(F.col(name), "LocalNewsArticle")
+
+    @staticmethod
+    def types(r: Rule) -> tuple[str, ...]:
+        return tuple(r.rule[1:]) or ("Product", "product")
+
+    def name(self, r: Rule) -> str | None:
+        """Column that holds the parsed JSON a rule reads."""
+        if r.kind == "ldjson":
+            return "__ld_" + "_".join(self.types(r))
+        if r.kind == "state":
+            return f"__state_{r.rule[0]}"
+        return {"next": "__next", "apollo": "__cache"}.get(r.kind)
 
     def value(self, r: Rule) -> Column:
         html = F.col("html")
         if r.kind == "meta":
             return H.meta(html, r.rule)
+        source = F.col(f"`{self.name(r)}`")
         if r.kind == "ldjson":
-            types = tuple(r.rule[1:]) or ("Product", "product")
-            source = F.col("`__ld_" + "_".join(types) + "`")
-            return K.authors(F.try_variant_get(source, r.rule[0], "variant"))
+            if r.rule[0].endswith((".author", ".brand")):  # text, object or list of objects
+                return K.authors(F.try_variant_get(source, r.rule[0], "variant"))
+            return E.field(source, r.rule[0])
         if r.kind == "next":
-            return E.field(F.col("__next"), r.rule)
+            return E.field(source, r.rule)
         if r.kind == "state":
-            return E.field(F.col(f"`__state_{r.rule[0]}`"), r.rule[1])
+            return E.field(source, r.rule[1])
+        if r.kind == "apollo":
+            entity = F.col("__entity")
+            if "->" in r.rule:
+                ref, path = r.rule.split("->")
+                return E.field(E.apollo_ref(F.col("__cache"), entity, ref), path)
+            if "*" in r.rule:
+                prefix, path = r.rule.split("*")
+                return E.field(E.by_prefix(entity, prefix), path)
+            return E.field(entity, r.rule)
         if r.kind == "regex":
             return F.nullif(F.regexp_extract(html, r.rule, 1), F.lit(""))
         if r.kind == "script":
@@ -177,7 +206,8 @@ def extract_fields(pages: DataFrame, rule_sets: dict[str, list[Rule]] | None = N
         df = df.withColumn("__dom", F.struct(
             F.array().cast("array<string>").alias("values"), F.array().cast("array<string>").alias("errors")
         ))
-    df = df.withColumns(sources.columns) if sources.columns else df
+    for columns in (sources.columns, sources.second):
+        df = df.withColumns(columns) if columns else df
 
     fields = list(dict.fromkeys(r.field for r in everything))
     base, later = {}, {"field": {}, "discount": {}}

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pageloom.functions import html as H, pagination as P, urls as U
+from pageloom.operators.joins import checked_broadcast
 from pageloom.operators.scans import first_per_key, rank_by_number
 
 FRONTIER_KEY = ["project", "site", "schedule_id", "url"]
@@ -123,7 +124,7 @@ def expand_frontier(seeds: DataFrame, pages: DataFrame, config: DataFrame, metho
         *FRONTIER_KEY, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("parent_url")
     )
     for number in range(1, depth + 1):
-        steps = config.filter(F.col("level") == number).select("project", "site", "method")
+        steps = checked_broadcast(config.filter(F.col("level") == number).select("project", "site", "method"))
         todo = _dedup_level(level).join(steps, ["project", "site"])
         if any(registry[m].kind == "links" for m in methods):
             todo = todo.join(page_links, "url", "left")

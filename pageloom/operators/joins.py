@@ -1,6 +1,10 @@
-"""Joins of the data model. No join carries a broadcast hint: Spark's own size
-threshold (and its run-time statistics) decides, so a grown side falls back to a
-shuffle join, where skewed keys are split at run time."""
+"""Joins of the data model.
+
+Data sides carry no broadcast hint: Spark's size threshold and its run-time
+statistics decide, so a grown side falls back to a shuffle join, where skewed
+keys are split. Config tables often come without size statistics; they are
+broadcast once their row count is checked.
+"""
 
 from __future__ import annotations
 
@@ -19,8 +23,13 @@ def missing_pages(metadata: DataFrame, pages: DataFrame, key: str = "url_key") -
     return metadata.join(pages.select(key), key, "left_anti")
 
 
+def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark a narrow table for broadcast if it has at most `max_rows` rows; else leave it to a shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def with_config(df: DataFrame, config: DataFrame, on: Sequence[str] = ("project", "site")) -> DataFrame:
-    return df.join(config, list(on))
+    return df.join(checked_broadcast(config), list(on))
 
 
 def overlay(base: DataFrame, top: DataFrame, key: str) -> DataFrame:

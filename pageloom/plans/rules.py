@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from pageloom.functions import cleaning as K, embedded as E
+from pageloom.functions import cleaning as K
 from pageloom.operators.extraction import POSTS, RULE_SETS, Rule
 
 R = Rule
@@ -65,28 +65,6 @@ def _badge_or_zero() -> Column:
     return F.coalesce(F.regexp_extract("savings_badge", r"([0-9]+)", 1).try_cast("int"), F.lit(0))
 
 
-def _article(html: Column) -> tuple[Column, Column]:
-    cache = E.apollo_cache(html)
-    return cache, E.apollo_entity(cache, "LocalNewsArticle")
-
-
-def _apollo(html: Column, path: str) -> Column:
-    return E.field(_article(html)[1], path)
-
-
-def _apollo_author(html: Column) -> Column:
-    cache, article = _article(html)
-    return E.field(E.apollo_ref(cache, article, "$.creator"), "$.name")
-
-
-def _apollo_body(html: Column) -> Column:
-    return E.field(E.by_prefix(_article(html)[1], "body"), "$")
-
-
-def _apollo_image(html: Column) -> Column:
-    return E.field(E.by_prefix(_article(html)[1], "imageUrls"), "$[0]")
-
-
 GENERIC_COMMERCE = [
     R("product_name", "xpath", "//h1[@class='pdp-title']/text() | //h1/text()"),
     R("list_price", "xpath", "//*[contains(@class,'mrp')]//text() | //*[contains(@class,'list-price')]//text()", post="price"),
@@ -317,18 +295,18 @@ RULE_SETS.update({
     ],
     "apollo_media": vary(
         MEDIA_BASE,
-        R("article_title", "column", lambda html, url: _apollo(html, "$.title")),
+        R("article_title", "apollo", "$.title"),
         R("article_title", "xpath", OG_OR_H1),
-        R("sub_title", "column", lambda html, url: _apollo(html, "$.dek"), post="strip_html"),
-        R("sub_title", "column", lambda html, url: _apollo(html, "$.description"), post="strip_html"),
+        R("sub_title", "apollo", "$.dek", post="strip_html"),
+        R("sub_title", "apollo", "$.description", post="strip_html"),
         R("sub_title", "xpath", OG_DESCRIPTION),
-        R("author_name", "column", lambda html, url: _apollo_author(html)),
+        R("author_name", "apollo", "$.creator->$.name"),
         R("author_name", "xpath", META_AUTHOR),
-        R("post_date", "column", lambda html, url: _apollo(html, "$.insertedAt")),
+        R("post_date", "apollo", "$.insertedAt"),
         R("post_date", "xpath", "//meta[@name='DC.date.issued']/@content | " + PUBLISHED),
-        R("article_content", "column", lambda html, url: _apollo_body(html), post="strip_html"),
+        R("article_content", "apollo", "body*$", post="strip_html"),
         R("article_content", "xpath", "//article//p//text()", take="join"),
-        R("image_url", "column", lambda html, url: _apollo_image(html)),
+        R("image_url", "apollo", "imageUrls*$[0]"),
         R("image_url", "xpath", OG_IMAGE),
     ),
     "business_of_fashion": [
