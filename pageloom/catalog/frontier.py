@@ -11,7 +11,7 @@ from pageloom.operators import frontier as FR
 _ORIGIN = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)"
 LINKS_SQL = f"""
 links AS (
-  SELECT page_id, url, i - 1 AS pos, replace(hs[i], '&amp;', '&') AS href, {_ORIGIN} || replace(hs[i], '&amp;', '&') AS link
+  SELECT page_id, url, CAST(i - 1 AS INTEGER) AS pos, replace(hs[i], '&amp;', '&') AS href, {_ORIGIN} || replace(hs[i], '&amp;', '&') AS link
   FROM (SELECT page_id, url, hs, unnest(generate_series(1, len(hs))) AS i
         FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hs FROM pages)))
 """

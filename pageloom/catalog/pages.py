@@ -120,7 +120,7 @@ def strip_html(t):
 
 
 @query("split_sections", """
-SELECT page_id, CAST(i - 1 AS INTEGER) AS section, length(ps[i]) AS n FROM (
+SELECT page_id, CAST(i - 1 AS INTEGER) AS section, CAST(length(ps[i]) AS INTEGER) AS n FROM (
   SELECT page_id, ps, unnest(generate_series(1, len(ps))) AS i FROM (
     SELECT page_id, regexp_extract_all(html, '(?is)(<p(?:\\s[^>]*)?>.*?</p>)', 1) AS ps FROM pages))""")
 def split_sections(t):

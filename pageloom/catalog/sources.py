@@ -12,7 +12,7 @@ from pageloom.sources import pages as SP, records as SR
 
 
 @query("page_store_round_trip", """
-SELECT page_id, 'web' AS project, regexp_replace(regexp_extract(url, '//([^/?#]*)', 1), '^www\\.', '') AS domain, '2026-03-11' AS date, md5(url) AS url_md5, length(html) AS n FROM pages""")
+SELECT page_id, 'web' AS project, regexp_replace(regexp_extract(url, '//([^/?#]*)', 1), '^www\\.', '') AS domain, '2026-03-11' AS date, md5(url) AS url_md5, CAST(length(html) AS INTEGER) AS n FROM pages""")
 def page_store_round_trip(t):
     path = new_folder(t.spark, "pages")
     pages = t.pages.withColumns({"project": F.lit("web"), "fetched_at": F.lit("2026-03-11 10:00:00").cast("timestamp_ntz")})
@@ -33,7 +33,7 @@ def fetch_metadata(t):
     return SP.read_fetch_metadata(t.spark, path).select("url", "rank", "output_file", "uniq_id")
 
 
-@query("records_csv_round_trip", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, length(text) AS n, md5(text) AS hash FROM documents")
+@query("records_csv_round_trip", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, CAST(length(text) AS INTEGER) AS n, md5(text) AS hash FROM documents")
 def records_csv_round_trip(t):
     path = new_folder(t.spark, "csv")
     SR.write_records_csv(t.documents, path, ["doc_id", "source", "text"])

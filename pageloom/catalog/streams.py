@@ -135,10 +135,10 @@ def stream_index(t):
     return ST.stream_index(docs, "web").select("doc_id", "index")
 
 
-@query("stream_expire_dlq", f"WITH {DLQ_SQL} SELECT event_id FROM dlq WHERE failed_at > now()::TIMESTAMP - INTERVAL 24 HOUR")
+@query("stream_expire_dlq", f"WITH {DLQ_SQL} SELECT event_id FROM dlq WHERE failed_at > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 24 HOUR")
 def stream_expire_dlq(t):
     letters = dlq(t, stream(t, "events"))
-    return ST.drain(ST.stream_expire_dlq(letters).select("event_id"), "dlq")
+    return ST.drain(ST.stream_expire_dlq(letters, now=F.lit("2024-01-30 12:00:00").cast("timestamp")).select("event_id"), "dlq")
 
 
 @query("stream_late_rows", "SELECT count(*) AS rows_in, 0 AS dropped FROM events")

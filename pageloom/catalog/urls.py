@@ -56,7 +56,7 @@ _UP = f"coalesce(nullif(regexp_replace({_FOLDER}, '[^/]+/$', ''), ''), '/')"
 
 
 @query("resolve_url", f"""
-SELECT page_id, pos, CASE pos
+SELECT page_id, CAST(pos AS INTEGER) AS pos, CASE pos
   WHEN 0 THEN url WHEN 1 THEN 'mailto:a@b.example' WHEN 2 THEN {part('scheme')} || '://cdn.example/x.js'
   WHEN 3 THEN {_ORIGIN} || '/top/x' WHEN 4 THEN {_ORIGIN} || {_PATH} || '?q=1'
   WHEN 5 THEN regexp_replace(url, '#.*$', '') || '#frag' WHEN 6 THEN {_ORIGIN} || {_FOLDER} || 'item.html'

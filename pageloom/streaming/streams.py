@@ -158,8 +158,10 @@ def stream_index(df: DataFrame, project: str, prefix: str = "", purpose: str = "
     return df.sparkSession.read.parquet(f"{out}/data")
 
 
-def stream_expire_dlq(dlq: DataFrame, hours: int = DLQ_TTL_H, ts: str = "failed_at") -> DataFrame:
-    return dlq.filter(F.col(ts) > F.current_timestamp() - F.make_dt_interval(F.lit(0), F.lit(hours)))
+def stream_expire_dlq(dlq: DataFrame, hours: int = DLQ_TTL_H, ts: str = "failed_at", now: Column | None = None) -> DataFrame:
+    """Letters not older than `hours`, by the batch's clock unless a time is given."""
+    at = F.current_timestamp() if now is None else now
+    return dlq.filter(F.col(ts) > at - F.make_dt_interval(F.lit(0), F.lit(hours)))
 
 
 def late_rows(query) -> int:
