@@ -20,10 +20,13 @@ def extract_links(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataF
     ).select(*keep, "pos", "href", U.resolve_url(F.col("__base"), F.col("href")).alias("link"))
 
 
-def link_array(base: Column, hrefs: Column, accept: Callable[[Column], Column] | None = None,
+def resolved_links(base: Column, hrefs: Column) -> Column:
+    return F.transform(hrefs, lambda h: U.resolve_url(base, h))
+
+
+def kept_links(links: Column, accept: Callable[[Column], Column] | None = None,
                canonical: Callable[[Column], Column] | None = None) -> Column:
-    """Resolved, filtered links of one page, first occurrences in page order."""
-    links = F.transform(hrefs, lambda h: U.resolve_url(base, h))
+    """Filtered links of one page, first occurrences in page order."""
     if accept is not None:
         links = F.filter(links, accept)
     if canonical is not None:
@@ -35,7 +38,7 @@ def ranked_links(pages: DataFrame, accept: Callable[[Column], Column] | None = N
                  canonical: Callable[[Column], Column] | None = None,
                  keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """Listing links with a 1-based rank after filter and dedup, all inside the page's own row."""
-    links = link_array(F.col("url"), H.hrefs(F.col("html")), accept, canonical)
+    links = kept_links(resolved_links(F.col("url"), H.hrefs(F.col("html"))), accept, canonical)
     return (
         pages.select(*keep, F.posexplode(links).alias("__pos", "link"))
         .withColumn("rank", F.col("__pos") + 1)
@@ -119,7 +122,7 @@ def expand_frontier(seeds: DataFrame, pages: DataFrame, config: DataFrame, metho
     unknown = [m for m in methods if m not in registry]
     if unknown:
         raise KeyError(f"unregistered methods: {unknown}")
-    page_links = pages.select("url", H.hrefs(F.col("html")).alias("__hrefs"))
+    page_links = pages.select("url", resolved_links(F.col("url"), H.hrefs(F.col("html"))).alias("__links"))
     level = seeds.select(
         *FRONTIER_KEY, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("parent_url")
     )
@@ -135,7 +138,7 @@ def expand_frontier(seeds: DataFrame, pages: DataFrame, config: DataFrame, metho
             if method.kind == "pages":
                 mine = method.fn(F.col("url"))
             else:
-                mine = F.coalesce(link_array(F.col("url"), F.col("__hrefs"), method.fn), F.array().cast("array<string>"))
+                mine = F.coalesce(kept_links(F.col("__links"), method.fn), F.array().cast("array<string>"))
             urls = F.when(F.col("method") == name, mine).otherwise(urls)
         level = todo.select(
             "project", "site", "schedule_id", F.col("url").alias("parent_url"), F.posexplode(urls).alias("__p", "url")
