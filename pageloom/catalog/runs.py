@@ -137,10 +137,10 @@ def queue_position(t):
     return scans.position_by_level(rows, "priority", "completed_at", "schedule_id", "position").drop("completed_at")
 
 
-@query("union_lists", "SELECT n_nationkey AS key, n_name AS name FROM nation UNION ALL SELECT r_regionkey, r_name FROM region")
+@query("union_lists", "SELECT c_custkey AS key, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
 def union_lists(t):
-    a = t.nation.select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"))
-    return a.unionByName(t.region.select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("key")))
+    a = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    return a.unionByName(t.supplier.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("key")))
 
 
 @query("distinct_hosts", "SELECT DISTINCT regexp_extract(url, '//([^/?#]*)', 1) AS host FROM pages")

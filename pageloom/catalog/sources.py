@@ -222,15 +222,15 @@ def _write_files(rows) -> None:
 @query("output_inventory", "SELECT 'parser' AS stage, true AS has_files UNION ALL SELECT 'retriever', true")
 def output_inventory(t):
     root = new_folder(t.spark, "inventory")
-    t.nation.write.option("header", True).csv(f"{root}/parser/a")
-    t.region.write.option("header", True).csv(f"{root}/retriever/b")
+    t.customer.write.option("header", True).csv(f"{root}/parser/a")
+    t.supplier.write.option("header", True).csv(f"{root}/retriever/b")
     return SP.output_inventory(t.spark, root).select("stage", (F.col("files") > 0).alias("has_files"))
 
 
 @query("newest_files")
 def newest_files(t):
     root = new_folder(t.spark, "newest")
-    t.nation.write.option("header", True).csv(f"{root}/a")
+    t.customer.write.option("header", True).csv(f"{root}/a")
     return SP.newest_files(t.spark, root).select(F.regexp_extract("path", r"\.(\w+)$", 1).alias("kind"), "length")
 
 

@@ -22,7 +22,11 @@ def seconds(ts: Column) -> Column:
 
 
 def time_chunk(ts: Column, width_s: int = HOUR) -> Column:
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(width_s * 1_000_000)).cast("bigint")
+    """Number of the piece a time falls into; rows without a time share piece -1.
+
+    Never NULL, so no join adds a filter on it and both sides can share one shuffle.
+    """
+    return F.coalesce(F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(width_s * 1_000_000)).cast("bigint"), F.lit(-1))
 
 
 def decayed_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, alpha: float,
@@ -55,7 +59,7 @@ def decayed_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
 
 def fail_streak(df: DataFrame, keys: Sequence[str], order: Sequence[str], ok: Column, ts: str, out: str,
                 chunk_s: int = HOUR) -> DataFrame:
-    """Add for each row the number of failures since the last success, itself included."""
+    """Add for each row the number of failures since the last success, itself included. Rows without a key are left out."""
     w = W.partitionBy(*keys, CHUNK).orderBy(*order)
     rows = (
         df.withColumn("__ok", ok)
@@ -90,7 +94,10 @@ def fail_streak(df: DataFrame, keys: Sequence[str], order: Sequence[str], ok: Co
 
 def lag_by_time(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, ts: str, out: str,
                 chunk_s: int = 24 * HOUR) -> DataFrame:
-    """Add the value of the previous row of the key; the first row of a chunk looks into earlier chunks."""
+    """Add the value of the previous row of the key; the first row of a chunk looks into earlier chunks.
+
+    Rows without a key are left out.
+    """
     pieces = df.withColumn(CHUNK, time_chunk(F.col(ts), chunk_s))
     w = W.partitionBy(*keys, CHUNK).orderBy(*order)
     rows = pieces.withColumn("__rn", F.row_number().over(w)).withColumn("__prev", F.lag(value).over(w))
@@ -131,8 +138,10 @@ def rolling_by_time(df: DataFrame, keys: Sequence[str], ts: str, seconds_back: i
 
 def position_by_level(df: DataFrame, level: str, ts: str, tie: str, out: str, chunk_s: int = 24 * HOUR) -> DataFrame:
     """1-based place in the total order (level descending, then time, then tie), computed piecewise."""
-    rows = df.withColumn(CHUNK, time_chunk(F.col(ts), chunk_s))
-    counts = rows.groupBy(level, CHUNK).agg(F.count("*").alias("__n"))
+    local = F.row_number().over(W.partitionBy(level, CHUNK).orderBy(ts, tie))
+    rows = df.withColumn(CHUNK, time_chunk(F.col(ts), chunk_s)).withColumn("__local", local)
+    # from the numbered rows, which are partitioned for this already
+    counts = rows.groupBy(level, CHUNK).agg(F.max("__local").cast("bigint").alias("__n"))
     before_in_level = W.partitionBy(level).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     # one row for each level: the only step with a single task
     totals = counts.groupBy(level).agg(F.sum("__n").alias("__t"))
@@ -145,10 +154,8 @@ def position_by_level(df: DataFrame, level: str, ts: str, tie: str, out: str, ch
         .join(higher, level)
         .select(level, CHUNK, (F.col("__b") + F.col("__h")).alias("__off"))
     )
-    local = F.row_number().over(W.partitionBy(level, CHUNK).orderBy(ts, tie))
     return (
-        rows.withColumn("__local", local)
-        .join(offsets, [level, CHUNK])
+        rows.join(offsets, [level, CHUNK])
         .withColumn(out, (F.col("__local") + F.col("__off")).cast("bigint"))
         .drop("__local", "__off", CHUNK)
     )
@@ -156,16 +163,15 @@ def position_by_level(df: DataFrame, level: str, ts: str, tie: str, out: str, ch
 
 def rank_by_number(df: DataFrame, keys: Sequence[str], number: str, out: str, width: int = 10_000) -> DataFrame:
     """1-based rank by a numeric position that is unique in its group; long groups are cut every `width` positions."""
-    rows = df.withColumn(CHUNK, F.floor(F.col(number) / F.lit(width)).cast("bigint"))
+    rows = df.withColumn(CHUNK, F.coalesce(F.floor(F.col(number) / F.lit(width)).cast("bigint"), F.lit(-1)))
+    rows = rows.withColumn("__local", F.row_number().over(W.partitionBy(*keys, CHUNK).orderBy(number)))
     before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*keys, CHUNK).agg(F.count("*").alias("__n"))
+        rows.groupBy(*keys, CHUNK).agg(F.max("__local").cast("bigint").alias("__n"))
         .select(*keys, CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     )
-    local = F.row_number().over(W.partitionBy(*keys, CHUNK).orderBy(number))
     return (
-        rows.withColumn("__local", local)
-        .join(offsets, [*keys, CHUNK])
+        rows.join(offsets, [*keys, CHUNK])
         .withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
         .drop("__local", "__off", CHUNK)
     )
