@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pageloom.functions.urls import PART_PATTERNS, trailing_id, url_part
+from pageloom.functions.urls import trailing_id, url_part
 
 _SLOT = "\x01"
 
@@ -149,6 +149,3 @@ def paginate(df: DataFrame, column: str, kind: str, with_seed: bool = False, **o
     if with_seed:
         urls = F.concat(F.array(F.col(column)), urls)
     return df.select("*", F.posexplode(urls).alias("page_pos", "page_url")).withColumn("page_pos", F.col("page_pos") + 1)
-
-
-__all__ = [*GENERATORS, "GENERATORS", "PART_PATTERNS", "paginate"]
