@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm import quality
+from pageloom.llm import langid, licenses, quality, urlfilter
 from pageloom.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,21 @@ FROM judged
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op4_url_filter")
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return urlfilter.url_filter(pages, urlfilter.train(spark)).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+@query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).drop("spans")
