@@ -8,7 +8,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pageloom.llm.base import quoted
+from pageloom.llm.base import quoted, written
 
 # (host and path, verdict)
 RULES = (
@@ -37,6 +37,11 @@ LABELLED_URLS = (
     ("https://art.gallery.org/de/963?page=2", 0), ("http://music.orchestra.net/en/297", 0), ("https://www.football-club.org/team", 0),
     ("https://parliament.gov/bills/584", 0), ("http://children.school.org/en/756#top", 0), ("https://www.restaurant-paris.fr/menu", 0),
     ("https://blog.photography.net/en/381#top", 0), ("http://www.trains.org/timetable", 0), ("https://open-source.dev/projects/list", 0),
+    ("https://www.thunder.org/fr/5170", 0), ("http://m.other.net/es/4516", 0), ("https://blog.father.org/fr/2631", 0),
+    ("http://method.net/de/6072.html", 0), ("https://nothing.net/de/4674", 0), ("http://authors.org/fr/7361", 0),
+    ("https://m.paths.org/es/9255", 0), ("http://earth.net/en/845/", 0), ("https://www.clothes.org/es/12#top", 0),
+    ("http://cheap-pills-online.org/fr/5917", 1), ("https://free-bets-now.net/de/12", 1), ("http://ads-clicks.org/es/77", 1),
+    ("http://spam-links-farm.net/en/5", 1), ("https://casino-bets-win.org/fr/61.html", 1), ("http://track-clicks-ads.net/es/8", 1),
 )
 
 
@@ -86,19 +91,18 @@ class UrlModel:
         return len(self.weights)
 
     def log_odds(self) -> Column:
-        """Over `_grams`: mean weight of the n-grams, as the model was trained."""
+        """Over `_grams`: sum of the weights of all n-grams, repeats included, as the model was trained."""
         weights = F.array(*(F.lit(w) for w in self.weights))
-        total = F.aggregate("_grams", F.lit(0.0), lambda acc, g: acc + F.get(weights, g))
-        return F.lit(self.intercept) + total / F.sqrt(F.size("_grams").cast("double"))
+        return F.aggregate("_grams", F.lit(self.intercept), lambda acc, g: acc + F.get(weights, g))
 
 
 def train(
-    spark: SparkSession, labelled: DataFrame | None = None, sizes: tuple[int, ...] = (3, 4), buckets: int = 1024,
-    max_rows: int = 10_000, reg: float = 0.01, iterations: int = 60,
+    spark: SparkSession, labelled: DataFrame | None = None, sizes: tuple[int, ...] = (3, 4), buckets: int = 2048,
+    max_rows: int = 10_000, reg: float = 0.001, iterations: int = 30,
 ) -> UrlModel:
     """Fit on a small table (url, label); at most `max_rows` rows of it, the first by url.
 
-    The features are counts of n-grams by bucket over the root of their number, built with SQL expressions.
+    The features are counts of n-grams by bucket, built with SQL expressions.
     """
     if labelled is None:
         labelled = spark.createDataFrame(list(LABELLED_URLS), "url string, label int")
@@ -107,19 +111,19 @@ def train(
     rows = _featured(rows.select(F.col("label").cast("double").alias("label"), host.alias("_host"), path.alias("_path")), sizes, buckets)
     counts = F.transform(
         F.sequence(F.lit(0), F.lit(buckets - 1)),
-        lambda b: F.size(F.filter("_grams", lambda g: g == b)) / F.sqrt(F.size("_grams").cast("double")),
+        lambda b: F.size(F.filter("_grams", lambda g: g == b)).cast("double"),
     )
-    vectors = rows.select("label", array_to_vector(counts).alias("features")).coalesce(1)
+    vectors = written(rows.select("label", array_to_vector(counts).alias("features")).coalesce(1), "url-features")
     fitted = LogisticRegression(maxIter=iterations, regParam=reg, standardization=False).fit(vectors)
     return UrlModel(tuple(float(w) for w in fitted.coefficients.toArray()), float(fitted.intercept), sizes)
 
 
 def url_filter(
-    pages: DataFrame, model: UrlModel, rules: tuple[tuple[str, str], ...] = RULES, threshold: float = 0.5
+    pages: DataFrame, model: UrlModel, rules: tuple[tuple[str, str], ...] = RULES, threshold: float = 0.8
 ) -> DataFrame:
     """One row for each page: page_id, host, path, rule, score (probability of unwanted), verdict.
 
-    A fitting rule decides; else the model blocks from `threshold` on. Null urls and urls without `://` have empty
+    A fitting rule decides; else the model blocks from `threshold` on (high, as a wrong block loses a page). Null urls and urls without `://` have empty
     host and path, fit no rule and are allowed with score 0. Very long urls take time in proportion to their length.
     Repeated rows are judged each for itself; columns other than page_id and url are ignored.
     """
