@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm import langid, licenses, quality, urlfilter
-from pageloom.llm.base import table
+from pageloom.llm import binary, bpe, langid, licenses, quality, urlfilter
+from pageloom.llm.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +86,20 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_license_scan")
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op1_bpe")
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """`ids` and `decoded` of the operator, as digests."""
+    encoded = bpe.encode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "token-files")
+    binary.write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return binary.read_digests(spark, path)
