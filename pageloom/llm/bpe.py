@@ -6,7 +6,9 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,6 @@ class TokenAutomaton:
         self.blocked: list[dict[int, int]] = [{}]  # of each state: token: number of the merge that blocked it
         self.origin: list[tuple[int, int] | None] = [None]  # state it was split from, and when
         self.target: dict[int, int] = dict.fromkeys(vocab.values(), DEAD)
-        self.table: dict[tuple[int, int], int] = {}
         made = {vocab[u + v] for u, v in merges}
         if len(made) != len(merges):
             raise ValueError("two merges make the same token")
@@ -50,7 +51,8 @@ class TokenAutomaton:
                 refs[START] += 1
         for number, (left, right) in enumerate(merges):
             self._gadget(vocab[left], vocab[right], vocab[left + right], number, refs)
-        self.longest = max(map(len, vocab), default=1)
+        self.table: list[dict[int, int]] = [{} for _ in self.blocked]
+        self.prefixes = dict.fromkeys((t[:k] for t in vocab for k in range(1, len(t))), -1) | vocab
 
     def _gadget(self, u: int, v: int, t: int, number: int, refs: list[int]) -> None:
         middle = self.target[u]
@@ -94,13 +96,13 @@ class TokenAutomaton:
 
     def step(self, state: int, token: int) -> int:
         """The state the token leads to, or DEAD."""
-        key = (state, token)
-        to = self.table.get(key)
+        row = self.table[state]
+        to = row.get(token)
         if to is None:
             to = self.target[token]
             if to != DEAD and not self._has(state, token, 1 << 60):
                 to = DEAD
-            self.table[key] = to
+            row[token] = to
         return to
 
     def encode(self, symbols: list[str]) -> list[int]:
@@ -109,28 +111,32 @@ class TokenAutomaton:
         Every prefix has exactly one accepted path, so one state and one arc into it are kept for each position; time grows with
         the number of symbols times the length of the longest token.
         """
-        n, vocab = len(symbols), self.vocab
-        states, into = [DEAD] * (n + 1), [(0, 0)] * (n + 1)
+        n, known, table = len(symbols), self.prefixes.get, self.table
+        states, came, by = [DEAD] * (n + 1), [0] * (n + 1), [0] * (n + 1)
         states[0] = START
         for i in range(n):
             state = states[i]
             if state == DEAD:
                 continue
-            text = ""
-            for j in range(i, min(n, i + self.longest)):
-                text += symbols[j]
-                token = vocab.get(text)
+            row, text, at = table[state], "", i
+            for symbol in islice(symbols, i, None):
+                text += symbol
+                at += 1
+                token = known(text)
                 if token is None:
-                    continue
-                to = self.step(state, token)
-                if to != DEAD:
-                    states[j + 1], into[j + 1] = to, (i, token)
+                    break
+                if token >= 0:
+                    to = row.get(token)
+                    if to is None:
+                        to = self.step(state, token)
+                    if to != DEAD:
+                        states[at], came[at], by[at] = to, i, token
         if states[n] == DEAD:
             raise ValueError(f"not in the alphabet: {symbols!r}"[:200])
         out, at = [], n
         while at:
-            at, token = into[at]
-            out.append(token)
+            out.append(by[at])
+            at = came[at]
         return out[::-1]
 
     def decode(self, ids: list[int]) -> list[str]:
@@ -148,9 +154,11 @@ def byte_characters() -> dict[int, str]:
 class WordTokenizer:
     """Lower-cased words with word ends: NFC, lower case, split by the file's pattern, bytes as characters, then the automaton."""
 
-    ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space for Python's split, not for the pattern
+    # Texts of these characters are split by a class of characters instead of Unicode categories, with the same result.
+    COMMON = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+    COMMON_LETTERS, COMMON_OTHERS = r"a-zÀ-ÖØ-öø-ÿ", r"\t-\r 0-9a-zÀ-ÖØ-öø-ÿ"
 
-    def __init__(self, spec: dict, cached: int = 400_000):
+    def __init__(self, spec: dict, remembered: int = 300_000):
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.suffix = model.get("end_of_word_suffix") or ""
@@ -160,51 +168,55 @@ class WordTokenizer:
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         # \s as the pattern's own library takes it: Unicode white space, without the separators 1C to 1F
-        self.pattern = regex.compile(pattern.replace(r"\s", r"\t-\r \x85\xa0  -     　"))
+        self.pattern = regex.compile(pattern.replace(r"\s", r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"))
+        common = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{self.COMMON_OTHERS}]").replace(r"[\p{L}]", f"[{self.COMMON_LETTERS}]").replace(r"[\p{N}]", "[0-9]")
+        self.common = re.compile(common) if r"\p" not in common and r"\s" not in common else None
         self.bytes = byte_characters()
-        self.pieces: dict[str, tuple[bytes, str]] = {}
-        self.cached = cached
+        self.recent: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
+        self.remembered = remembered
 
     @staticmethod
     def lowered(text: str) -> str:
         """Each character for itself, so a final sigma stays like any other."""
         return text.lower() if text.isascii() else text.replace("Σ", "σ").lower()
 
-    def word(self, word: str) -> list[int]:
-        symbols = [self.bytes[b] for b in word.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.suffix
-        return self.automaton.encode(symbols)
+    def _encoded(self, word: str) -> tuple[bytes, str]:
+        """Ids of a word as 32-bit integers and its decoded text; kept in one of two memories, of which the older one is dropped."""
+        found = self.older.get(word)
+        if found is None:
+            symbols = [self.bytes[b] for b in word.encode("utf-8", "surrogatepass")]
+            symbols[-1] += self.suffix
+            ids = self.automaton.encode(symbols)
+            found = (array("i", ids).tobytes(), self.decode(ids))
+        if len(word) <= 64:
+            if len(self.recent) >= self.remembered:
+                self.older, self.recent = self.recent, {}
+            self.recent[word] = found
+        return found
 
-    def plain(self, text: str) -> list[int]:
-        text = self.lowered(unicodedata.normalize("NFC", text))
-        return [i for w in self.pattern.findall(text) for i in self.word(w)]
+    def _plain(self, text: str) -> list[tuple[bytes, str]]:
+        simple = self.common is not None and self.COMMON.fullmatch(text)
+        text = self.lowered(text if simple else unicodedata.normalize("NFC", text))
+        words = (self.common if simple else self.pattern).findall(text)
+        known = self.recent.get
+        return [known(w) or self._encoded(w) for w in words]
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text; the strings of special tokens in it are these tokens."""
+    def document(self, text: str) -> tuple[bytes, str]:
+        """Ids as 32-bit integers, and the decoded text; the strings of special tokens in a text are these tokens."""
         if self.at_special is None or not self.at_special.search(text):
-            return self.plain(text)
-        return [i for part in self.at_special.split(text) if part
-                for i in ([self.special[part]] if part in self.special else self.plain(part))]
-
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(self.labels[i] for i in ids)
+            parts = self._plain(text)
+        else:
+            parts = [p for part in self.at_special.split(text) if part for p in (
+                [(array("i", [self.special[part]]).tobytes(), part)] if part in self.special else self._plain(part))]
+        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
 
-    def _piece(self, chunk: str) -> tuple[bytes, str]:
-        found = self.pieces.get(chunk)
-        if found is None:
-            ids = self.encode(chunk)
-            found = (np.array(ids, "<i4").tobytes(), self.decode(ids))
-            if len(chunk) <= 64:
-                if len(self.pieces) >= self.cached:
-                    self.pieces.clear()
-                self.pieces[chunk] = found
-        return found
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.document(text)[0]).tolist()
 
-    def document(self, text: str) -> tuple[bytes, str]:
-        """Ids as 32-bit integers, and the decoded text. No token reaches over white space, so what stands between is worked out once."""
-        chunks = [text] if self.ODD_SPACE.search(text) else text.split()
-        parts = [self._piece(c) for c in chunks]
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[1]])
+    def decode(self, ids: list[int]) -> str:
+        labels = self.labels
+        return " ".join([labels[i] for i in ids])
 
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}

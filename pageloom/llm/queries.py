@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm import binary, bpe, langid, licenses, quality, urlfilter
+from pageloom.llm import binary, bpe, decontaminate, langid, licenses, quality, urlfilter
 from pageloom.llm.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "token-files")
     binary.write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return binary.read_digests(spark, path)
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
