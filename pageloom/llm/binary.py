@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
 from pageloom.llm.base import id_and_text
+from pageloom.llm.bpe import byte_characters
 
 
 def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
@@ -32,43 +34,52 @@ def put(fs: pa.fs.FileSystem, path: str, parts: list, attempt: str) -> None:
 
 
 class ByteTokenizer:
-    """The tokenizers library with a memory of pieces between spaces.
+    """The tokenizers library with a memory of pieces.
 
-    The file's pattern puts a space in front of the piece that follows, so a text may be cut before each space that does not follow
-    white space; a text with any other space goes to the library whole.
+    The library splits a text into pieces by a fixed pattern and encodes each for itself; a piece alone is split no further. So a text
+    is split here by the same pattern, and the library's model encodes each distinct piece once. That holds for texts of
+    common characters, for which the pattern's Unicode classes are written out; any other text, and one with a special token, goes to the library whole.
     """
 
-    RUN = re.compile(r"\s ")
+    COMMON = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
+    PIECES = re.compile(
+        r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\t-\r 0-9A-Za-zÀ-ÖØ-öø-ÿ]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 
-    def __init__(self, raw: bytes, dtype: str, cached: int = 500_000):
+    def __init__(self, raw: bytes, dtype: str, remembered: int = 500_000):
         self.library = Tokenizer.from_str(raw.decode())
         self.library.no_truncation()
         self.library.no_padding()
-        self.dtype, self.cached = np.dtype(dtype), cached
-        self.known: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.cached:
-            self.known.clear()
-        known, whole = self.known, [k for k, t in enumerate(texts) if self.RUN.search(t)]
-        out = [b""] * len(texts)
-        for k, ids in zip(whole, self._library([texts[k] for k in whole]), strict=True):
-            out[k] = ids
-        skip = set(whole)
-        pieces = {k: t.replace(" ", "\0 ").split("\0") for k, t in enumerate(texts) if k not in skip and "\0" not in t}
-        for k, t in enumerate(texts):
-            if k not in skip and k not in pieces:
-                out[k] = self._library([t])[0]
-        new = list({p for ps in pieces.values() for p in ps if p not in known})
-        fresh = dict(zip(new, self._library(new), strict=True))
-        known.update((p, ids) for p, ids in fresh.items() if len(p) <= 64)
-        fresh = {p: ids for p, ids in fresh.items() if len(p) > 64}
-        for k, ps in pieces.items():
-            out[k] = b"".join([known[p] if p in known else fresh[p] for p in ps])
-        return out
+        self.code, self.remembered = {2: "H", 4: "I"}[np.dtype(dtype).itemsize], remembered
+        self.bytes = byte_characters()
+        spec = json.loads(raw)
+        split = spec.get("pre_tokenizer") or {}
+        self.by_pieces = spec.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _library(self, text: str) -> bytes:
+        return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece by the library's model; kept in one of two memories, of which the older one is dropped."""
+        found = self.older.get(piece)
+        if found is None:
+            characters = "".join([self.bytes[b] for b in piece.encode()])
+            found = array(self.code, [t.id for t in self.library.model.tokenize(characters)]).tobytes()
+        if len(piece) <= 64:
+            if len(self.recent) >= self.remembered:
+                self.older, self.recent = self.recent, {}
+            self.recent[piece] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as the bytes of little-endian unsigned integers."""
+        if not (self.by_pieces and self.COMMON.fullmatch(text)) or self.special.search(text):
+            return self._library(text)
+        known = self.recent.get
+        return b"".join([known(p) or self._piece(p) for p in self.PIECES.findall(text)])
 
 
 _TOKENIZERS: dict[tuple[int, str], ByteTokenizer] = {}
@@ -110,7 +121,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
             for start in range(0, batch.num_rows, 256):
                 rows = batch.slice(start, 256)
                 out = out or fs.open_output_stream(f"{name}.bin.{attempt}")
-                for tokens in tokenizer.encode([t or "" for t in rows.column("text").to_pylist()]):
+                for text in rows.column("text"):
+                    tokens = tokenizer.encode(text.as_py() or "")
                     out.write(tokens + end)
                     lengths.append((len(tokens) + len(end)) // len(end))
                 ids.extend(rows.column("doc_id").to_pylist())
