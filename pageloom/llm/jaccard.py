@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
 from math import comb
@@ -221,11 +221,14 @@ def in_blocks(members: DataFrame, group: str, size: Column, block: int) -> DataF
     )
 
 
+def _columns(docs: DataFrame) -> DataFrame:
+    text = F.col(quoted("text")).cast("string")
+    return docs.select(F.col(quoted("doc_id")).cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+
+
 def marked(docs: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, tie (hash of the text), key (128-bit hash of the shingle set) and signature of each document; the last two are null without words."""
-    rows = docs.select(
-        F.col(quoted("doc_id")).cast("long").alias("doc_id"), F.xxhash64(F.col(quoted("text")).cast("string")).alias("tie"),
-        F.col(quoted("text")).cast("string").alias("text"))
+    rows = _columns(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(settings.size)
@@ -278,18 +281,132 @@ BITS = 1 << 23
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """(key, shingles) of the wanted documents (doc_id, tie), made again from their texts.
+    """(key, shingles) of the wanted sets (doc_id, tie, key), made again from the texts of these documents.
 
-    Which documents may be wanted goes to the workers as a bit map of fixed size (1 MB), so their texts are not
-    shuffled; what it lets through by chance has other keys and is dropped by the join that follows.
+    Which documents may be wanted goes to the workers as a bit map of fixed size (1 MB), so texts are not shuffled; what it
+    lets through by chance has a key that the join drops. The fuller the map, the more is let through; the result is the same.
     """
     place = F.pmod(F.xxhash64("doc_id", "tie"), F.lit(BITS))
-    bits = wanted.select(place.alias("at")).groupBy(F.expr("bitmap_bucket_number(at)").alias("n")).agg(
+    filled = wanted.select((place + 1).alias("at")).groupBy(F.expr("bitmap_bucket_number(at)").alias("n")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits")).collect()
-    whole = np.zeros(BITS // 8, np.uint8)
-    for r in bits:  # bucket n holds the positions from (n - 1) * 32768 + 1 on, or the last of them for 0
-        part = np.frombuffer(bytes(r["bits"]), np.uint8)
-        start = (r["n"] - 1) * 4096
-        whole[max(start, 0):max(start, 0) + len(part)] |= part if start >= 0 else 0
-    held = docs.sparkSession.sparkContext.broadcast(whole)
-    return held, place
+    bits = np.zeros(BITS // 8, np.uint8)
+    for r in filled:  # bucket n holds 32,768 places
+        bits[(r["n"] - 1) * 4096:r["n"] * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+    rows = _columns(docs).select(place.alias("place"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(settings.size)
+        for batch in batches:
+            at = batch.column("place").to_numpy()
+            some = np.flatnonzero(held.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            for start in range(0, len(some), 64):
+                sets = [s for s in (shingler(batch.column("text")[k].as_py()) for k in some[start:start + 64].tolist()) if len(s)]
+                raw = [s.tobytes() for s in sets]
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array([xxhash.xxh3_128_digest(r) for r in raw], pa.binary()), "shingles": pa.array(raw, pa.binary())})
+
+    made = rows.mapInArrow(run, "key binary, shingles binary")
+    return made.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles"))
+
+
+def verified(near: DataFrame, settings: Settings) -> DataFrame:
+    """For each set of `near` (group, key, copies, signature, shingles) with a partner: key, links, other.
+
+    `links` adds up the copies of the partners met in one pair of blocks, `other` is a set it is linked with, over others, there.
+    """
+    sized = near.join(near.groupBy("label").agg(F.count("*").alias("n")), "label")
+    least, names, t = least_matches(settings.threshold, settings.tolerance), ("number", "i", "j"), settings.threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, names):
+            keys, side, copies = rows.column("key").combine_chunks(), rows.column("side").to_numpy(), rows.column("copies").to_numpy()
+            signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, HASHES)
+            within = rows.column("i").to_numpy() == rows.column("j").to_numpy()
+            group = numbered(rows, names)
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for x, y in group_pairs(group, side, within):
+                good = prune(signatures, x, y, least)
+                a.append(x[good])
+                b.append(y[good])
+            a, b = np.concatenate(a), np.concatenate(b)
+            sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            common = np.empty(len(a), np.int64)
+            order = np.argsort(group[a], kind="stable")
+            cuts = np.flatnonzero(np.diff(group[a][order])) + 1
+            for own in np.split(order, cuts) if len(a) else []:
+                low = np.searchsorted(group, group[a[own[0]]])
+                high = np.searchsorted(group, group[a[own[0]]], side="right")
+                common[own] = common_shingles(sets[low:high], a[own] - low, b[own] - low)
+            real = common * t.denominator >= t.numerator * (sizes[a] + sizes[b] - common)
+            a, b = a[real], b[real]
+            links = np.bincount(a, copies[b], len(sets)).astype(np.int64) + np.bincount(b, copies[a], len(sets)).astype(np.int64)
+            label = roots(len(sets), a, b)
+            some = np.flatnonzero(links)
+            yield pa.RecordBatch.from_pydict({
+                "key": keys.take(pa.array(some)), "links": pa.array(links[some]), "other": keys.take(pa.array(label[some]))})
+
+    rows = sized.withColumn("number", F.xxhash64("label"))
+    return in_blocks(rows, "number", F.col("n"), settings.block).drop("label", "n").mapInArrow(run, "key binary, links long, other binary")
+
+
+def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row for each document: doc_id, tie, key, label, class_id, copies, n_links.
+
+    Texts are lower-cased runs of letters, digits and underscores, five in a shingle. Documents with the same set of shingles are copies; two
+    sets are linked if their Jaccard similarity is at least the threshold, worked out exactly. `class_id` is the least doc_id of all documents that
+    links join, `label` the same as a key, `copies` the number of documents with the same set, `n_links` the number of other
+    documents that this one is a copy of or linked with.
+
+    Candidates meet in bands of MinHash values; a pair is dropped when, given the values compared so far, the chance that it reaches the threshold is
+    below the tolerance. Pairs never leave a task: what comes out of a block are counts and edges that join its members.
+
+    Texts of fewer words than a shingle are one shingle. Null and empty texts and texts without words have no set: they are never
+    linked, and their class is their own doc_id. Repeated rows are copies of one another. A null doc_id stays null; a class without any id has a
+    null class_id. Other columns are ignored; an empty table gives no rows.
+    """
+    marks = written(marked(docs, settings), "marks")
+    classes = written(marks.filter("key is not null").groupBy("key").agg(
+        F.count("*").alias("copies"), F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "tie")).alias("one"),
+        F.first("signature").alias("signature")), "classes")
+    coarse = components(similar_by_sketch(classes, settings)).withColumnRenamed("node", "key")
+    near = written(coarse.join(classes.select("key", "copies", "signature", "one.doc_id", "one.tie"), "key"), "near")
+    sets = shingle_sets(docs, near.select("doc_id", "tie", "key"), settings)
+    found = written(verified(near.drop("doc_id", "tie").join(sets, "key"), settings), "links")
+    linked = components(found.select(F.col("key").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "key")
+    links = found.groupBy("key").agg(F.sum("links").alias("links"))
+    grouped = linked.join(links, "key").join(classes.select("key", "first_doc"), "key")
+    firsts = grouped.groupBy("label").agg(F.min("first_doc").alias("class_doc"))
+    grouped = grouped.join(firsts, "label").select("key", "label", "links", "class_doc")
+    known = written(classes.select("key", "copies", "first_doc").join(grouped, "key", "left").select(
+        "key", "copies", F.coalesce("label", "key").alias("label"),
+        F.when(F.col("links").isNull(), F.col("first_doc")).otherwise(F.col("class_doc")).alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known")
+    return marks.select("doc_id", "tie", "key").join(known, "key", "left").select(
+        "doc_id", "tie", "key", "label", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One document of each class, with all its columns: the one with the least doc_id, then the least hash of its text.
+
+    Documents without words are in no class and all stay. Of rows equal in doc_id and text one stays.
+    """
+    rows = near_copies(docs, settings).filter("label is not null").groupBy("label", "doc_id", "tie").agg(F.count("*").alias("n"))
+    rows = written(rows, "rows")
+    chosen = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("one"))
+    others = rows.join(chosen, "label").filter(
+        ~(F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("tie") == F.col("one.tie")))).select(
+            F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
+    repeated = rows.filter("n > 1").select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
+    names = [quoted(c) for c in docs.columns]
+    whole = docs.select(
+        F.struct(*names).alias("_row"), F.col(quoted("doc_id")).cast("long").alias("_doc"),
+        F.xxhash64(F.col(quoted("text")).cast("string")).alias("_hash"))
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_tie"))
+    kept = whole.join(others, same, "left_anti")
+    if not repeated.isEmpty():
+        kept = kept.join(repeated, same, "left_anti").unionAll(
+            kept.join(repeated, same, "left_semi").dropDuplicates(["_doc", "_hash"]))
+    return kept.select(*(F.col(f"_row.{n}").alias(c) for n, c in zip(names, docs.columns, strict=True)))

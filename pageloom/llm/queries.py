@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm import binary, bpe, decontaminate, langid, licenses, quality, urlfilter
+from pageloom.llm import binary, bpe, decontaminate, jaccard, langid, licenses, quality, urlfilter
 from pageloom.llm.base import scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_decontamination")
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op3_ngram_jaccard")
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_copies(table(spark, folder, "documents")).select("doc_id", "class_id", "copies", "n_links")
