@@ -7,7 +7,7 @@ import re
 import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -105,39 +105,53 @@ class TokenAutomaton:
             row[token] = to
         return to
 
+    def _arcs(self, symbols: list[str], at: int) -> list[tuple[int, int]]:
+        """Tokens that the symbols spell from `at` on, and where they end, the longest last."""
+        known, text, out = self.prefixes.get, "", []
+        for symbol in islice(symbols, at, None):
+            text += symbol
+            at += 1
+            token = known(text)
+            if token is None:
+                break
+            if token >= 0:
+                out.append((token, at))
+        return out
+
     def encode(self, symbols: list[str]) -> list[int]:
         """Tokens of the only accepted path over the symbols.
 
-        Every prefix has exactly one accepted path, so one state and one arc into it are kept for each position; time grows with
-        the number of symbols times the length of the longest token.
+        Arcs are tried from the longest on. Every prefix has one accepted path and so one state, so a place from which the end
+        can't be reached is marked and not tried again: each is looked at once, and time grows with the symbols times the longest token.
         """
-        n, known, table = len(symbols), self.prefixes.get, self.table
-        states, came, by = [DEAD] * (n + 1), [0] * (n + 1), [0] * (n + 1)
-        states[0] = START
-        for i in range(n):
-            state = states[i]
-            if state == DEAD:
-                continue
-            row, text, at = table[state], "", i
-            for symbol in islice(symbols, i, None):
-                text += symbol
-                at += 1
-                token = known(text)
-                if token is None:
+        n, table = len(symbols), self.table
+        dead, at, state = bytearray(n + 1), 0, START
+        places, states, tokens, open_arcs = [], [], [], self._arcs(symbols, 0)
+        waiting = []
+        while at < n:
+            row = table[state]
+            while open_arcs:
+                token, end = open_arcs.pop()
+                if dead[end]:
+                    continue
+                to = row.get(token)
+                if to is None:
+                    to = self.step(state, token)
+                if to != DEAD:
+                    waiting.append(open_arcs)
+                    places.append(at)
+                    states.append(state)
+                    tokens.append(token)
+                    at, state = end, to
+                    open_arcs = self._arcs(symbols, end) if end < n else []
                     break
-                if token >= 0:
-                    to = row.get(token)
-                    if to is None:
-                        to = self.step(state, token)
-                    if to != DEAD:
-                        states[at], came[at], by[at] = to, i, token
-        if states[n] == DEAD:
-            raise ValueError(f"not in the alphabet: {symbols!r}"[:200])
-        out, at = [], n
-        while at:
-            out.append(by[at])
-            at = came[at]
-        return out[::-1]
+            else:
+                if not waiting:
+                    raise ValueError(f"not in the alphabet: {symbols!r}"[:200])
+                dead[at] = 1
+                open_arcs, at, state = waiting.pop(), places.pop(), states.pop()
+                tokens.pop()
+        return tokens
 
     def decode(self, ids: list[int]) -> list[str]:
         """The labels of the arcs."""
@@ -164,7 +178,8 @@ class WordTokenizer:
         self.suffix = model.get("end_of_word_suffix") or ""
         self.automaton = TokenAutomaton(dict(model["vocab"]), merges)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.labels = self.automaton.labels | {i: t for t, i in self.special.items()}
+        named = self.automaton.labels | {i: t for t, i in self.special.items()}
+        self.labels = [named.get(i, "") for i in range(max(named, default=-1) + 1)]
         self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         # \s as the pattern's own library takes it: Unicode white space, without the separators 1C to 1F
@@ -172,8 +187,8 @@ class WordTokenizer:
         common = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{self.COMMON_OTHERS}]").replace(r"[\p{L}]", f"[{self.COMMON_LETTERS}]").replace(r"[\p{N}]", "[0-9]")
         self.common = re.compile(common) if r"\p" not in common and r"\s" not in common else None
         self.bytes = byte_characters()
-        self.recent: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.remembered = remembered
 
     @staticmethod
@@ -181,40 +196,40 @@ class WordTokenizer:
         """Each character for itself, so a final sigma stays like any other."""
         return text.lower() if text.isascii() else text.replace("Σ", "σ").lower()
 
-    def _encoded(self, word: str) -> tuple[bytes, str]:
-        """Ids of a word as 32-bit integers and its decoded text; kept in one of two memories, of which the older one is dropped."""
+    def _encoded(self, word: str) -> bytes:
+        """Ids of a word as 32-bit integers; kept in one of two memories, of which the older one is dropped."""
         found = self.older.get(word)
         if found is None:
             symbols = [self.bytes[b] for b in word.encode("utf-8", "surrogatepass")]
             symbols[-1] += self.suffix
-            ids = self.automaton.encode(symbols)
-            found = (array("i", ids).tobytes(), self.decode(ids))
+            found = array("i", self.automaton.encode(symbols)).tobytes()
         if len(word) <= 64:
             if len(self.recent) >= self.remembered:
                 self.older, self.recent = self.recent, {}
             self.recent[word] = found
         return found
 
-    def _plain(self, text: str) -> list[tuple[bytes, str]]:
+    def _plain(self, text: str) -> bytes:
         simple = self.common is not None and self.COMMON.fullmatch(text)
         text = self.lowered(text if simple else unicodedata.normalize("NFC", text))
         words = (self.common if simple else self.pattern).findall(text)
         known = self.recent.get
-        return [known(w) or self._encoded(w) for w in words]
+        return b"".join([known(w) or self._encoded(w) for w in words])
 
-    def document(self, text: str) -> tuple[bytes, str]:
-        """Ids as 32-bit integers, and the decoded text; the strings of special tokens in a text are these tokens."""
+    def encode(self, text: str) -> array:
+        """Ids of a text; the strings of special tokens in it are these tokens."""
         if self.at_special is None or not self.at_special.search(text):
-            parts = self._plain(text)
-        else:
-            parts = [p for part in self.at_special.split(text) if part for p in (
-                [(array("i", [self.special[part]]).tobytes(), part)] if part in self.special else self._plain(part))]
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts])
-
-    def encode(self, text: str) -> list[int]:
-        return array("i", self.document(text)[0]).tolist()
-
-    def decode(self, ids: list[int]) -> str:
+            return array("i", self._plain(text))
+        out = array("i")
+        for part in self.at_special.split(text):
+            if part in self.special:
+                out.append(self.special[part])
+            elif part:
+                out.frombytes(self._plain(part))
+        return out
+
+    def decode(self, ids: Iterable[int]) -> str:
+        """The labels of the ids' arcs, a space between them."""
         labels = self.labels
         return " ".join([labels[i] for i in ids])
 
@@ -246,11 +261,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                out = [tokenizer.document(t or "") for t in part.column("text").to_pylist()]
-                offsets = np.cumsum([0] + [len(ids) // 4 for ids, _ in out])
-                ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids for ids, _ in out))])
+                out = [tokenizer.encode(t or "") for t in part.column("text").to_pylist()]
+                offsets = np.cumsum([0] + [len(ids) for ids in out])
+                ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(out))])
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids),
-                    "decoded": pa.array([text for _, text in out], pa.string())})
+                    "decoded": pa.array([tokenizer.decode(ids) for ids in out], pa.string())})
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
