@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pageloom.session import pin_utc, shared_dir, ship_package
@@ -57,3 +58,16 @@ def per_text(
                 yield pa.RecordBatch.from_pydict(out)
 
     return df.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """Of a path or address, as all executors reach it."""
+    return pa.fs.FileSystem.from_uri(uri if ":" in uri.split("/")[0] else f"file://{uri}")
+
+
+def put(fs: pa.fs.FileSystem, path: str, parts: list, attempt: str) -> None:
+    """Write under a name of this attempt, then give it its own name: a repeated task replaces the file by an equal one."""
+    with fs.open_output_stream(f"{path}.{attempt}") as out:
+        for part in parts:
+            out.write(part)
+    fs.move(f"{path}.{attempt}", path)

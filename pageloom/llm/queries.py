@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm import binary, bpe, decontaminate, jaccard, langid, licenses, quality, urlfilter
-from pageloom.llm.base import scratch, table
+from pageloom.llm import binary, bpe, chat, decontaminate, jaccard, langid, licenses, quality, rollups, urlfilter
+from pageloom.llm.base import scratch, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,56 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_ngram_jaccard")
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_copies(table(spark, folder, "documents")).select("doc_id", "class_id", "copies", "n_links")
+
+
+OP7_SQL = r"""
+WITH kept AS (
+  SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents
+  QUALIFY row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id) = 1),
+own AS (
+  SELECT source, lang, array_to_string(list_distinct(string_split(text, chr(10))), chr(10)) AS text FROM kept),
+counts AS (
+  SELECT source, lang, 'words-1' AS version, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n FROM own
+  UNION ALL
+  SELECT source, lang, 'runs-1', len(regexp_extract_all(text, '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) FROM own)
+SELECT source, lang, version, count(*) AS documents, CAST(sum(n) AS BIGINT) AS tokens FROM counts GROUP BY ALL
+"""
+
+
+@query("op7_token_counts", OP7_SQL)
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus comes in three batches (all documents, copies go, repeated lines go); each is sent twice and counts once."""
+    counts = written(rollups.counted(table(spark, folder, "documents")), "counts")
+    rollup = rollups.TokenRollup(spark, scratch(spark, "rollup"))
+    for number, changes in enumerate(rollups.corpus_batches(counts), 1):
+        rollup.apply(changes, number)
+        rollup.apply(changes, number)
+    return rollup.totals()
+
+
+OP10_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, replace(coalesce(text, ''), '<|', '<\|') AS text FROM conversations),
+people AS (
+  SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker NOT IN ('system', 'unknown')),
+rendered AS (
+  SELECT t.conv_id, perspective, turn, speaker,
+         CASE WHEN speaker = 'system' THEN '<|system|>' WHEN speaker = perspective THEN '<|assistant|>'
+              ELSE '<|user name=' || speaker || '|>' END AS header, text
+  FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+segments AS (
+  SELECT *, header || chr(10) || text || '<|end|>' || chr(10) AS segment FROM rendered),
+summed AS (
+  SELECT *, sum(length(segment)) OVER (
+    PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, segment ROWS UNBOUNDED PRECEDING)::BIGINT AS stop
+  FROM segments)
+SELECT conv_id, perspective, turn, segment, stop - length(segment) AS start, stop,
+       CASE WHEN speaker = perspective THEN stop - length(segment) + length(header) + 1 END AS mask_start,
+       CASE WHEN speaker = perspective THEN stop - 1 END AS mask_stop
+FROM summed
+"""
+
+
+@query("op10_chat_rotation", OP10_SQL)
+def op10_chat_rotation(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.rotate(table(spark, folder, "conversations"))
