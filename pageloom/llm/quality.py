@@ -134,8 +134,12 @@ def quality_rules(
 def keep_good(
     docs: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLDS, stop_words: list[str] = STOP_WORDS, window: int = 5
 ) -> DataFrame:
-    """The documents that the rules keep, with all columns they came with, whatever their names."""
+    """The documents that the rules keep, with all columns they came with, whatever their names.
+
+    The row number keeps the filter above the projection: pushed below, each use of a count would work it out again.
+    """
     rows = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("_row"))
     rows = rows.withColumn("text", F.col("_row.text").cast("string"))
-    judged = _with_verdict(_with_counts(rows, stop_words, window), thresholds)
-    return judged.filter("kept").select(*(F.col(f"_row.{quoted(c)}").alias(c) for c in docs.columns))
+    judged = _with_verdict(_with_counts(rows, stop_words, window), thresholds).select(
+        "_row", "kept", F.monotonically_increasing_id().alias("_number"))
+    return judged.filter("kept and _number >= 0").select(*(F.col(f"_row.{quoted(c)}").alias(c) for c in docs.columns))

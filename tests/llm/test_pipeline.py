@@ -80,7 +80,10 @@ def test_odd_documents(spark):
     docs = spark.createDataFrame(
         [(*r, "x", 2, 3.0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, ids string, `key` int, score double")
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs, FOLDER).columns == docs.columns
-        stage(spark, docs, FOLDER).collect()
-        assert stage(spark, docs.filter("false"), FOLDER).count() == 0
+        kept = stage(spark, docs, FOLDER)
+        assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} <= {r[0] for r in rows}
     assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == len(rows)
+    none = docs.filter("false")
+    for _, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, FOLDER)
+    assert none.count() == 0
