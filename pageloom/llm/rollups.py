@@ -7,7 +7,7 @@ from functools import reduce
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm.base import file_system, put
+from pageloom.llm.base import file_system, put, written
 
 CHANGE = "kind string, doc_id long, version string, source string, lang string, n_tokens long, seq long"
 LEDGER = "doc_id long, version string, source string, lang string, n_tokens long, live boolean"
@@ -109,7 +109,8 @@ def corpus_batches(counts: DataFrame) -> list[DataFrame]:
         return df.select(
             F.lit(kind).alias("kind"), "doc_id", "version", "source", "lang", F.col(tokens).alias("n_tokens"), F.lit(0).alias("seq"))
 
-    first = counts.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    # written, so that both sides of the join are dealt anew and a digest of very many copies can be split
+    first = written(counts.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
     copies = counts.join(first, "digest").filter(F.col("doc_id") > F.col("first"))
     return [
         change(counts, "insert", "n_tokens"), change(copies, "delete", "n_tokens"),
