@@ -166,16 +166,28 @@ def material(t):
     return t.part.select("p_partkey", K.material(features).alias("material"))
 
 
+def _raw_images():
+    return F.concat(
+        F.array(F.lit("//cdn.example/a.jpg"), F.lit(""), F.concat(F.lit("/b"), F.col("page_id").cast("string"), F.lit(".jpg")), F.col("url"), F.lit(None).cast("string")),
+        F.transform(F.sequence(F.lit(1), F.lit(9)), lambda i: F.concat(F.lit("http://x.example/"), i.cast("string"))),
+    )
+
+
+@query("image_urls_all", """
+SELECT page_id, 'https://cdn.example/a.jpg, https://img.example/b' || CAST(page_id AS VARCHAR) || '.jpg, ' || url || ', ' ||
+  array_to_string(list_transform(generate_series(1, 9), lambda i: 'http://x.example/' || CAST(i AS VARCHAR)), ', ') AS images
+FROM pages""")
+def image_urls_all(t):
+    return t.pages.select("page_id", K.joined(K.images(_raw_images(), "https://img.example")).alias("images"))
+
+
 @query("image_urls", """
 SELECT page_id, 'https://cdn.example/a.jpg, https://img.example/b' || CAST(page_id AS VARCHAR) || '.jpg, ' || url || ', ' ||
   array_to_string(list_transform(generate_series(1, 5), lambda i: 'http://x.example/' || CAST(i AS VARCHAR)), ', ') AS images, 'https://cdn.example/a.jpg' AS primary_image
 FROM pages""")
 def image_urls(t):
-    raw = F.concat(
-        F.array(F.lit("//cdn.example/a.jpg"), F.lit(""), F.concat(F.lit("/b"), F.col("page_id").cast("string"), F.lit(".jpg")), F.col("url"), F.lit(None).cast("string")),
-        F.transform(F.sequence(F.lit(1), F.lit(9)), lambda i: F.concat(F.lit("http://x.example/"), i.cast("string"))),
-    )
-    out = K.images(raw, "https://img.example")
+    """With the limit of eight that a site's rule may give."""
+    out = K.images(_raw_images(), "https://img.example", cap=8)
     return t.pages.select("page_id", K.joined(out).alias("images"), K.primary_image(out).alias("primary_image"))
 
 

@@ -140,3 +140,15 @@ def on_domain_links(t):
     links = FR.extract_links(t.pages).select("link", F.regexp_extract(U.url_part(F.col("link"), "host"), r"\.([a-z]+)$", 1).alias("tld"))
     kept = links.join(config, "tld").filter(U.on_domain(F.col("link"), F.concat(F.lit("example."), F.col("tld"))))
     return kept.groupBy("site").agg(F.count("*").alias("links"))
+
+
+@query("odd_links", """
+SELECT p_partkey, 0 AS pos, '/a/' || CAST(p_partkey AS VARCHAR) AS href FROM part
+UNION ALL SELECT p_partkey, 1, '/b?x=1&y=' || p_brand FROM part UNION ALL SELECT p_partkey, 2, '/c' FROM part""")
+def odd_links(t):
+    """Bare and single-quoted values count; links in comments and scripts do not."""
+    html = F.concat(
+        F.lit("<!-- <a href='/hidden'> --><script>var s = \"<a href='/script'>\";</script><a class=x href=/a/"), F.col("p_partkey").cast("string"),
+        F.lit(">one</a> <a href='/b?x=1&#38;y="), F.col("p_brand"), F.lit("'>two</a><A\nHREF = \"/c\" rel=\"x\">three</A>"))
+    rows = t.part.select("p_partkey", html.alias("html"))
+    return rows.select("p_partkey", F.posexplode(H.hrefs(F.col("html"))).alias("pos", "href"))

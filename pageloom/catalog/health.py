@@ -155,3 +155,35 @@ SELECT domain, count(*) AS urls_discovered, count(*) - count(DISTINCT endpoint)
        count(*) FILTER (WHERE NOT ok) AS dead_letters FROM log GROUP BY domain""")
 def pipeline_counters(t):
     return HE.pipeline_counters(fetch_log(t), "endpoint")
+
+
+def _some_without_endpoint(t):
+    """The log with one endpoint in five unknown."""
+    return fetch_log(t).withColumn("endpoint", F.when(F.col("endpoint") % 5 != 3, F.col("endpoint")))
+
+
+_NULL_LOG_SQL = LOG_SQL + """,
+nlog AS (SELECT * REPLACE (CASE WHEN endpoint % 5 <> 3 THEN endpoint END AS endpoint) FROM log)"""
+
+
+@query("fail_streaks_unknown_endpoint", f"""
+WITH {_NULL_LOG_SQL}, g AS (SELECT endpoint, event_id, ts, ok, sum(ok::INT) OVER (PARTITION BY endpoint ORDER BY ts, event_id) AS grp FROM nlog)
+SELECT endpoint, event_id, sum((NOT ok)::INT) OVER (PARTITION BY endpoint, grp ORDER BY ts, event_id)::BIGINT AS fail_streak FROM g""")
+def fail_streaks_unknown_endpoint(t):
+    return HE.with_fail_streak(_some_without_endpoint(t)).select("endpoint", "event_id", "fail_streak")
+
+
+@query("consecutive_failures_unknown_endpoint", f"""
+WITH {_NULL_LOG_SQL}, last_ok AS (SELECT endpoint, max((ts, event_id)) FILTER (WHERE ok) AS last FROM nlog GROUP BY endpoint)
+SELECT l.endpoint, count(*) FILTER (WHERE last IS NULL OR (ts, event_id) > last) AS consecutive_fails, max(ts) AS last_ts
+FROM nlog l JOIN last_ok o ON l.endpoint IS NOT DISTINCT FROM o.endpoint GROUP BY l.endpoint""")
+def consecutive_failures_unknown_endpoint(t):
+    return HE.consecutive_failures(_some_without_endpoint(t))
+
+
+@query("health_totals_unknown_endpoint", f"""
+WITH {_NULL_LOG_SQL} SELECT endpoint, count(*) AS total_requests, count(*) FILTER (WHERE ok) AS total_successes FROM nlog GROUP BY endpoint""")
+def health_totals_unknown_endpoint(t):
+    """Endpoint health keeps the rows of unknown endpoints."""
+    health = HE.endpoint_health(_some_without_endpoint(t), F.lit(NOW).cast("timestamp_ntz"))
+    return health.select("endpoint", "total_requests", "total_successes")

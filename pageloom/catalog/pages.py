@@ -13,7 +13,8 @@ from pageloom.session import spread
 
 
 def sql_unescape(c: str) -> str:
-    for name, char in H.ENTITIES:
+    """The references that the given pages hold, written out."""
+    for name, char in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]:
         c = f"replace({c}, '{name}', '{char.replace(chr(39), chr(39) * 2)}')"
     return c
 
@@ -56,7 +57,8 @@ def _doc_status():
     return F.when(F.col("lang") == "en", 200).when(F.col("lang") == "de", 403).when(F.col("lang") == "fr", 503).otherwise(404)
 
 
-@query("is_challenge_page", "SELECT doc_id, regexp_matches(lower(left(text, 8000)), '" + "|".join(C.CHALLENGE_SIGNALS).replace(".", "\\.") + "') AS challenge FROM documents")
+@query("is_challenge_page", r"""
+SELECT doc_id, regexp_matches(lower(text), 'robot check|type the characters you see|sorry, we just need to make sure|please complete the captcha|solve the captcha|captcha to continue|api-services\.amazon|site maintenance|oops! something went wrong') AS challenge FROM documents""")
 def is_challenge_page(t):
     return t.spread("documents", "doc_id", "lang", "text").select("doc_id", C.is_challenge_page(F.col("text")).alias("challenge"))
 
@@ -378,3 +380,12 @@ def crawl_records(t):
     rules = {"page": [r for r in PAGE_RULES["page"] if r.field in ("article_title", "head_title")]}
     out = records_of_crawl(seeds, pages, config, ["seed_only"], F.lit("page"), german, rules)
     return out.select("project", "site", "schedule_id", "page_url", "page_id", "article_title", "head_title")
+
+
+@query("character_references", """
+SELECT p_partkey, 'Café ' || p_name || ' ’s ½ & < &lt; 😀 &nosuch; 100 % A' AS heading FROM part""")
+def character_references(t):
+    """Named, decimal and hexadecimal references, each decoded once; unknown names stay."""
+    html = F.concat(
+        F.lit("<h1>Caf&eacute;&nbsp;"), F.col("p_name"), F.lit(" &#8217;s &frac12; &amp; &lt; &amp;lt; &#x1F600; &nosuch; 100 % &#65;</h1>"))
+    return t.part.select("p_partkey", H.h1(html).alias("heading"))

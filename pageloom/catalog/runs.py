@@ -159,3 +159,12 @@ def top_products_per_site(t):
 @query("dedup_products", f"WITH {PRODUCTS_SQL} SELECT DISTINCT site, product_id FROM products")
 def dedup_products(t):
     return FR.dedup_in_run(products(t).select("site", "product_id"), ["site", "product_id"])
+
+
+@query("queue_position_unranked", f"""
+WITH {RUNS_SQL}, r AS (SELECT schedule_id, CASE WHEN priority <> 3 THEN priority END AS priority, completed_at FROM runs)
+SELECT schedule_id, priority, row_number() OVER (ORDER BY priority DESC NULLS LAST, completed_at, schedule_id) AS position FROM r""")
+def queue_position_unranked(t):
+    """Runs without a priority come last, none is lost."""
+    rows = runs(t).select("schedule_id", F.when(F.col("priority") != 3, F.col("priority")).alias("priority"), "completed_at")
+    return scans.position_by_level(rows, "priority", "completed_at", "schedule_id", "position").drop("completed_at")

@@ -72,6 +72,33 @@ def backfill_records(t):
     return SR.backfill_records(t.spark, root)
 
 
+@query("backfill_headers", """
+SELECT 'a' AS site, s_name AS name, CAST(s_nationkey AS VARCHAR) AS price, 'red, "x"' AS color, NULL AS sku FROM supplier
+UNION ALL SELECT 'b', c_name, NULL, NULL, CAST(c_custkey AS VARCHAR) FROM customer
+UNION ALL SELECT 'c', n_name, CAST(n_regionkey AS VARCHAR), NULL, NULL FROM nation""")
+def backfill_headers(t):
+    """Three sites whose headers differ in columns and order."""
+    root = new_folder(t.spark, "backfill")
+    a = t.supplier.select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("price"), F.lit('red, "x"').alias("color"))
+    b = t.customer.select(F.col("c_custkey").alias("sku"), F.col("c_name").alias("name"))
+    c = t.nation.select(F.col("n_regionkey").alias("price"), F.col("n_name").alias("name"))
+    for site, df in (("a", a), ("b", b), ("c", c)):
+        SR.write_records_csv(df, f"{root}/web/{site}_web_1", df.columns)
+    return SR.backfill_records(t.spark, root).select("site", "name", "price", "color", "sku")
+
+
+@query("backfill_index", """
+SELECT 'web' AS index, s_name AS doc_id, CAST(s_nationkey AS VARCHAR) AS price FROM supplier
+UNION ALL SELECT 'web', n_name, NULL FROM nation""")
+def backfill_index(t):
+    """From the record files of two sites to the documents of the index."""
+    root, out = new_folder(t.spark, "backfill"), new_folder(t.spark, "index")
+    SR.write_records_csv(t.supplier.select(F.col("s_name").alias("uniq_id"), F.col("s_nationkey").alias("price")), f"{root}/web/a_web_1", ["uniq_id", "price"])
+    SR.write_records_csv(t.nation.select(F.col("n_regionkey").alias("note"), F.col("n_name").alias("uniq_id")), f"{root}/web/b_web_1", ["note", "uniq_id"])
+    SR.backfill_index(t.spark, root, out)
+    return t.spark.read.parquet(out).select("index", "doc_id", F.get_json_object("doc", "$.price").alias("price"))
+
+
 @query("index_docs", """
 SELECT 'web-crawl' AS index, md5(CAST(doc_id AS VARCHAR)) AS doc_id, CASE WHEN lang = 'en' THEN NULL ELSE lang END AS lang, n_chars,
        'shop' AS site_name, '2026-03-11T23:26:23.000Z' AS stamp FROM documents""")
@@ -95,7 +122,31 @@ def index_load_twice(t):
     records = t.documents.select(F.md5(F.encode("text", "UTF-8")).alias("uniq_id"), "lang", "source")
     for _ in range(2):
         SR.write_index_docs(records, "web", path)
-    return t.spark.read.schema("_id string, _index string").json(path)
+    return SR.read_index(t.spark, path).select(F.col("doc_id").alias("_id"), F.col("index").alias("_index"))
+
+
+@query("index_two_loads", """
+SELECT md5(CAST(doc_id AS VARCHAR)) AS doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'second' ELSE 'first' END AS load FROM documents""")
+def index_two_loads(t):
+    """Other records loaded into the same index leave it as it is; a key of both loads has the later document."""
+    path = new_folder(t.spark, "index")
+    key = F.md5(F.encode(F.col("doc_id").cast("string"), "UTF-8")).alias("uniq_id")
+    SR.write_index_docs(t.documents.select(key, F.lit("first").alias("mark")), "web", path, load="1")
+    SR.write_index_docs(t.labels.select(key, F.lit("second").alias("mark")), "web", path, load="2")
+    return SR.read_index(t.spark, path).select("doc_id", F.get_json_object("doc", "$.mark").alias("load"))
+
+
+@query("page_store_two_loads", """
+SELECT page_id, CASE WHEN contains(url, '/en/') THEN 'second' ELSE 'first' END AS load FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS n FROM pages) WHERE n = 1""")
+def page_store_two_loads(t):
+    """Two loads of one day: pages of the first stay, those loaded again come from the second."""
+    path = new_folder(t.spark, "pages")
+    one = t.pages.groupBy("url").agg(F.min("page_id").alias("page_id"))
+    for load, rows in (("first", one), ("second", one.filter(F.contains("url", F.lit("/en/"))))):
+        SP.write_pages(rows.withColumns({
+            "project": F.lit("web"), "fetched_at": F.lit("2026-03-11 10:00:00").cast("timestamp_ntz"), "html": F.lit(load)}), path, load)
+    return SP.read_page_table(t.spark, path).select("page_id", F.col("html").alias("load"))
 
 
 @query("index_rejects", """

@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 
 from pageloom.catalog.base import DOMAIN_LOG_SQL, LOG_SQL, domain_log, fetch_log, query
 from pageloom.catalog.quality import DLQ_SQL, dlq
+from pageloom.session import new_folder
 from pageloom.streaming import streams as ST, stateful as SF
 
 
 def stream(t, name: str):
     """A table as a stream; NTZ times become timestamps, which watermarks need."""
     schema = getattr(t, name).schema
-    df = ST.stream_pages(t.spark, t.folder, schema, pattern=f"{name}.parquet")
-    for f in schema.fields:
-        if f.dataType.typeName() == "timestamp_ntz":
-            df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
-    return df
+    return zoned(ST.stream_pages(t.spark, t.folder, schema, pattern=f"{name}.parquet"))
+
+
+def zoned(df):
+    return df.withColumns({f.name: F.col(f.name).cast("timestamp") for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"})
 
 
 def plain(df):
@@ -141,17 +142,54 @@ def stream_expire_dlq(t):
     return ST.drain(ST.stream_expire_dlq(letters, now=F.lit("2024-01-30 12:00:00").cast("timestamp")).select("event_id"), "dlq")
 
 
-@query("stream_late_rows", "SELECT count(*) AS rows_in, 0 AS dropped FROM events")
-def stream_late_rows(t):
-    """Rows behind the watermark are counted; one file is one batch, so none is late here."""
-    from pageloom.session import new_folder
+def in_time_order(t, name: str, by: str, files: int = 6):
+    """The table as a stream of several files, each a micro-batch, the rows of one file later than those of the one before.
 
-    out = new_folder(t.spark, "late")
-    rates = ST.success_rate(domain_log(t, stream(t, "events")))
-    running = (
-        rates.writeStream.format("parquet").trigger(availableNow=True).option("path", f"{out}/data")
-        .option("checkpointLocation", f"{out}/checkpoint").start()
-    )
-    running.awaitTermination()
-    dropped = ST.late_rows(running)
-    return t.events.agg(F.count("*").alias("rows_in"), F.lit(dropped).alias("dropped"))
+    File times are the order in which a stream takes files, so the files are written one after the other.
+    """
+    folder, df = new_folder(t.spark, f"ordered-{name}"), getattr(t, name)
+    place = F.pmod(F.col(by), F.lit(files))
+    for k in range(files):
+        df.filter(place == k).coalesce(1).write.mode("append").parquet(folder)
+    return zoned(ST.stream_table(t.spark, folder, df.schema, 1))
+
+
+@query("stream_late_rows", """
+WITH dealt AS (SELECT *, event_id % 6 AS b FROM events),
+seen AS (SELECT b, max(ts) AS top FROM dealt GROUP BY b),
+marks AS (SELECT b, max(top) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM seen)
+SELECT count(*) AS rows_in, count(*) FILTER (
+  WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= date_trunc('milliseconds', marks.top) - INTERVAL 1 DAY) > 0 AS late
+FROM dealt JOIN marks USING (b)""")
+def stream_late_rows(t):
+    """Six micro-batches over the same days: rows of windows that are closed by then are dropped, and counted."""
+    out, late = new_folder(t.spark, "late"), ST.LateRows()
+    t.spark.streams.addListener(late)
+    try:
+        counts = in_time_order(t, "events", "event_id").withWatermark("ts", "1 day").groupBy(F.window("ts", "1 hour")).agg(F.count("*").alias("n"))
+        running = counts.writeStream.format("parquet").trigger(availableNow=True).option("path", f"{out}/data").option(
+            "checkpointLocation", f"{out}/checkpoint").start()
+        running.awaitTermination()
+        dropped = late.of(running)
+    finally:
+        t.spark.streams.removeListener(late)
+    return t.events.agg(F.count("*").alias("rows_in"), F.lit(dropped > 0).alias("late"))
+
+
+@query("stream_index_batches", """
+SELECT CAST(user_id AS VARCHAR) AS doc_id, max(event_id % 6)::VARCHAR AS batch FROM events GROUP BY 1""")
+def stream_index_batches(t):
+    """Keys that come in several micro-batches have one document, that of the latest."""
+    rows = in_time_order(t, "events", "event_id").select(
+        F.col("user_id").cast("string").alias("uniq_id"), F.pmod("event_id", F.lit(6)).cast("string").alias("batch"))
+    docs, _ = ST.stream_index_load(rows, "web")
+    return docs.select("doc_id", F.get_json_object("doc", "$.batch").alias("batch"))
+
+
+@query("stream_index_rejects", """
+SELECT count(*) AS rejects FROM events WHERE user_id % 10 = 3""")
+def stream_index_rejects(t):
+    """Rows without a key come back as rejects."""
+    key = F.when(F.col("user_id") % 10 != 3, F.col("user_id").cast("string"))
+    _, rejects = ST.stream_index_load(stream(t, "events").select(key.alias("uniq_id"), "event_type"), "web")
+    return rejects.agg(F.count("*").alias("rejects"))

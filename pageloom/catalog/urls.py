@@ -251,7 +251,7 @@ def counted_pages(t):
 
 @query("labelled_pages", """
 SELECT p_partkey, CAST(i - 1 AS INTEGER) AS page_pos, 'https://shop.example/s?k=' || p_type || '&page=' || CAST(i AS VARCHAR) AS page_url
-FROM (SELECT *, unnest(generate_series(2, least(CASE WHEN p_size > 40 THEN 10 ELSE p_size END, 10))) AS i FROM part)""")
+FROM (SELECT *, unnest(generate_series(2, CASE WHEN p_size > 40 THEN 10 ELSE p_size END)) AS i FROM part)""")
 def labelled_pages(t):
     labels = F.when(F.col("p_size") > 40, F.array(F.lit("Next"))).otherwise(
         F.array(F.lit("1"), F.concat(F.lit(" "), F.col("p_size").cast("string")), F.lit("Next"))

@@ -52,9 +52,9 @@ def strip_space(c: Column) -> Column:
     return F.trim(c, F.lit(" \t\n\r\f\x0b"))
 
 
-def is_challenge_page(html: Column, sample: int = 8000) -> Column:
-    """One of nine texts in the first `sample` characters."""
-    return F.coalesce(F.lower(F.substring(html, 1, sample)).rlike(_any_of(CHALLENGE_SIGNALS)), F.lit(False))
+def is_challenge_page(html: Column, sample: int | None = None) -> Column:
+    """One of nine texts anywhere in the page; compat: `sample=8000` looks at the first 8000 characters only."""
+    return F.coalesce(F.lower(html if sample is None else F.substring(html, 1, sample)).rlike(_any_of(CHALLENGE_SIGNALS)), F.lit(False))
 
 
 def is_blocked(status: Column, html: Column, min_len: int = 500) -> Column:

@@ -147,15 +147,15 @@ def material(features: Column) -> Column:
     return _null_if_blank(F.try_element_at(hits, F.lit(1))["value"])
 
 
-def images(urls: Column, base: str, cap: int = 8) -> Column:
-    """Non-blank image URLs made absolute, the first `cap` of them."""
+def images(urls: Column, base: str, cap: int | None = None) -> Column:
+    """Non-blank image URLs made absolute; the first `cap` of them where a site's rule gives one."""
     absolute = F.transform(
         F.filter(urls, lambda u: F.coalesce(u, F.lit("")) != ""),
         lambda u: F.when(F.startswith(u, F.lit("//")), F.concat(F.lit("https:"), u))
         .when(~F.startswith(u, F.lit("http")), F.concat(F.lit(base), u))
         .otherwise(u),
     )
-    return F.slice(absolute, 1, cap)
+    return absolute if cap is None else F.slice(absolute, 1, cap)
 
 
 def primary_image(arr: Column) -> Column:

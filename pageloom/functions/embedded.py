@@ -115,34 +115,30 @@ def embedded_state(html: Column, marker: str) -> Column:
     return _balanced_udf(rest)
 
 
-def _find_list(node, key: str, depth: int, limit: int):
-    if depth > limit:
-        return None
-    if isinstance(node, dict):
-        hit = node.get(key)
-        if isinstance(hit, list) and hit:
-            return hit
-        children = node.values()
-    elif isinstance(node, list):
-        children = node
-    else:
-        return None
-    for child in children:
-        hit = _find_list(child, key, depth + 1, limit)
-        if hit:
-            return hit
+def _find_list(root, key: str, limit: int | None):
+    """Depth first, a node's own list before those of its children; no recursion, so any depth that parses is searched."""
+    todo = [(root, 0)]
+    while todo:
+        node, depth = todo.pop()
+        if isinstance(node, dict):
+            hit = node.get(key)
+            if isinstance(hit, list) and hit:
+                return hit
+        children = list(node.values() if isinstance(node, dict) else node)
+        if limit is None or depth < limit:
+            todo.extend((c, depth + 1) for c in reversed(children) if isinstance(c, (dict, list)))
     return None
 
 
-def find_list(json_text: Column, key: str = "products", max_depth: int = 8) -> Column:
-    """The first non-empty list under `key` anywhere in a JSON text, as JSON text."""
+def find_list(json_text: Column, key: str = "products", max_depth: int | None = None) -> Column:
+    """The first non-empty list under `key` anywhere in a JSON text (down to `max_depth`, if given), as JSON text."""
 
     def search(text: str | None) -> str | None:
         if not text or f'"{key}"' not in text:
             return None
         try:
-            hit = _find_list(json.loads(text), key, 0, max_depth)
-        except ValueError:
+            hit = _find_list(json.loads(text), key, max_depth)
+        except (ValueError, TypeError, RecursionError):
             return None
         return json.dumps(hit, ensure_ascii=False) if hit else None
 

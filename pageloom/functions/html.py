@@ -7,13 +7,14 @@ They stay in the JVM. Selectors that need real tree structure are in
 from __future__ import annotations
 
 import re
+from functools import cache
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
-# The named character references written out in text pages.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-
-LINK_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["']"""
+# The value of a quoted or bare href is the only group: what follows the quote, or what follows no quote.
+LINK_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|(?<!["'])[^\s"'>]+)"""
+REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 HIDDEN_PATTERN = r"(?is)<(?:!--.*?--|script\b.*?</script|style\b.*?</style)>"
 
 
@@ -21,10 +22,28 @@ def _null_if_blank(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+@cache
+def _names() -> dict[str, str]:
+    """Characters of the named references; a no-break space becomes a space, as everywhere here."""
+    return {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+
+
+def _character(reference: Column) -> Column:
+    """Character of a reference without its & and ;, or the reference itself if it stands for none."""
+    number = F.when(F.startswith(reference, F.lit("#x")) | F.startswith(reference, F.lit("#X")), F.conv(F.substr(reference, F.lit(3)), 16, 10)).when(
+        F.startswith(reference, F.lit("#")), F.substr(reference, F.lit(2))).try_cast("bigint")
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    coded = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    names = F.create_map(*[F.lit(x) for pair in sorted(_names().items()) for x in pair])
+    named = F.when(~F.startswith(reference, F.lit("#")), F.try_element_at(names, reference))
+    return F.coalesce(coded, named, F.concat(F.lit("&"), reference, F.lit(";")))
+
+
 def unescape_html(c: Column) -> Column:
-    for name, char in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    """Numeric and named character references, each decoded once; texts without an & are left alone."""
+    references = F.concat(F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(1)), F.array(F.lit("")))
+    decoded = F.zip_with(F.split(c, REFERENCE), references, lambda text, ref: F.concat(text, F.when(ref == "", F.lit("")).otherwise(_character(ref))))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
 
 
 def collapse_space(c: Column) -> Column:
@@ -105,8 +124,8 @@ def script_value(html: Column, key: str) -> Column:
 
 
 def hrefs(html: Column) -> Column:
-    """All `a/@href` values in page order."""
-    found = F.regexp_extract_all(html, F.lit(LINK_PATTERN), F.lit(1))
+    """All `a/@href` values in page order, quoted or bare; none of comments, scripts and styles."""
+    found = F.regexp_extract_all(F.regexp_replace(html, HIDDEN_PATTERN, " "), F.lit(LINK_PATTERN), F.lit(1))
     return F.transform(found, unescape_html)
 
 

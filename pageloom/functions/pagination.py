@@ -86,25 +86,26 @@ def counted_pages(c: Column, items: Column, per_page: int = 12) -> Column:
     return F.when(n > 1, pages).otherwise(F.array(c))
 
 
-def labelled_pages(c: Column, labels: Column, cap: int = 10) -> Column:
-    """Pages 2..min(largest numeric label, cap); 2..cap without a numeric label."""
+def labelled_pages(c: Column, labels: Column, cap: int | None = None, unlabelled: int = 10) -> Column:
+    """Pages 2..largest numeric label, or 2..cap if a site's row gives a lower one; 2..`unlabelled` without a numeric label."""
     nums = F.filter(F.transform(labels, lambda s: F.trim(s).try_cast("int")), lambda n: n.isNotNull())
-    last = F.least(F.coalesce(F.array_max(nums), F.lit(cap)), F.lit(cap))
+    last = F.coalesce(F.array_max(nums), F.lit(unlabelled))
+    last = last if cap is None else F.least(last, F.lit(cap))
     return _fill(F.concat(c, F.lit(f"&page={_SLOT}")), _numbers(2, last))
 
 
-def next_pages(c: Column, next_link: Column, cap: int = 10) -> Column:
-    """The next link alone; else count on from `page=c`; else append pages 2..11."""
+def next_pages(c: Column, next_link: Column, cap: int | None = None, ahead: int = 10) -> Column:
+    """The next link alone; else `ahead` pages on from `page=c`; else the first `ahead` pages from 2 on. A site's row may give a cap."""
     here = F.regexp_extract(c, r"[?&]page=(\d+)", 1).try_cast("int")
     first = F.regexp_extract(c, r"^(.*?[?&]page=)\d+", 1)
     rest = F.regexp_extract(c, r"^.*?[?&]page=\d+(.*)$", 1)
-    onward = _fill(F.concat(first, F.lit(_SLOT), rest), _numbers(here + 1, here + 10))
+    onward = _fill(F.concat(first, F.lit(_SLOT), rest), _numbers(here + 1, here + ahead))
     urls = (
         F.when(next_link.isNotNull(), F.array(next_link))
         .when(here.isNotNull(), onward)
-        .otherwise(append_pages(c, "page", 2, 10))
+        .otherwise(append_pages(c, "page", 2, ahead))
     )
-    return F.slice(urls, 1, cap)
+    return urls if cap is None else F.slice(urls, 1, cap)
 
 
 def api_pages(api_base: str, code: Column, pages: int = 10, size: int = 45) -> Column:

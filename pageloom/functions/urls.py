@@ -30,7 +30,7 @@ SKIP_SEGMENTS = [
     "page", "tag", "author", "category", "search", "feed",
     "topic", "video", "gallery", "photo", "quiz", "newsletter",
 ]
-PRODUCT_PATTERNS = ["/p/", "/product/"]
+PRODUCT_PATTERNS = ["/p/", "/product/", "/products/"]
 FASHION_KEYWORDS = [
     "fashion", "style", "wear", "outfit", "cloth", "apparel", "dress",
     "ethnic", "saree", "kurta", "kurti", "lehenga", "boutique", "designer",

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pageloom.functions import html as H, pagination as P, urls as U
-from pageloom.operators.joins import checked_broadcast
 from pageloom.operators.scans import first_per_key, rank_by_number
 
 FRONTIER_KEY = ["project", "site", "schedule_id", "url"]
@@ -122,15 +121,17 @@ def expand_frontier(seeds: DataFrame, pages: DataFrame, config: DataFrame, metho
     unknown = [m for m in methods if m not in registry]
     if unknown:
         raise KeyError(f"unregistered methods: {unknown}")
-    page_links = pages.select("url", resolved_links(F.col("url"), H.hrefs(F.col("html"))).alias("__links"))
     level = seeds.select(
         *FRONTIER_KEY, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("parent_url")
     )
     for number in range(1, depth + 1):
-        steps = checked_broadcast(config.filter(F.col("level") == number).select("project", "site", "method"))
+        steps = config.filter(F.col("level") == number).select("project", "site", "method")
         todo = _dedup_level(level).join(steps, ["project", "site"])
         if any(registry[m].kind == "links" for m in methods):
-            todo = todo.join(page_links, "url", "left")
+            # only the level's own pages are searched for links; their text stays behind
+            read = pages.select("url", "html").join(todo.select("url").distinct(), "url", "left_semi")
+            links = read.select("url", resolved_links(F.col("url"), H.hrefs(F.col("html"))).alias("__links"))
+            todo = todo.join(links, "url", "left")
         # one branch for all methods, so that the plan grows with the depth only
         urls = F.array().cast("array<string>")
         for name in methods:

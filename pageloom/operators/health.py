@@ -41,7 +41,7 @@ def latency_ema(log: DataFrame, key: str = "endpoint", order: Sequence[str] = ("
     hits = log.filter(F.col("ok") & (F.col("latency_ms") > 0))
     folded = ema(hits, key, order, F.col("latency_ms"), LATENCY_ALPHA, LATENCY_START, "ema_latency_ms", chunk_s)
     return (
-        log.select(key).distinct().join(folded, key, "left")
+        scans.same_keys(log.select(key).distinct(), folded, [key], "left")
         .select(key, F.coalesce("ema_latency_ms", F.lit(LATENCY_START)).alias("ema_latency_ms"))
     )
 
@@ -57,7 +57,7 @@ def consecutive_failures(log: DataFrame, key: str = "endpoint",
     at = F.struct(*order)
     last_ok = log.filter("ok").groupBy(key).agg(F.max(at).alias("__ok"))
     return (
-        log.select(key, *order).join(last_ok, key, "left")
+        scans.same_keys(log.select(key, *order), last_ok, [key], "left")
         .groupBy(key)
         .agg(
             F.count_if(F.col("__ok").isNull() | (at > F.col("__ok"))).alias("consecutive_fails"),
@@ -110,8 +110,8 @@ def endpoint_health(log: DataFrame, now: Column, key: str = "endpoint", chunk_s:
     totals = log.groupBy(key).agg(
         F.count("*").alias("total_requests"), F.count_if("ok").alias("total_successes")
     )
-    joined = ema(log, key, chunk_s=chunk_s).join(breaker_state(log, now, key), key).join(totals, key)
-    return health_label(joined)
+    joined = scans.same_keys(ema(log, key, chunk_s=chunk_s), breaker_state(log, now, key), [key])
+    return health_label(scans.same_keys(joined, totals, [key]))
 
 
 def pool_stats(health: DataFrame) -> DataFrame:

@@ -23,13 +23,9 @@ def missing_pages(metadata: DataFrame, pages: DataFrame, key: str = "url_key") -
     return metadata.join(pages.select(key), key, "left_anti")
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a narrow table for broadcast if it has at most `max_rows` rows; else leave it to a shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def with_config(df: DataFrame, config: DataFrame, on: Sequence[str] = ("project", "site")) -> DataFrame:
-    return df.join(checked_broadcast(config), list(on))
+    """No hint: Spark broadcasts the configuration while it is below the size threshold, and shuffles it beyond."""
+    return df.join(config, list(on))
 
 
 def overlay(base: DataFrame, top: DataFrame, key: str) -> DataFrame:

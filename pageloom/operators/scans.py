@@ -10,11 +10,26 @@ row for each chunk, meet in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 HOUR = 3600
 CHUNK = "__chunk"
+KEY = "__key"
+
+
+def key_of(keys: Sequence[str]) -> Column:
+    """The key columns as one text that is never NULL, so that rows with a NULL key meet in joins and windows like others."""
+    return F.to_json(F.struct(*[F.col(k) for k in keys])).alias(KEY)
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on key columns where NULL equals NULL; the columns of `right` come without the keys."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def seconds(ts: Column) -> Column:
@@ -59,36 +74,37 @@ def decayed_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
 
 def fail_streak(df: DataFrame, keys: Sequence[str], order: Sequence[str], ok: Column, ts: str, out: str,
                 chunk_s: int = HOUR) -> DataFrame:
-    """Add for each row the number of failures since the last success, itself included. Rows without a key are left out."""
-    w = W.partitionBy(*keys, CHUNK).orderBy(*order)
+    """Add for each row the number of failures since the last success, itself included. Rows with a NULL key are a key of their own."""
+    w = W.partitionBy(KEY, CHUNK).orderBy(*order)
     rows = (
         df.withColumn("__ok", ok)
+        .withColumn(KEY, key_of(keys))
         .withColumn(CHUNK, time_chunk(F.col(ts), chunk_s))
         .withColumn("__rn", F.row_number().over(w))
         .withColumn("__last_ok", F.max(F.when(F.col("__ok"), F.col("__rn"))).over(w.rowsBetween(W.unboundedPreceding, 0)))
     )
-    summary = rows.groupBy(*keys, CHUNK).agg(
+    summary = rows.groupBy(KEY, CHUNK).agg(
         F.count("*").alias("__n"),
         F.max(F.when(F.col("__ok"), F.col("__rn"))).alias("__ok_at"),
     )
-    by_chunk = W.partitionBy(*keys).orderBy(CHUNK)
+    by_chunk = W.partitionBy(KEY).orderBy(CHUNK)
     island = F.sum(F.col("__ok_at").isNotNull().cast("int")).over(by_chunk)
     ends = summary.withColumn("__g", island)
     trailing = F.sum(F.col("__n") - F.coalesce(F.col("__ok_at"), F.lit(0))).over(
-        W.partitionBy(*keys, "__g").orderBy(CHUNK).rowsBetween(W.unboundedPreceding, 0)
+        W.partitionBy(KEY, "__g").orderBy(CHUNK).rowsBetween(W.unboundedPreceding, 0)
     )
     carry = (
         ends.withColumn("__end", trailing)
         .withColumn("__carry", F.coalesce(F.lag("__end").over(by_chunk), F.lit(0)))
-        .select(*keys, CHUNK, "__carry")
+        .select(KEY, CHUNK, "__carry")
     )
     streak = F.col("__rn") - F.coalesce(F.col("__last_ok"), F.lit(0)) + F.when(
         F.col("__last_ok").isNull(), F.col("__carry")
     ).otherwise(F.lit(0))
     return (
-        rows.join(carry, [*keys, CHUNK])
+        rows.join(carry, [KEY, CHUNK])
         .withColumn(out, streak.cast("bigint"))
-        .drop("__ok", "__rn", "__last_ok", "__carry", CHUNK)
+        .drop("__ok", "__rn", "__last_ok", "__carry", CHUNK, KEY)
     )
 
 
@@ -96,20 +112,20 @@ def lag_by_time(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
                 chunk_s: int = 24 * HOUR) -> DataFrame:
     """Add the value of the previous row of the key; the first row of a chunk looks into earlier chunks.
 
-    Rows without a key are left out.
+    Rows with a NULL key are a key of their own.
     """
-    pieces = df.withColumn(CHUNK, time_chunk(F.col(ts), chunk_s))
-    w = W.partitionBy(*keys, CHUNK).orderBy(*order)
+    pieces = df.withColumn(KEY, key_of(keys)).withColumn(CHUNK, time_chunk(F.col(ts), chunk_s))
+    w = W.partitionBy(KEY, CHUNK).orderBy(*order)
     rows = pieces.withColumn("__rn", F.row_number().over(w)).withColumn("__prev", F.lag(value).over(w))
     # from the windowed rows, which are partitioned for this already
-    ends = rows.groupBy(*keys, CHUNK).agg(F.max_by(F.col(value), F.col("__rn")).alias("__end"))
+    ends = rows.groupBy(KEY, CHUNK).agg(F.max_by(F.col(value), F.col("__rn")).alias("__end"))
     carry = ends.select(
-        *keys, CHUNK, F.lag("__end").over(W.partitionBy(*keys).orderBy(CHUNK)).alias("__carry")
+        KEY, CHUNK, F.lag("__end").over(W.partitionBy(KEY).orderBy(CHUNK)).alias("__carry")
     )
     return (
-        rows.join(carry, [*keys, CHUNK])
+        rows.join(carry, [KEY, CHUNK])
         .withColumn(out, F.when(F.col("__rn") == 1, F.col("__carry")).otherwise(F.col("__prev")))
-        .drop("__rn", "__prev", "__carry", CHUNK)
+        .drop("__rn", "__prev", "__carry", CHUNK, KEY)
     )
 
 
@@ -137,43 +153,43 @@ def rolling_by_time(df: DataFrame, keys: Sequence[str], ts: str, seconds_back: i
 
 
 def position_by_level(df: DataFrame, level: str, ts: str, tie: str, out: str, chunk_s: int = 24 * HOUR) -> DataFrame:
-    """1-based place in the total order (level descending, then time, then tie), computed piecewise."""
-    local = F.row_number().over(W.partitionBy(level, CHUNK).orderBy(ts, tie))
-    rows = df.withColumn(CHUNK, time_chunk(F.col(ts), chunk_s)).withColumn("__local", local)
+    """1-based place in the total order (level descending, NULL last, then time, then tie), computed piecewise."""
+    local = F.row_number().over(W.partitionBy(KEY, CHUNK).orderBy(ts, tie))
+    rows = df.withColumn(KEY, key_of([level])).withColumn(CHUNK, time_chunk(F.col(ts), chunk_s)).withColumn("__local", local)
     # from the numbered rows, which are partitioned for this already
-    counts = rows.groupBy(level, CHUNK).agg(F.max("__local").cast("bigint").alias("__n"))
-    before_in_level = W.partitionBy(level).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    counts = rows.groupBy(KEY, CHUNK).agg(F.max("__local").cast("bigint").alias("__n"), F.first(level).alias("__level"))
+    before_in_level = W.partitionBy(KEY).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     # one row for each level: the only step with a single task
-    totals = counts.groupBy(level).agg(F.sum("__n").alias("__t"))
+    totals = counts.groupBy(KEY).agg(F.sum("__n").alias("__t"), F.first("__level").alias("__level"))
     higher = totals.select(
-        level,
-        F.coalesce(F.sum("__t").over(W.orderBy(F.desc(level)).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__h"),
+        KEY,
+        F.coalesce(F.sum("__t").over(W.orderBy(F.desc("__level")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__h"),
     )
     offsets = (
         counts.withColumn("__b", F.coalesce(F.sum("__n").over(before_in_level), F.lit(0)))
-        .join(higher, level)
-        .select(level, CHUNK, (F.col("__b") + F.col("__h")).alias("__off"))
+        .join(higher, KEY)
+        .select(KEY, CHUNK, (F.col("__b") + F.col("__h")).alias("__off"))
     )
     return (
-        rows.join(offsets, [level, CHUNK])
+        rows.join(offsets, [KEY, CHUNK])
         .withColumn(out, (F.col("__local") + F.col("__off")).cast("bigint"))
-        .drop("__local", "__off", CHUNK)
+        .drop("__local", "__off", CHUNK, KEY)
     )
 
 
 def rank_by_number(df: DataFrame, keys: Sequence[str], number: str, out: str, width: int = 10_000) -> DataFrame:
     """1-based rank by a numeric position that is unique in its group; long groups are cut every `width` positions."""
-    rows = df.withColumn(CHUNK, F.coalesce(F.floor(F.col(number) / F.lit(width)).cast("bigint"), F.lit(-1)))
-    rows = rows.withColumn("__local", F.row_number().over(W.partitionBy(*keys, CHUNK).orderBy(number)))
-    before = W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    rows = df.withColumn(KEY, key_of(keys)).withColumn(CHUNK, F.coalesce(F.floor(F.col(number) / F.lit(width)).cast("bigint"), F.lit(-1)))
+    rows = rows.withColumn("__local", F.row_number().over(W.partitionBy(KEY, CHUNK).orderBy(number)))
+    before = W.partitionBy(KEY).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*keys, CHUNK).agg(F.max("__local").cast("bigint").alias("__n"))
-        .select(*keys, CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+        rows.groupBy(KEY, CHUNK).agg(F.max("__local").cast("bigint").alias("__n"))
+        .select(KEY, CHUNK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     )
     return (
-        rows.join(offsets, [*keys, CHUNK])
+        rows.join(offsets, [KEY, CHUNK])
         .withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
-        .drop("__local", "__off", CHUNK)
+        .drop("__local", "__off", CHUNK, KEY)
     )
 
 

@@ -14,13 +14,13 @@ def records_of_crawl(seeds: DataFrame, pages: DataFrame, config: DataFrame, meth
                      state: DataFrame | None = None, rule_sets: dict | None = None) -> DataFrame:
     """Seeds to records. `rule_set` is a column over url.
 
-    Blocked and unchanged pages are dropped before any page is parsed, and pages
-    are turned into records before the frontier is joined, so page text stays
-    where it was read unless the changed set is too large to broadcast.
+    Only pages of the frontier's URLs are looked at; of these, blocked and unchanged ones are dropped before
+    any page is parsed, and records, not pages, are joined with the frontier.
     """
     found = FR.expand_frontier(seeds, pages, config, methods).select("project", "site", "schedule_id", "url")
     wanted = FR.dedup_in_run(found, ("project", "site", "schedule_id", "url"))
-    usable = pages.filter(~C.is_blocked(F.lit(200), F.col("html")))
+    asked = wanted.select("url").distinct()
+    usable = pages.join(asked, "url", "left_semi").filter(~C.is_blocked(F.lit(200), F.col("html")))
     if state is not None:
         batch = usable.select("url", CH.content_hash(F.col("html")).alias("hash"))
         usable = CH.changed_pages(usable, CH.detect_changes(state, batch))

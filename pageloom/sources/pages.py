@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pageloom import schemas
 from pageloom.functions import html as H, urls as U
+from pageloom.operators import scans
 
 
 def read_pages(spark: SparkSession, root: str, pattern: str = "*.html.gz") -> DataFrame:
@@ -19,8 +20,8 @@ def read_pages(spark: SparkSession, root: str, pattern: str = "*.html.gz") -> Da
     )
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    """Pages by project, domain and date; a second write of a day replaces that day.
+def write_pages(pages: DataFrame, path: str, load: str = "0") -> None:
+    """Pages by project, domain, date and load; other loads of the same day stay, the same load written again replaces itself.
 
     Rows are clustered on the partition columns by a rebalance, so that run-time
     statistics join small domains into one task and split a large one over many.
@@ -29,16 +30,26 @@ def write_pages(pages: DataFrame, path: str) -> None:
         "domain": U.domain(F.col("url")),
         "date": F.to_date("fetched_at"),
         "url_md5": U.url_hash(F.col("url")),
+        "load": F.lit(load),
     })
     (
         rows.hint("rebalance", "project", "domain", "date")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("project", "domain", "date").parquet(path)
+        .partitionBy("project", "domain", "date", "load").parquet(path)
     )
 
 
 def read_page_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """All stored pages; one that was loaded again on its day comes from its latest load (by time, then name of the load).
+
+    Which load that is comes from the narrow columns; page text is not shuffled for pages of one load unless the join is.
+    """
+    pages = spark.read.option("basePath", path).parquet(path).withColumn("load", F.col("load").cast("string"))
+    key = ["project", "domain", "date", "url_md5"]
+    again = pages.groupBy(*key).agg(F.max(F.struct("fetched_at", "load")).alias("__last"), F.count_distinct("load").alias("__n"))
+    again = again.filter("__n > 1").select(*key, F.col("__last.load").alias("__load"))
+    joined = scans.same_keys(pages, again, key, "left")
+    return joined.filter(F.col("__load").isNull() | (F.col("__load") == F.col("load"))).drop("__load", "load")
 
 
 def read_fetch_metadata(spark: SparkSession, path: str) -> DataFrame:

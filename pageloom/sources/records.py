@@ -38,14 +38,12 @@ def merge_sites(parts: dict[str, DataFrame], schedule_id: str) -> DataFrame:
 
 
 def merge_site_files(spark: SparkSession, root: str, project: str, schedule_id: str) -> DataFrame:
-    """The same from `{root}/{site}_{project}_{schedule_id}/*.csv`; each header is read by itself."""
-    pattern = f"{root.rstrip('/')}/*_{project}_{schedule_id}"
-    folders = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(pattern)
-    names = folders.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("d")).distinct().orderBy("d")
+    """The same from `{root}/{site}_{project}_{schedule_id}/*.csv`, in one read for each kind of header; the site comes from the path."""
     suffix = f"_{project}_{schedule_id}"
-    # config-sized: one name for each site
-    sites = [r.d.removesuffix(suffix) for r in names.toLocalIterator()]
-    return merge_sites({s: read_records_csv(spark, f"{root.rstrip('/')}/{s}{suffix}/*.csv") for s in sites}, schedule_id)
+    rows = read_csv_by_header(spark, f"{root.rstrip('/')}/*{suffix}")
+    folder = F.regexp_extract("__path", r"([^/]+)/[^/]+$", 1)
+    site = F.substring(folder, F.lit(1), F.length(folder) - len(suffix))
+    return rows.select(site.alias("site_name"), F.lit(schedule_id).alias("schedule_id"), *[c for c in rows.columns if c != "__path"])
 
 
 def index_docs(df: DataFrame, project: Column | str, prefix: str = "") -> DataFrame:
@@ -90,42 +88,86 @@ def split_unkeyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return docs.filter(ok), docs.filter(~ok).withColumn("error", F.lit("no uniq_id"))
 
 
-def write_index_docs(df: DataFrame, project: str, path: str, prefix: str = "") -> DataFrame:
-    """File-backed sink: JSON lines, one document for each key; a repeated load replaces its own files.
+INDEX_LINE = "_id string, _index string, _source string, _at string, load string"
 
-    Returns the rejects.
+
+def write_index_docs(df: DataFrame, project: str, path: str, prefix: str = "", load: str = "0") -> DataFrame:
+    """File-backed sink: JSON lines, one document for each key; a repeated load replaces its own files, other loads stay.
+
+    Of repeated keys in a load the one with the latest `@timestamp` counts, then the greatest document. Returns the rejects.
+    `read_index` gives each key's document of the latest load.
     """
     keyed, rejects = split_unkeyed(index_docs(df, project, prefix))
-    unique = first_per_key(keyed, ["doc_id"], ["doc"], last=True)
-    lines = F.to_json(F.struct(F.col("index").alias("_index"), F.col("doc_id").alias("_id"), F.col("doc").alias("_source")))
-    unique.select(lines.alias("value")).write.mode("overwrite").text(path)
+    keyed = keyed.withColumn("at", F.coalesce(F.get_json_object("doc", "$['@timestamp']"), F.lit("")))
+    unique = first_per_key(keyed, ["doc_id"], ["at", "doc"], last=True)
+    lines = F.to_json(F.struct(
+        F.col("index").alias("_index"), F.col("doc_id").alias("_id"), F.col("doc").alias("_source"), F.col("at").alias("_at")))
+    unique.select(lines.alias("value"), F.lit(load).alias("load")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("load").text(path)
     return rejects
 
 
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """index, doc_id, doc: one row for each key, of the load that comes last by name."""
+    lines = spark.read.schema(INDEX_LINE).json(path)
+    newest = first_per_key(lines, ["_id"], ["load", "_at", "_source"], last=True)
+    return newest.select(F.col("_index").alias("index"), F.col("_id").alias("doc_id"), F.col("_source").alias("doc"))
+
+
 def upsert_index(spark: SparkSession, path: str, docs: DataFrame, new_path: str) -> DataFrame:
-    """Merge a load into an index table: a key in the load replaces the stored document."""
+    """Merge a load into an index table: a key in the load replaces the stored document; a key twice in the load counts once.
+
+    Loads without a key are left to `split_unkeyed`; stored rows without one stay.
+    """
     stored = spark.read.parquet(path)
-    kept = stored.join(docs.select("doc_id"), "doc_id", "left_anti").select(*stored.columns)
-    kept.unionByName(docs.select(*stored.columns)).write.mode("overwrite").parquet(new_path)
+    unique = first_per_key(docs.select(*stored.columns), ["doc_id"], ["doc"], last=True)
+    kept = stored.join(unique.select("doc_id"), "doc_id", "left_anti").select(*stored.columns)
+    kept.unionByName(unique).write.mode("overwrite").parquet(new_path)
     return spark.read.parquet(new_path)
 
 
+def read_csv_by_header(spark: SparkSession, files: DataFrame | str, pattern: str = "*.csv") -> DataFrame:
+    """All CSV files under a folder with the column names of each file's own header, and its path as `__path`.
+
+    Files are grouped by their header line; each group is one read, so the plan grows with the number of different
+    headers (record shapes), not of files. Columns a file lacks are NULL. Files without any line give no rows.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(files)
+    first = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                         F.monotonically_increasing_id().alias("n"))
+    headers = first.filter("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header")).groupBy("header").agg(
+        F.sort_array(F.collect_list("path")).alias("paths"))
+    merged = None
+    for row in headers.orderBy("header").collect():
+        part = spark.read.options(**CSV).option("maxCharsPerColumn", -1).csv(row.paths)
+        part = part.select("*", F.col("_metadata.file_path").alias("__path"))
+        merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
+    return merged
+
+
 def backfill_records(spark: SparkSession, root: str) -> DataFrame:
-    """All record CSVs under `{root}/{project}/{site}_{project}_{schedule_id}/`, keys taken from the path."""
-    path = F.col("_metadata.file_path")
+    """All record CSVs under `{root}/{project}/{site}_{project}_{schedule_id}/`, keys taken from the path, columns from each file's header."""
+    rows = read_csv_by_header(spark, root)
+    path = F.col("__path")
     project = F.regexp_extract(path, r"([^/]+)/[^/]+/[^/]+$", 1)
     folder = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
-    rows = spark.read.options(**CSV).option("maxCharsPerColumn", -1).option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.csv"
-    ).csv(root)
     return rows.select(
         project.alias("project"),
         F.regexp_replace(folder, F.concat(F.lit("_"), project, F.lit("_[^_]+$")), F.lit("")).alias("site"),
         F.regexp_extract(folder, r"_([^_]+)$", 1).alias("schedule_id"),
-        "*",
+        *[c for c in rows.columns if c != "__path"],
     )
 
 
+def backfill_index(spark: SparkSession, root: str, path: str, prefix: str = "", key: str = "uniq_id") -> DataFrame:
+    """Backfill down to the index: every record of every run as a document of its project's index; returns the rejects."""
+    rows = backfill_records(spark, root)
+    rows = rows if key == "uniq_id" else rows.withColumn("uniq_id", F.col(key))
+    keyed, rejects = split_unkeyed(index_docs(rows, F.col("project"), prefix))
+    first_per_key(keyed, ["doc_id"], ["doc"], last=True).write.mode("overwrite").parquet(path)
+    return rejects
+
+
 def flatten_runs(df: DataFrame) -> DataFrame:
     """Status documents (current map, history list, old single-run form) to one row for each run."""
     runs = F.concat(

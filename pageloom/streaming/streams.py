@@ -6,9 +6,11 @@ checkpoint in the shared folder, so a restart neither loses nor repeats rows.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from pageloom.functions import classify as C
 from pageloom.session import new_folder
@@ -147,15 +149,26 @@ def liveness_sessions(heartbeats: DataFrame, by: str = "worker_id", gap_s: int =
     )
 
 
-def stream_index(df: DataFrame, project: str, prefix: str = "", purpose: str = "index") -> DataFrame:
-    """Progressive index load: each micro-batch writes its own documents, at most one for each key."""
+def stream_index_load(df: DataFrame, project: str, prefix: str = "", purpose: str = "index") -> tuple[DataFrame, DataFrame]:
+    """Progressive index load: the documents, one for each key, and the rejects.
+
+    Each micro-batch writes its own folders, so a replayed batch adds nothing; of a key's documents that of the latest batch counts.
+    """
+    from pageloom.operators.scans import first_per_key
 
     def save(batch: DataFrame, batch_id: int, out: str) -> None:
-        keyed, _ = split_unkeyed(index_docs(batch, project, prefix))
-        keyed.dropDuplicates(["doc_id"]).write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}")
+        keyed, rejects = split_unkeyed(index_docs(batch, project, prefix))
+        first_per_key(keyed, ["doc_id"], ["doc"], last=True).write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}")
+        rejects.write.mode("overwrite").parquet(f"{out}/rejects/batch_id={batch_id}")
 
     out = run_batches(df, purpose, save)
-    return df.sparkSession.read.parquet(f"{out}/data")
+    saved = df.sparkSession.read.parquet(f"{out}/data")
+    docs = first_per_key(saved, ["doc_id"], ["batch_id"], last=True).drop("batch_id")
+    return docs, df.sparkSession.read.parquet(f"{out}/rejects").drop("batch_id")
+
+
+def stream_index(df: DataFrame, project: str, prefix: str = "", purpose: str = "index") -> DataFrame:
+    return stream_index_load(df, project, prefix, purpose)[0]
 
 
 def stream_expire_dlq(dlq: DataFrame, hours: int = DLQ_TTL_H, ts: str = "failed_at", now: Column | None = None) -> DataFrame:
@@ -164,13 +177,33 @@ def stream_expire_dlq(dlq: DataFrame, hours: int = DLQ_TTL_H, ts: str = "failed_
     return dlq.filter(F.col(ts) > at - F.make_dt_interval(F.lit(0), F.lit(hours)))
 
 
-def late_rows(query) -> int:
-    """Rows a finished or running query dropped behind the watermark."""
-    return sum(
-        op.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Adds up the rows each query drops behind its watermark, batch by batch; add it to the session before the start.
+
+    A query's own `recentProgress` keeps the last hundred batches only.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, dict[int, int]] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.dropped.setdefault(str(progress.runId), {})[progress.batchId] = sum(
+            op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def of(self, query, wait_s: float = 30) -> int:
+        """Of a query, once the reports of its last batch have come if it has ended."""
+        run, until = str(query.runId), time.monotonic() + wait_s
+        while not query.isActive and run not in self.ended and time.monotonic() < until:
+            time.sleep(0.05)
+        return sum(self.dropped.get(run, {}).values())
 
 
 def good_pages(df: DataFrame) -> DataFrame:

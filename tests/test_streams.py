@@ -66,7 +66,7 @@ def test_dedup_across_batches(spark, parts):
     assert got.count() == parts[1].select("user_id").distinct().count()
 
 
-def test_index_load_has_one_document_per_key_and_batch(spark, parts):
+def test_index_load_has_one_document_per_key(spark, parts):
     docs = stream(spark, parts).select(F.col("user_id").cast("string").alias("uniq_id"), "event_type")
     got = ST.stream_index(docs, "web", purpose="t-index")
-    assert got.groupBy("batch_id", "doc_id").count().filter("count > 1").count() == 0
+    assert got.count() == parts[1].select("user_id").distinct().count() == got.select("doc_id").distinct().count()
