@@ -122,7 +122,8 @@ def test_page_classes(spark):
     assert [r.b for r in rows] == [False, True, True, True, False, True, False]
     assert [r.ok for r in rows] == [True, True, False, True, False, True, False]
     sample = ["x" * 7990 + "robot check", "Robot Check", "oops! something went wrong"]
-    assert many(spark, sample, C.is_challenge_page) == [False, True, True]
+    assert many(spark, sample, lambda c: C.is_challenge_page(c, sample=8000)) == [False, True, True]
+    assert many(spark, sample, C.is_challenge_page) == [True, True, True]
 
 
 def test_each_signal_alone_is_found(spark):
