@@ -106,11 +106,7 @@ UNION ALL SELECT 'zero_url_discoveries', count(*) FROM lines WHERE level = 'INFO
 UNION ALL SELECT 'completed_runs', count(*) FROM lines WHERE level = 'INFO' AND contains(info, 'completed')""")
 def log_searches(t):
     lines = SP.parse_log_lines(log_lines(t), "line", ("event_id",))
-    result = None
-    for what in Q.LOG_SEARCHES:
-        n = Q.log_search(lines, what).agg(F.lit(what).alias("search"), F.count("*").alias("n"))
-        result = n if result is None else result.unionByName(n)
-    return result
+    return Q.log_search_counts(lines)
 
 
 @query("log_tail", f"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pageloom.functions.classify import error_type
 from pageloom.operators import scans
@@ -69,7 +69,13 @@ def consecutive_failures(log: DataFrame, key: str = "endpoint",
 def breaker_state(log: DataFrame, now: Column, key: str = "endpoint", order: Sequence[str] = ("ts", "event_id"),
                   threshold: int = FAIL_THRESHOLD, base_s: int = COOLDOWN_BASE_S,
                   max_s: int = COOLDOWN_MAX_S) -> DataFrame:
-    """closed / open / half_open at `now`.
+    """closed / open / half_open at `now` for each endpoint of a log."""
+    return with_breaker(consecutive_failures(log, key, order), now, threshold, base_s, max_s)
+
+
+def with_breaker(streaks: DataFrame, now: Column, threshold: int = FAIL_THRESHOLD, base_s: int = COOLDOWN_BASE_S,
+                 max_s: int = COOLDOWN_MAX_S) -> DataFrame:
+    """Adds the breaker's columns to consecutive_fails and last_ts.
 
     Every failure from the threshold on trips the breaker and doubles the
     multiplier, a success resets both, so the streak alone fixes the cooldown.
@@ -83,8 +89,8 @@ def breaker_state(log: DataFrame, now: Column, key: str = "endpoint", order: Seq
     until = F.unix_micros(F.col("last_ts").cast("timestamp")) + (cooldown * 1_000_000).cast("bigint")
     now_us = F.unix_micros(now.cast("timestamp"))
     state = F.when(~tripped, "closed").when(now_us < until, "open").otherwise("half_open")
-    return consecutive_failures(log, key, order).select(
-        key, "consecutive_fails", "last_ts",
+    return streaks.select(
+        "*",
         F.when(tripped, next_mult).otherwise(F.lit(1.0)).cast("int").alias("cooldown_mult"),
         cooldown.alias("cooldown_s"),
         state.alias("cb_state"),
@@ -107,11 +113,28 @@ def health_label(df: DataFrame, healthy: float = HEALTHY_FROM, degraded: float =
 
 
 def endpoint_health(log: DataFrame, now: Column, key: str = "endpoint", chunk_s: int = scans.HOUR) -> DataFrame:
-    totals = log.groupBy(key).agg(
-        F.count("*").alias("total_requests"), F.count_if("ok").alias("total_successes")
+    """Smoothed rate, streak, breaker and totals of each endpoint in one pass over the log.
+
+    A piece of an endpoint's time keeps its share of the linear fold, its totals and the failures behind its last success;
+    the streak adds these up from the last piece back to the one with a success.
+    """
+    keep = 1.0 - EMA_ALPHA
+    pieces = log.select(key, "ts", "event_id", "ok", scans.time_chunk(F.col("ts"), chunk_s).alias(scans.CHUNK))
+    back = F.row_number().over(W.partitionBy(key, scans.CHUNK).orderBy(F.desc("ts"), F.desc("event_id"))) - 1
+    parts = pieces.withColumn("__back", back).groupBy(key, scans.CHUNK).agg(
+        F.count("*").alias("__n"), F.count_if("ok").alias("__ok"), F.max("ts").alias("__ts"),
+        F.sum(EMA_ALPHA * F.col("ok").cast("double") * F.pow(F.lit(keep), F.col("__back"))).alias("__b"),
+        F.coalesce(F.min(F.when(F.col("ok"), F.col("__back"))), F.count("*")).alias("__tail"),
+    )
+    later = W.partitionBy(key).orderBy(F.desc(scans.CHUNK)).rowsBetween(W.unboundedPreceding, -1)
+    summed = parts.withColumn("__after", F.coalesce(F.sum("__n").over(later), F.lit(0))).withColumn(
+        "__ok_after", F.coalesce(F.sum("__ok").over(later), F.lit(0)))
+    streaks = summed.groupBy(key).agg(
+        (F.sum(F.col("__b") * F.pow(F.lit(keep), F.col("__after"))) + F.pow(F.lit(keep), F.sum("__n"))).alias("ema_rate"),
+        F.sum(F.when(F.col("__ok_after") == 0, F.col("__tail")).otherwise(0)).cast("bigint").alias("consecutive_fails"),
+        F.max("__ts").alias("last_ts"), F.sum("__n").alias("total_requests"), F.sum("__ok").alias("total_successes"),
     )
-    joined = scans.same_keys(ema(log, key, chunk_s=chunk_s), breaker_state(log, now, key), [key])
-    return health_label(scans.same_keys(joined, totals, [key]))
+    return health_label(with_breaker(streaks, now))
 
 
 def pool_stats(health: DataFrame) -> DataFrame:

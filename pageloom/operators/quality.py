@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pageloom.operators.scans import top_per_group
+from pageloom.operators.scans import same_keys, top_per_group
 
+# The searches of a run's log.
 LOG_SEARCHES = {
     "failed_fetches": ("ERROR", "fetch"),
     "zero_url_discoveries": ("INFO", "0 URLs found"),
@@ -69,9 +70,19 @@ def constant_columns(df: DataFrame, fields: Sequence[str], by: str = "site", min
     )
 
 
-def log_search(df: DataFrame, what: str) -> DataFrame:
+def _hit(what: str) -> Column:
     level, text = LOG_SEARCHES[what]
-    return df.filter((F.col("level") == level) & F.contains(F.col("info"), F.lit(text)))
+    return (F.col("level") == level) & F.contains(F.col("info"), F.lit(text))
+
+
+def log_search(df: DataFrame, what: str) -> DataFrame:
+    return df.filter(_hit(what))
+
+
+def log_search_counts(df: DataFrame) -> DataFrame:
+    """search, n for all searches in one pass over the log."""
+    counts = df.agg(*[F.count_if(_hit(what)).alias(what) for what in LOG_SEARCHES])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(what).alias("search"), F.col(what).alias("n")) for what in LOG_SEARCHES])))
 
 
 def log_tail(df: DataFrame, order: Sequence[str], level: str = "ALL", n: int = 200, line: str = "line") -> DataFrame:
@@ -88,7 +99,7 @@ def parse_yield(metadata: DataFrame, records: DataFrame, key: str = "schedule_id
     """Pages against records of each run."""
     p = metadata.groupBy(key).agg(F.count("*").alias("pages"))
     r = records.groupBy(key).agg(F.count("*").alias("records"))
-    return p.join(r, key, "left").select(
+    return same_keys(p, r, [key], "left").select(
         key, "pages", F.coalesce("records", F.lit(0)).cast("bigint").alias("records"),
         (F.coalesce("records", F.lit(0)) / F.col("pages")).alias("yield"),
     )
