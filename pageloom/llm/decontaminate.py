@@ -130,7 +130,7 @@ FOUND = "doc_id long, item_id long, distance long, end long"
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, piece: int = 16, block_chars: int = 4_000_000
+    docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piece: int = 12, block_chars: int = 4_000_000
 ) -> DataFrame:
     """One row for each document and benchmark item that it holds up to the error budget: doc_id, item_id, distance, end.
 
@@ -160,7 +160,7 @@ def contaminated(
 
 
 def keep_clean(
-    docs: DataFrame, benchmark: DataFrame, rate: float = 0.05, piece: int = 16, block_chars: int = 4_000_000
+    docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piece: int = 12, block_chars: int = 4_000_000
 ) -> DataFrame:
     """The documents that hold no item, with all their columns; one pass over the documents for each block of items."""
     at = docs.columns.index("text")
