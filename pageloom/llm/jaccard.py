@@ -277,29 +277,43 @@ def similar_by_sketch(classes: DataFrame, settings: Settings) -> DataFrame:
     return in_blocks(met, "bucket", F.col("n"), settings.block).mapInArrow(run, "a binary, b binary").distinct()
 
 
-BITS = 1 << 23
+BITS = 1 << 25
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
-    """(key, shingles) of the wanted sets (doc_id, tie, key), made again from the texts of these documents.
+def _place() -> Column:
+    """Place in the bit map of the document in `doc_id` and `tie`."""
+    return F.pmod(F.xxhash64("doc_id", "tie"), F.lit(BITS))
+
+
+def bit_map(wanted: DataFrame) -> np.ndarray:
+    """Which documents (doc_id, tie) may be among the wanted, in a map of fixed size (4 MB), whatever their number.
 
-    Which documents may be wanted goes to the workers as a bit map of fixed size (1 MB), so texts are not shuffled; what it
-    lets through by chance has a key that the join drops. The fuller the map, the more is let through; the result is the same.
+    It only saves shuffles: an exact join follows for all that it lets through. The fuller it is, the more it lets through.
     """
-    place = F.pmod(F.xxhash64("doc_id", "tie"), F.lit(BITS))
-    filled = wanted.select((place + 1).alias("at")).groupBy(F.expr("bitmap_bucket_number(at)").alias("n")).agg(
+    filled = wanted.select((_place() + 1).alias("at")).groupBy(F.expr("bitmap_bucket_number(at)").alias("n")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits")).collect()
     bits = np.zeros(BITS // 8, np.uint8)
     for r in filled:  # bucket n holds 32,768 places
         bits[(r["n"] - 1) * 4096:r["n"] * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    held = docs.sparkSession.sparkContext.broadcast(bits)
-    rows = _columns(docs).select(place.alias("place"), "text")
+    return bits
+
+
+def in_map(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """(key, shingles) of the wanted sets (doc_id, tie, key), made again from the texts of these documents.
+
+    Texts are not shuffled: the workers find the documents by the bit map, and what it lets through by chance has a key that the join drops.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(bit_map(wanted))
+    rows = _columns(docs).select(_place().alias("place"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(settings.size)
         for batch in batches:
-            at = batch.column("place").to_numpy()
-            some = np.flatnonzero(held.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            some = np.flatnonzero(in_map(held.value, batch.column("place").to_numpy()))
             for start in range(0, len(some), 64):
                 sets = [s for s in (shingler(batch.column("text")[k].as_py()) for k in some[start:start + 64].tolist()) if len(s)]
                 raw = [s.tobytes() for s in sets]
@@ -395,18 +409,37 @@ def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """
     rows = near_copies(docs, settings).filter("label is not null").groupBy("label", "doc_id", "tie").agg(F.count("*").alias("n"))
     rows = written(rows, "rows")
-    chosen = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("one"))
+    # written, so that the join deals out both sides and a large group's label can be split
+    chosen = written(rows.groupBy("label").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("one")), "chosen")
     others = rows.join(chosen, "label").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("tie") == F.col("one.tie")))).select(
             F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
     repeated = rows.filter("n > 1").select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
+    held = docs.sparkSession.sparkContext.broadcast(bit_map(
+        others.unionAll(repeated).select(F.col("_id").alias("doc_id"), F.col("_tie").alias("tie"))))
     names = [quoted(c) for c in docs.columns]
-    whole = docs.select(
-        F.struct(*names).alias("_row"), F.col(quoted("doc_id")).cast("long").alias("_doc"),
-        F.xxhash64(F.col(quoted("text")).cast("string")).alias("_hash"))
+    identity = (F.col(quoted("doc_id")).cast("long").alias("doc_id"), F.xxhash64(F.col(quoted("text")).cast("string")).alias("tie"))
+    placed = docs.select(F.struct(*names).alias("row"), *identity).select("row", _place().alias("place"))
+
+    def dealt(doubtful: bool) -> DataFrame:
+        """The documents that may have to go, or all others; only the former are shuffled."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                some = in_map(held.value, batch.column("place").to_numpy()) == doubtful
+                if some.any():
+                    yield batch.select(["row"]).filter(pa.array(some))
+
+        rows = placed.mapInArrow(run, placed.select("row").schema)
+        return rows.select(*(F.col(f"row.{n}").alias(c) for n, c in zip(names, docs.columns, strict=True)))
+
+    doubtful = dealt(True)
+    whole = doubtful.select(F.struct(*names).alias("_row"), identity[0].alias("_doc"), identity[1].alias("_hash"))
     same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_tie"))
     kept = whole.join(others, same, "left_anti")
     if not repeated.isEmpty():
         kept = kept.join(repeated, same, "left_anti").unionAll(
             kept.join(repeated, same, "left_semi").dropDuplicates(["_doc", "_hash"]))
-    return kept.select(*(F.col(f"_row.{n}").alias(c) for n, c in zip(names, docs.columns, strict=True)))
+    kept = kept.select(*(F.col(f"_row.{n}").alias(c) for n, c in zip(names, docs.columns, strict=True)))
+    return dealt(False).unionAll(kept)
