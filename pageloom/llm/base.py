@@ -30,12 +30,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Arrow batches of 512 rows instead of 10,000: whole texts pass through the workers, and each batch is held several times."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
 def id_and_text(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Only the two columns an operator needs, under fixed names; other columns never meet the operator's own names."""
+    small_batches(df)
     return df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
 
 

@@ -9,7 +9,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pageloom.llm.base import id_and_text, quoted
+from pageloom.llm.base import id_and_text, quoted, small_batches
 
 
 def normal(text: str | None) -> str:
@@ -163,6 +163,7 @@ def keep_clean(
     docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, piece: int = 12, block_chars: int = 4_000_000
 ) -> DataFrame:
     """The documents that hold no item, with all their columns; one pass over the documents for each block of items."""
+    small_batches(docs)
     at = docs.columns.index("text")
 
     def without(df: DataFrame, items: list) -> DataFrame:

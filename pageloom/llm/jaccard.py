@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pageloom.llm.base import quoted, written
+from pageloom.llm.base import quoted, small_batches, written
 from pageloom.llm.components import components
 
 WORDS = re.compile(r"\w+")
@@ -222,6 +222,7 @@ def in_blocks(members: DataFrame, group: str, size: Column, block: int) -> DataF
 
 
 def _columns(docs: DataFrame) -> DataFrame:
+    small_batches(docs)
     text = F.col(quoted("text")).cast("string")
     return docs.select(F.col(quoted("doc_id")).cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pageloom.llm.base import id_and_text, quoted
+from pageloom.llm.base import id_and_text, quoted, small_batches
 
 ORDER = 3  # bytes of context
 PAD = b"\n" * ORDER  # what stands before the first byte of a text
@@ -103,7 +103,7 @@ class Scorer:
             self.cost[first[known] * np.uint32(self.width) + second[known]] = exact[known]
         return cost
 
-    def code_lengths(self, texts: list[str], step: int = 1 << 20) -> np.ndarray:
+    def code_lengths(self, texts: list[str], step: int = 1 << 18) -> np.ndarray:
         """Bits of each text (rows) under each language (columns), and in the last column its bytes."""
         out = np.zeros((len(texts), len(self.languages) + 1))
         raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
@@ -230,6 +230,7 @@ def keep_known(
 
     Rejected are `und` and texts that no model codes in fewer than `max_bits_per_byte`: they are in no language known here.
     """
+    small_batches(docs)
     scorer, at = _shared(docs, counts), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
