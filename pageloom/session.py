@@ -72,13 +72,6 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/pageloom/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives executor loss."""
-    path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Repartition only when a scan gives fewer tasks than there are cores.
 
