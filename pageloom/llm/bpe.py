@@ -172,7 +172,7 @@ class WordTokenizer:
     COMMON = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
     COMMON_LETTERS, COMMON_OTHERS = r"a-zÀ-ÖØ-öø-ÿ", r"\t-\r 0-9a-zÀ-ÖØ-öø-ÿ"
 
-    def __init__(self, spec: dict, remembered: int = 300_000):
+    def __init__(self, spec: dict, remembered: int = 120_000):
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.suffix = model.get("end_of_word_suffix") or ""
