@@ -1,11 +1,12 @@
-"""License scans: signature rules behind a keyword prefilter; priority and containment settle overlaps."""
+"""License scans: signature rules behind a keyword prefilter on the unwrapped text; priority and containment settle overlaps."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -64,11 +65,11 @@ FAMILIES: dict[str, tuple[str, str, str]] = {
     "pddl": (r"pddl-1\.0", r"public domain dedication and", r"opendatacommons\.org/licenses/pddl"),
     "cc0": (r"cc0-1\.0", r"cc0|creative commons zero", r"creativecommons\.org/publicdomain/zero"),
     "cc-by": (r"cc-by-[1234]\.[05]", r"creative commons attribution|cc[- ]by", r"creativecommons\.org/licenses/by/"),
-    "cc-by-sa": (r"cc-by-sa-[1234]\.[05]", r"creative commons attribution-share-?alike|cc[- ]by-sa", r"creativecommons\.org/licenses/by-sa/"),
-    "cc-by-nd": (r"cc-by-nd-[1234]\.[05]", r"creative commons attribution-no-?deriv\w*|cc[- ]by-nd", r"creativecommons\.org/licenses/by-nd/"),
-    "cc-by-nc": (r"cc-by-nc-[1234]\.[05]", r"creative commons attribution-non-?commercial|cc[- ]by-nc", r"creativecommons\.org/licenses/by-nc/"),
-    "cc-by-nc-sa": (r"cc-by-nc-sa-[1234]\.[05]", r"creative commons attribution-non-?commercial-share-?alike|cc[- ]by-nc-sa", r"creativecommons\.org/licenses/by-nc-sa/"),
-    "cc-by-nc-nd": (r"cc-by-nc-nd-[1234]\.[05]", r"creative commons attribution-non-?commercial-no-?deriv\w*|cc[- ]by-nc-nd", r"creativecommons\.org/licenses/by-nc-nd/"),
+    "cc-by-sa": (r"cc-by-sa-[1234]\.[05]", r"creative commons attribution[- ]share[- ]?alike|cc[- ]by-sa", r"creativecommons\.org/licenses/by-sa/"),
+    "cc-by-nd": (r"cc-by-nd-[1234]\.[05]", r"creative commons attribution[- ]no[- ]?deriv\w*(?: works)?|cc[- ]by-nd", r"creativecommons\.org/licenses/by-nd/"),
+    "cc-by-nc": (r"cc-by-nc-[1234]\.[05]", r"creative commons attribution[- ]non[- ]?commercial|cc[- ]by-nc", r"creativecommons\.org/licenses/by-nc/"),
+    "cc-by-nc-sa": (r"cc-by-nc-sa-[1234]\.[05]", r"creative commons attribution[- ]non[- ]?commercial[- ]share[- ]?alike|cc[- ]by-nc-sa", r"creativecommons\.org/licenses/by-nc-sa/"),
+    "cc-by-nc-nd": (r"cc-by-nc-nd-[1234]\.[05]", r"creative commons attribution[- ]non[- ]?commercial[- ]no[- ]?deriv\w*(?: works)?|cc[- ]by-nc-nd", r"creativecommons\.org/licenses/by-nc-nd/"),
     "open-rail": (r"(?:bigscience-)?openrail(?:\+\+|-m)?", r"(?:bigscience )?open rail|openrail", r"huggingface\.co/\S*openrail"),
     "sspl": (r"sspl-1\.0", r"server side public|sspl", r"mongodb\.com/licensing/server-side"),
     "elastic": (r"elastic-2\.0", r"elastic", r"elastic\.co/licensing"),
@@ -80,19 +81,19 @@ SENTENCES = (
     ("mit", "permission is hereby granted", r"permission is hereby granted,? free of charge,? to any person obtaining a copy"),
     ("mit", "sublicense", r"use, copy, modify, merge, publish, distribute, sublicense"),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms"),
-    ("bsd-3-clause", "neither the name", r"neither the names? of .{1,120}? nor the names of its contributors"),
+    ("bsd-3-clause", "neither the name", r"neither the names? of .{1,120}? nor the names? of (?:(?:its|their|any|the|other) )*contributors"),
     ("isc", "permission to use", r"permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose"),
     ("gpl", "free software", r"this (?:program|library|file) is free software[:;,] you can redistribute it"),
     ("gpl", "free software foundation", r"as published by the free software foundation"),
     ("apache", "except in compliance", r"you may not use this (?:file|work) except in compliance with the license"),
     ("mpl", "source code form", r"this source code form is subject to the terms"),
-    ("zlib", "as-is", r"this software is provided .as-is., without any express or implied warranty"),
+    ("zlib", "as-is", r"this software is provided .?as-is.?, without any express or implied warranty"),
     ("unlicense", "public domain", r"free and unencumbered software released into the public domain"),
     ("public-domain", "public domain", r"(?:released|placed|dedicated|is) (?:in|into|to) the public domain"),
     ("all-rights-reserved", "rights reserved", r"all rights reserved"),
     ("copyright", "copyright", r"copyright (?:\(c\)|©)? ?(?:19|20)\d\d"),
     ("proprietary", "proprietary", r"proprietary and confidential"),
-    ("proprietary", "redistribut", r"(?:may|must) not be (?:copied|redistributed|reproduced)"),
+    *(("proprietary", f"not be {done}", rf"(?:may|must) not be {done}") for done in ("copied", "redistributed", "reproduced")),
 )
 
 RAREST = {max(phrase.split(), key=len).encode() for phrase in PHRASES}
@@ -108,19 +109,82 @@ class Signature:
     priority: int  # the higher wins where detections overlap
 
 
+VERBS = ("licensed", "licenced", "released", "distributed", "available", "published")
+SPDX = "spdx-license-identifier"
+OF = r"(?:the |an? )?(?:terms (?:and conditions )?of )?(?:the |an? )?"  # what may stand between `under` and a name
+END = r"\b(?![-\w]|\.\w)"
+
+
 def signatures() -> tuple[Signature, ...]:
-    """All rules: for each family its tag, its name in a licensing phrase, its bare name, and its address; then sentences."""
+    """All rules: for each family its tag, its name in a licensing phrase, its bare name, and its address; then sentences.
+
+    They are matched against the unwrapped text, where a space stands for any run of white space and comment marks.
+    """
     out = []
     for label, (tag, name, address) in FAMILIES.items():
-        out.append(Signature(label, "spdx-license-identifier", rf"spdx-license-identifier:\s*\(?(?:{tag})\b(?![-.\w])", 90))
-        out.append(Signature(label, "licen", rf"(?:licen[cs]ed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?(?:{name})\b(?: licen[cs]e)?(?:,? (?:version |v\.? ?)?\d(?:\.\d)?)?", 70))
-        out.append(Signature(label, "licen", rf"\b(?:{name})(?: public)? licen[cs]e(?:,? (?:version |v\.? ?)\d(?:\.\d)?)?", 60))
-        out.append(Signature(label, "licen", rf"\blicen[cs]e:\s*(?:{tag}|{name})\b(?![-.\w])", 65))
+        named = rf"(?:{name})\b(?: public)?"
+        # a version, and for Creative Commons the country it was adapted to, may stand before `license`
+        before = r"(?:,? (?:version |v\.? ?)?\d(?:\.\d)?" + (r"(?: [a-z]+){0,3}?" if label.startswith("cc") else "") + ")?"
+        after = r"(?:,? (?:version |v\.? ?){}\d(?:\.\d)?)?"
+        out.append(Signature(label, SPDX, rf"{SPDX}:[\s(]*(?:{tag}){END}", 90))
+        for verb in VERBS:
+            out.append(Signature(
+                label, f"{verb} under", rf"{verb} under {OF}{named}(?:{before} (?:public )?licen[cs]e{after.format('?')}|{after.format('?')})", 70))
+        out.append(Signature(label, "licen", rf"\b{named}{before} (?:public )?licen[cs]e{after.format('')}", 60))
+        out.append(Signature(label, "licen", rf"\blicen[cs]e:\s*(?:{tag}|{name}){END}", 65))
         out.append(Signature(label, "://", rf"https?://(?:www\.)?{address}", 80))
     out.extend(Signature(label, keyword, pattern, 50) for label, keyword, pattern in SENTENCES)
     return tuple(out)
 
 
+# What a line may begin with, and end with after white space, where it is part of a comment.
+LEAD = re.compile(r"(?:[\s#*/;!%>|+-]++|<!--|::|\.\\\"|(?:@?rem|dnl)(?=\s))*+")
+TAIL = "#*/;|\\-+!%"
+RUN = re.compile(r"\s{2,}|[^\S ]")
+
+
+def unwrapped(text: str) -> tuple[str, list[int], list[int]]:
+    """The text as one line: comment marks at the edges of lines go, a run of white space is one space.
+
+    Also the places where its pieces begin, in the new text and in the old one.
+    """
+    parts, new, old, at, line_start = [], [], [], 0, 0
+
+    def put(piece: str, place: int) -> None:
+        nonlocal at
+        parts.append(piece)
+        new.append(at)
+        old.append(place)
+        at += len(piece)
+
+    for line in text.splitlines(keepends=True):
+        body = line.rstrip()
+        bare = body.rstrip(TAIL)
+        if bare != body and bare[-1:].isspace():
+            body = bare.rstrip()
+        start = LEAD.match(body).end()
+        if start < len(body):
+            if parts:
+                put(" ", old[-1] + len(parts[-1]))
+            for run in RUN.finditer(body, start):
+                put(body[start:run.start()] + " ", line_start + start)
+                start = run.end()
+            put(body[start:], line_start + start)
+        line_start += len(line)
+    return "".join(parts), new, old
+
+
+HEAD = re.compile(rf"(?:({SPDX})|\blicen[cs]e):[\s(]*")
+ID = re.compile(r"[a-z0-9][\w.+-]*(?::[\w.+-]+)?")
+OPERATOR = re.compile(r"[\s)]*(?:(?<=[\s)])(and|or|with)(?=[\s(])|/)[\s(]*")
+
+
+@lru_cache(4096)
+def labels_of_id(name: str) -> tuple[str, ...]:
+    name = name.rstrip(".")
+    return tuple(label for label, (tag, full, _) in FAMILIES.items() if any(re.fullmatch(f"{tag}|{full}", n) for n in {name, name.rstrip("+")}))
+
+
 @dataclass(frozen=True)
 class Detection:
     start: int
@@ -143,6 +207,21 @@ def settle(found: list[Detection]) -> list[Detection]:
     return sorted(kept, key=lambda d: (d.start, d.end, d.label))
 
 
+def further_ids(text: str) -> Iterator[Detection]:
+    """The ids of all SPDX expressions after the first, which a rule finds; exceptions (after `with`) are no licenses."""
+    at = 0
+    while head := HEAD.search(text, at):
+        at, operator = head.end(), None
+        while m := ID.match(text, at):
+            if operator and operator[1] != "with":
+                for label in labels_of_id(m[0]):
+                    yield Detection(m.start(), m.start() + len(m[0].rstrip(".")), label, 90 if head[1] else 65)
+            operator = OPERATOR.match(text, m.end())
+            if not operator:
+                break
+            at = operator.end()
+
+
 class Scanner:
     """Rules grouped by keyword; a text is only searched with the patterns whose keywords it holds."""
 
@@ -150,23 +229,36 @@ class Scanner:
         self.by_keyword: dict[str, list[tuple[re.Pattern, Signature]]] = {}
         for rule in rules:
             self.by_keyword.setdefault(rule.keyword, []).append((re.compile(rule.pattern), rule))
-        self.keywords = ahocorasick.Automaton()
+        self.keywords, self.words = ahocorasick.Automaton(), ahocorasick.Automaton()
         for k in self.by_keyword:
             self.keywords.add_word(k, k)
+            word = max(k.split(), key=len)  # no line break parts a word, so texts without it need not be unwrapped
+            self.words.add_word(word, word)
         self.keywords.make_automaton()
+        self.words.make_automaton()
 
     def detections(self, lowered: str) -> list[Detection]:
-        """Patterns run on the neighbourhood of their keyword: whole lines around it, joined where they touch."""
+        """Patterns run on the neighbourhood of their keyword in the unwrapped text, joined where they touch; places are those of `lowered`."""
+        if next(self.words.iter(lowered), None) is None:
+            return []
+        text, new, old = unwrapped(lowered)
         at: dict[str, list[int]] = {}
-        for end, keyword in self.keywords.iter(lowered):
+        for end, keyword in self.keywords.iter(text):
             at.setdefault(keyword, []).append(end)
         found = set()
         for keyword, ends in at.items():
-            for start, stop in self._windows(lowered, ends, keyword):
+            for start, stop in self._windows(text, ends, keyword):
                 for pattern, rule in self.by_keyword[keyword]:
-                    for m in pattern.finditer(lowered, start, stop):
+                    for m in pattern.finditer(text, start, stop):
                         found.add(Detection(m.start(), m.end(), rule.label, rule.priority))
-        return settle_all(list(found))
+        if "licen" in at or SPDX in at:
+            found.update(further_ids(text))
+
+        def place(k: int) -> int:
+            piece = bisect_right(new, k) - 1
+            return old[piece] + k - new[piece]
+
+        return settle_all([Detection(place(d.start), place(d.end - 1) + 1, d.label, d.priority) for d in found])
 
     @staticmethod
     def _windows(text: str, ends: list[int], keyword: str, reach: int = 400) -> list[tuple[int, int]]:
@@ -256,7 +348,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row for each document: words, places of the base phrases, labels, score, and the spans the rules settled on.
 
     Text is lower-cased in A-Z only. Null and empty texts have no words, no labels (empty strings) and score 0; places are null where
-    there are none. The score is the priority of the best detection over 100. Repeated rows are scanned each for itself; an empty
-    table gives no rows; other columns are ignored. Spans count characters.
+    there are none. The score is the priority of the best detection over 100. Notices may be wrapped, indented and set in comments, and all ids
+    of an SPDX expression count. Repeated rows are scanned each for itself; an empty table gives no rows; other columns are ignored.
+    Spans count characters.
     """
     return per_text(id_and_text(docs), _columns, SCHEMA)

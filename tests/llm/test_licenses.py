@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 
 from pageloom.llm import licenses as L
 
@@ -79,3 +80,67 @@ def test_prefilter_finds_what_all_patterns_find():
         text = " ".join(rng.choices(pool, k=6))
         want = {L.Detection(m.start(), m.end(), r.label, r.priority) for ps in scanner.by_keyword.values() for p, r in ps for m in p.finditer(text)}
         assert scanner.detections(text) == L.settle_all(list(want))
+
+
+BSD3 = """Copyright (c) 2019, Foo Inc.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
+"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute,
+sublicense, and/or sell copies of the Software."""
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."
+APACHE = "You may not use this file except in compliance with the License."
+ZLIB = "This software is provided 'as-is', without any express or implied warranty."
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+CC = "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+
+
+def test_wrapped_notices_give_what_one_line_gives():
+    for text, label in ((BSD3, "bsd-3-clause"), (GPL, "gpl"), (MIT, "mit"), (ISC, "isc"), (APACHE, "apache"), (ZLIB, "zlib"), (MPL, "mpl"), (CC, "cc-by-sa")):
+        line = " ".join(text.split())
+        want = L.scan_text(line)
+        spans = [(d[2], line.lower()[d[0]:d[1]]) for d in want["spans"]]
+        assert label in want["labels"].split(",")
+        for width in (1, 20, 33, 47, 60, 78):
+            for lead, tail in (("", ""), ("    ", ""), ("# ", ""), (" * ", ""), ("// ", ""), ("> ", ""), (";; ", ""), ("dnl ", ""), ("/* ", "  */")):
+                for newline in ("\n", "\r\n", "\n\n"):
+                    lines = textwrap.wrap(line, width, break_long_words=False, break_on_hyphens=False)
+                    wrapped = newline.join(lead + x + tail for x in lines)
+                    got = L.scan_text(wrapped)
+                    assert (got["labels"], got["score"]) == (want["labels"], want["score"]), wrapped
+                    own = [(d[2], L.unwrapped(wrapped.lower()[d[0]:d[1]])[0]) for d in got["spans"]]
+                    assert own == spans, wrapped
+
+
+def test_words_of_a_notice_need_their_order():
+    assert labels("use in source\nredistribution and binary forms") == ""
+    assert labels("# it is a license\n# mit students like") == ""
+
+
+def test_spdx_expressions():
+    for text, want in (
+        ("Apache-2.0 OR MIT", "apache,mit"), ("(GPL-2.0-only OR BSD-3-Clause)", "bsd-3-clause,gpl"), ("((MIT AND ISC) OR (Zlib\n * AND 0BSD))", "0bsd,isc,mit,zlib"),
+        ("GPL-2.0-or-later WITH Classpath-exception-2.0 OR EPL-2.0.", "epl,gpl"), ("LicenseRef-Own OR MPL-2.0", "mpl"), ("MIT.", "mit"), ("MIT/Apache-2.0", "apache,mit"),
+        ("MIT WITH ISC", "mit"), ("MIT, and ISC is a body", "mit"), (" OR ".join(["LGPL-2.1+"] * 200 + ["ISC"]), "isc,lgpl"),
+    ):
+        assert labels("// SPDX-License-Identifier: " + text) == want, text
+    assert labels("License: MIT OR Apache-2.0") == "apache,mit"
+
+
+def test_names_with_articles_and_versions():
+    for text, want in (
+        (CC, "cc-by-sa"), ("licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("licensed under the Creative Commons Attribution-NonCommercial-NoDerivs 3.0 United States License", "cc-by-nc-nd"),
+        ("Creative Commons Attribution-Share Alike 3.0 Unported license", "cc-by-sa"), ("the GPL v2 license", "gpl"), ("an Apache 2.0 license", "apache"),
+        ("Released under an MIT licence", "mit"), ("Distributed under GPL v3", "gpl"), ("Must not be copied.", "proprietary"), ("License: MIT.", "mit"),
+    ):
+        assert labels(text) == want, text
