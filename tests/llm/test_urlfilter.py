@@ -1,5 +1,6 @@
 """Host, path and rules against plain string code; the model against its weights."""
 
+import inspect
 import math
 import re
 
@@ -74,3 +75,22 @@ def test_training_table_may_be_odd(spark):
     rows = [(None, 1), ("http://a.org/x", None), ("http://spam.org/buy", 1), ("http://news.org/read", 0)] * 2
     model = U.train(spark, spark.createDataFrame(rows, "url string, label int"), buckets=64, iterations=5)
     assert len(model.weights) == 64
+
+
+def test_threshold_on_urls_held_out(spark, model):
+    assert not {plain(u)[0].removeprefix("www.") for u, _ in U.HELD_OUT_URLS} & {plain(u)[0].removeprefix("www.") for u, _ in U.LABELLED_URLS}
+    df = spark.createDataFrame(list(U.HELD_OUT_URLS), "url string, label int").selectExpr("url", "label as page_id")
+    rows = [(r["page_id"], r["score"]) for r in U.url_filter(df, model, rules=()).collect()]
+
+    def figures(threshold):
+        blocked = [label for label, score in rows if score >= threshold]
+        return sum(blocked) / max(len(blocked), 1), sum(blocked) / sum(label for label, _ in rows)
+
+    def weighed(threshold):
+        precision, recall = figures(threshold)
+        return 1.25 * precision * recall / (0.25 * precision + recall)
+
+    threshold = inspect.signature(U.url_filter).parameters["threshold"].default
+    precision, recall = figures(threshold)
+    assert precision >= 0.9 and recall >= 0.5
+    assert weighed(threshold) == max(weighed(k / 20) for k in range(1, 20))
