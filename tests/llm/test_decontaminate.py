@@ -103,3 +103,25 @@ def test_query_finds_all_exact_passages(spark):
     assert want and {(r["doc_id"], r["item_id"]) for r in rows if r["distance"] == 0} == want
     for r in rows:
         assert matrix(items[r["item_id"]], docs[r["doc_id"]])[0] == r["distance"]
+
+
+def test_changed_and_cut_items_of_the_benchmark_are_found(spark):
+    import inspect
+
+    rate, piece = (inspect.signature(D.contaminated).parameters[n].default for n in ("rate", "piece"))
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
+    assert all(D.budget(len(D.normal(t)), rate, piece) == int(rate * len(D.normal(t))) for _, t in items)
+    matcher = D.Matcher(items, rate, piece)
+
+    def share(change):
+        found = 0
+        for item_id, text in items:
+            passage = D.normal("some words before " + " ".join(change(D.normal(text).split())) + " and some after")
+            got = {i: d for i, d, _ in matcher.find(passage)}
+            distance = matrix(D.normal(text), passage)[0]
+            assert got.get(item_id) == (distance if distance <= D.budget(len(D.normal(text)), rate, piece) else None)
+            found += item_id in got
+        return found / len(items)
+
+    assert share(lambda words: ["xyz" if k % 20 == 10 else w for k, w in enumerate(words)]) >= 0.95
+    assert share(lambda words: words[:len(words) - max(1, len(words) // 10)]) >= 0.9
