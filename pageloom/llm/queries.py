@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm import binary, bpe, chat, decontaminate, jaccard, langid, licenses, quality, rollups, urlfilter
+from pageloom.llm import binary, bpe, chat, decontaminate, jaccard, langid, licenses, quality, resample, rollups, urlfilter
 from pageloom.llm.base import scratch, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,46 @@ FROM summed
 @query("op10_chat_rotation", OP10_SQL)
 def op10_chat_rotation(spark: SparkSession, folder: str) -> DataFrame:
     return chat.rotate(table(spark, folder, "conversations"))
+
+
+OP12_SQL = r"""
+WITH bytes AS (
+  SELECT i, list_reduce(range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i) AS c
+  FROM range(256) AS t(i)),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bytes),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+found AS (
+  SELECT rid, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM docs),
+wanted AS (
+  SELECT unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+vocabulary AS (
+  SELECT w, xor(4294967295, list_reduce(
+    list_transform(range(length(hex(encode(w))) // 2), lambda k: ('0x' || substr(hex(encode(w)), 2 * k + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) % 10000 AS bucket
+  FROM (SELECT w FROM found UNION SELECT w FROM wanted), crc),
+own AS (SELECT bucket, count(*) AS s FROM found JOIN vocabulary USING (w) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM wanted JOIN vocabulary USING (w) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(s), 0)::DOUBLE FROM own) AS ss, (SELECT coalesce(sum(t), 0)::DOUBLE FROM target) AS tt),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (ss + 10000) / ((s + 1) * (tt + 10000))))::BIGINT AS gain
+  FROM own LEFT JOIN target USING (bucket), totals),
+weights AS (
+  SELECT rid, count(*) AS n, sum(gain)::BIGINT AS weight FROM found JOIN vocabulary USING (w) JOIN gains USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT rid, doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)
+                                                    / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (rid)),
+placed AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (rid)
+"""
+
+
+@query("op12_importance_resampling", OP12_SQL)
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
