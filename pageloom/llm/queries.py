@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm import binary, bpe, chat, decontaminate, jaccard, langid, licenses, quality, resample, rollups, urlfilter
+from pageloom.llm import align, binary, bpe, chat, decontaminate, jaccard, langid, licenses, quality, resample, rollups, urlfilter
 from pageloom.llm.base import scratch, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -209,3 +209,9 @@ FROM scored LEFT JOIN placed USING (rid)
 def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select(
         "doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.linked(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
