@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageloom.llm import align, binary, bpe, chat, decontaminate, jaccard, langid, licenses, quality, resample, rollups, urlfilter
+from pageloom.llm import align, binary, bpe, chat, decontaminate, jaccard, langid, licenses, quality, resample, rollups, substrings, urlfilter
 from pageloom.llm.base import scratch, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +215,9 @@ def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align.linked(
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_substring_dedup")
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
