@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from pageloom.catalog.base import CRAWLS_SQL, crawl_batch, crawl_before, query
 from pageloom.operators import changes as CH
+from pageloom.session import new_folder
+from pageloom.sources.state import StateTable
 
 NOW = "2024-02-15 00:00:00"
 
@@ -67,6 +69,31 @@ def advance_state(t):
     return _advanced(t)
 
 
+@query("merge_state", f"""
+WITH {CRAWLS_SQL},
+crawls AS (
+  SELECT CASE WHEN doc_id % 4 = 3 THEN NULL ELSE url END AS url, hash, doc_id % 3 AS n FROM batch),
+each AS (SELECT url, n, max(hash) AS hash FROM crawls GROUP BY url, n),
+steps AS (
+  SELECT url, n, hash, lag(hash) OVER (PARTITION BY url ORDER BY n) AS old FROM (
+    SELECT url, -1 AS n, hash FROM before UNION ALL SELECT url, n, hash FROM each))
+SELECT url, arg_max(hash, n) AS hash, CASE WHEN max(n) >= 0 THEN TIMESTAMP '{NOW}' + to_days(CAST(max(n) AS INTEGER)) END AS last_crawled,
+       count(*) FILTER (WHERE old IS NOT NULL AND old <> hash) AS changes
+FROM steps GROUP BY url""")
+def merge_state(t):
+    """Three crawls, each sent twice, merged into a state that held the labelled documents; some rows have no URL."""
+    table = StateTable(t.spark, new_folder(t.spark, "state"), CH.STATE, "url", 16)
+    before = crawl_before(t).withColumns({c: F.col(c).cast("timestamp") for c in ("first_seen", "last_crawled")})
+    table.merge(before.withColumns({"change_count": F.lit(0).cast("bigint"), "last_crawled": F.lit(None).cast("timestamp")}), lambda state, rows: rows, "before")
+    crawls = crawl_batch(t).withColumn("url", F.when(F.col("doc_id") % 4 != 3, F.col("url")))
+    for n in range(3):
+        for _ in range(2):
+            now = (_now() + F.make_dt_interval(F.lit(n))).cast("timestamp")
+            CH.merge_crawl(table, crawls.filter(F.col("doc_id") % 3 == n), now, n)
+    table.vacuum()
+    return table.read().select("url", "hash", F.col("last_crawled").cast("timestamp_ntz").alias("last_crawled"), F.col("change_count").alias("changes"))
+
+
 @query("change_stats", _ADVANCED + "SELECT count(*) AS total_urls, CAST(sum(change_count) AS BIGINT) AS total_changes FROM advanced")
 def change_stats(t):
     return CH.change_stats(_advanced(t))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pageloom.catalog.base import DOMAIN_LOG_SQL, LOG_SQL, domain_log, fetch_log, query
 from pageloom.catalog.quality import DLQ_SQL, dlq
 from pageloom.session import new_folder
-from pageloom.streaming import streams as ST, stateful as SF
+from pageloom.streaming import runs as RN, stateful as SF, streams as ST
 
 
 def stream(t, name: str):
@@ -50,24 +50,46 @@ def stream_split_good_bad(t):
     return count(good, "good").unionByName(count(bad, "bad"))
 
 
+def in_slices(t, df, place, files: int = 6):
+    """Rows as a stream of several files, each a micro-batch, in the order of `place` (0 to files - 1).
+
+    File times are the order in which a stream takes files, so the files are written one after the other.
+    """
+    folder = new_folder(t.spark, "slices")
+    for k in range(files):
+        df.filter(place == k).coalesce(1).write.mode("append").parquet(folder)
+    return zoned(ST.stream_table(t.spark, folder, df.schema, 1))
+
+
+def by_days(t, files: int = 6):
+    """The events as a stream of six stretches of time."""
+    return in_slices(t, t.events, F.least(F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 5), F.lit(files - 1)), files)
+
+
 @query("stream_changes", """
-SELECT 'u' || CAST(user_id AS VARCHAR) AS url, event_id AS tie, CASE WHEN old IS NULL THEN 'new' WHEN old = event_type THEN 'unchanged' ELSE 'modified' END AS change_type,
+SELECT CASE WHEN user_id % 7 <> 0 THEN 'u' || CAST(user_id AS VARCHAR) END AS url, event_id AS tie,
+  CASE WHEN old IS NULL THEN 'new' WHEN old = event_type THEN 'unchanged' ELSE 'modified' END AS change_type,
   old AS old_hash, event_type AS new_hash, old IS NULL OR old <> event_type AS changed
-FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old FROM events)""")
+FROM (SELECT *, lag(event_type) OVER (PARTITION BY CASE WHEN user_id % 7 <> 0 THEN user_id END ORDER BY ts, event_id) AS old FROM events)""")
 def stream_changes(t):
-    versions = stream(t, "events").select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), "ts", F.col("event_id").alias("tie"), F.col("event_type").alias("hash")
-    )
-    return ST.drain(SF.stream_changes(versions), "changes", idle_batches=False).drop("ts")
-
-
-@query("stream_document_changes", "SELECT 'new' AS change_type, count(*) AS n FROM documents")
+    """Six micro-batches; a seventh of the rows has no URL and so shares one hot key."""
+    versions = by_days(t).select(
+        F.when(F.col("user_id") % 7 != 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("url"), "ts", F.col("event_id").alias("tie"),
+        F.col("event_type").alias("hash"))
+    return SF.stream_changes(versions).drop("ts", "batch_id")
+
+
+@query("stream_document_changes", """
+WITH v AS (
+  SELECT source || '/' || CAST(length(text) % 50 AS VARCHAR) AS url, doc_id, md5(text) AS hash, doc_id % 3 AS batch FROM documents),
+l AS (SELECT *, lag(hash) OVER (PARTITION BY url ORDER BY batch, doc_id) AS old FROM v)
+SELECT doc_id, url, CASE WHEN old IS NULL THEN 'new' WHEN old = hash THEN 'unchanged' ELSE 'modified' END AS change_type FROM l""")
 def stream_document_changes(t):
-    docs = stream(t, "documents").select(
-        F.concat(F.lit("https://"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
-        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("ts"), F.col("doc_id").alias("tie"), F.md5(F.encode("text", "UTF-8")).alias("hash"),
-    )
-    return ST.drain(SF.stream_changes(docs), "doc-changes", idle_batches=False).groupBy("change_type").agg(F.count("*").alias("n"))
+    """Documents of a source and length as versions of one page, in three micro-batches."""
+    docs = t.documents.select(
+        F.concat(F.col("source"), F.lit("/"), (F.length("text") % 50).cast("string")).alias("url"), F.lit("2024-01-01").cast("timestamp").alias("ts"),
+        F.col("doc_id").alias("tie"), F.md5(F.encode("text", "UTF-8")).alias("hash"))
+    return SF.stream_changes(in_slices(t, docs, F.col("tie") % 3, 3)).select(F.col("tie").alias("doc_id"), "url", "change_type")
 
 
 @query("stream_run_progress", """
@@ -106,18 +128,66 @@ def stream_success_sliding(t):
 
 
 @query("stream_health", f"""
-WITH {LOG_SQL} SELECT endpoint, round(list_reduce(list_concat([1.0::DOUBLE], list(ok::INT::DOUBLE ORDER BY ts, event_id)), lambda r, x: 0.15 * x + 0.85 * r), 9) AS ema_rate, count(*) AS total_requests
-FROM log GROUP BY endpoint""")
+WITH {LOG_SQL},
+hot AS (SELECT CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 3 = 1 AND endpoint % 5 = 0 THEN NULL ELSE endpoint END AS endpoint, ts, event_id, ok, latency_ms FROM log),
+behind AS (SELECT *, count(*) FILTER (WHERE ok) OVER (PARTITION BY endpoint ORDER BY ts DESC, event_id DESC) AS later_ok FROM hot)
+SELECT endpoint, round(list_reduce(list_concat([1.0::DOUBLE], list(ok::INT::DOUBLE ORDER BY ts, event_id)), lambda r, x: 0.15 * x + 0.85 * r), 9) AS ema_rate,
+  round(list_reduce(list_concat([500.0::DOUBLE], coalesce(list(latency_ms ORDER BY ts, event_id) FILTER (WHERE ok AND latency_ms > 0), [])), lambda r, x: 0.2 * x + 0.8 * r), 6) AS ema_latency_ms,
+  count(*) FILTER (WHERE later_ok = 0) AS consecutive_fails, count(*) AS total_requests
+FROM behind GROUP BY endpoint""")
 def stream_health(t):
-    """Health after the last micro-batch of each endpoint; the totals grow, so the largest is the last."""
-    path = ST.run_batches(
-        SF.stream_health(fetch_log(t, stream(t, "events"))), "health",
-        lambda batch, batch_id, out: batch.write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}"), "update",
-        idle_batches=False,
-    )
-    saved = t.spark.read.parquet(f"{path}/data")
-    last = saved.groupBy("endpoint").agg(F.max_by(F.struct("ema_rate", "total_requests"), "total_requests").alias("h"))
-    return last.select("endpoint", F.round("h.ema_rate", 9).alias("ema_rate"), "h.total_requests")
+    """Six micro-batches, an endpoint with a third of all rows, rows without an endpoint: as the batch form over the whole log."""
+    log = fetch_log(t, by_days(t))
+    endpoint = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint")).when((F.col("event_id") % 3 != 1) | (F.col("endpoint") % 5 != 0), F.col("endpoint"))
+    _, health = SF.stream_health(log.withColumn("endpoint", endpoint))
+    return health.select("endpoint", F.round("ema_rate", 9).alias("ema_rate"), F.round("ema_latency_ms", 6).alias("ema_latency_ms"), "consecutive_fails", "total_requests")
+
+
+RUNS_SQL = """
+marked AS (
+  SELECT 's' || CAST(user_id % 5 AS VARCHAR) AS site, CAST(user_id AS VARCHAR) AS schedule_id, ts, event_id, event_type,
+         count(*) FILTER (WHERE event_type = 'signup') OVER w AS run FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+cut AS (SELECT *, count(*) FILTER (WHERE event_type = 'purchase') OVER (PARTITION BY schedule_id, run ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS done
+        FROM marked WHERE run > 0),
+runs AS (
+  SELECT site, schedule_id, run, min(ts) AS started_at, max(ts) AS updated_at, max(ts) FILTER (WHERE event_type = 'purchase') AS completed_at,
+         coalesce(arg_max(event_type, (ts, event_id)) FILTER (WHERE event_type NOT IN ('signup', 'purchase')), 'discovery') AS stage,
+         max(event_id) FILTER (WHERE event_type = 'signup') AS signup, arg_max(event_id, (ts, event_id)) FILTER (WHERE event_type = 'view') AS viewed,
+         arg_max(event_id, (ts, event_id)) AS last_id
+  FROM cut WHERE done = 0 GROUP BY ALL)
+"""
+
+
+def _run_events(t):
+    """Signups start the run of a user, purchases complete it, other events are progress; counters hold the last event of each type."""
+    kind = F.when(F.col("event_type") == "signup", RN.START).when(F.col("event_type") == "purchase", RN.COMPLETE).otherwise(RN.PROGRESS)
+    return by_days(t).select(
+        F.lit("web").alias("project"), F.concat(F.lit("s"), (F.col("user_id") % 5).cast("string")).alias("site"), F.col("user_id").cast("string").alias("schedule_id"),
+        "ts", F.col("event_id").alias("tie"), kind.alias("kind"), F.when(kind == RN.PROGRESS, F.col("event_type")).alias("stage"),
+        F.lit(None).cast("string").alias("status"), F.create_map(F.col("event_type"), F.col("event_id")).alias("counters"))
+
+
+def _viewed(df):
+    return df.withColumns({"viewed": F.get_json_object("counters", "$.view").cast("bigint"), "signup": F.get_json_object("counters", "$.signup").cast("bigint")})
+
+
+@query("stream_open_runs", f"""
+WITH {RUNS_SQL}, last AS (SELECT schedule_id, max(run) AS run FROM cut GROUP BY schedule_id)
+SELECT site, schedule_id, stage, started_at, updated_at, signup, viewed FROM runs JOIN last USING (schedule_id, run) WHERE completed_at IS NULL""")
+def stream_open_runs(t):
+    """Runs in progress after six micro-batches."""
+    current, _ = RN.run_tables(_run_events(t), ttl_h=24 * 60)
+    return plain(_viewed(current).select("site", "schedule_id", "stage", "started_at", "updated_at", "signup", "viewed"))
+
+
+@query("stream_last_runs", f"""
+WITH {RUNS_SQL}
+SELECT site, schedule_id, CAST(number AS INTEGER) AS number, stage, started_at, completed_at, 'completed' AS status, signup, viewed FROM (
+  SELECT *, row_number() OVER (PARTITION BY site ORDER BY completed_at DESC, last_id DESC) AS number FROM runs WHERE completed_at IS NOT NULL) WHERE number <= 50""")
+def stream_last_runs(t):
+    """The last fifty finished runs of each site after six micro-batches."""
+    _, history = RN.run_tables(_run_events(t), ttl_h=24 * 60)
+    return plain(_viewed(history).select("site", "schedule_id", "number", "stage", "started_at", "completed_at", "status", "signup", "viewed"))
 
 
 @query("stream_liveness", f"""
@@ -143,15 +213,8 @@ def stream_expire_dlq(t):
 
 
 def in_time_order(t, name: str, by: str, files: int = 6):
-    """The table as a stream of several files, each a micro-batch, the rows of one file later than those of the one before.
-
-    File times are the order in which a stream takes files, so the files are written one after the other.
-    """
-    folder, df = new_folder(t.spark, f"ordered-{name}"), getattr(t, name)
-    place = F.pmod(F.col(by), F.lit(files))
-    for k in range(files):
-        df.filter(place == k).coalesce(1).write.mode("append").parquet(folder)
-    return zoned(ST.stream_table(t.spark, folder, df.schema, 1))
+    df = getattr(t, name)
+    return in_slices(t, df, F.pmod(F.col(by), F.lit(files)), files)
 
 
 @query("stream_late_rows", """

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pageloom.operators.scans import lag_by_time
+from pageloom.operators.scans import lag_by_time, same_keys
+from pageloom.sources.state import StateTable
 
 
 def content_hash(c: Column) -> Column:
@@ -19,11 +20,8 @@ def detect_changes(state: DataFrame, batch: DataFrame, key: str = "url") -> Data
     """`state`: key, hash; `batch`: key, hash. One result row for each batch row."""
     known = state.select(key, F.col("hash").alias("old_hash"))
     kind = _change_type(F.col("old_hash"), F.col("new_hash"))
-    return (
-        batch.select(key, F.col("hash").alias("new_hash"))
-        .join(known, key, "left")
-        .select(key, kind.alias("change_type"), "old_hash", "new_hash", (kind != "unchanged").alias("changed"))
-    )
+    return same_keys(batch.select(key, F.col("hash").alias("new_hash")), known, [key], "left").select(
+        key, kind.alias("change_type"), "old_hash", "new_hash", (kind != "unchanged").alias("changed"))
 
 
 def advance_state(state: DataFrame, batch: DataFrame, now: Column, key: str = "url") -> DataFrame:
@@ -31,8 +29,8 @@ def advance_state(state: DataFrame, batch: DataFrame, now: Column, key: str = "u
     s, b = state.alias("s"), batch.select(F.col(key), F.col("hash")).alias("b")
     seen = F.col("b.hash").isNotNull()
     moved = seen & F.col("s.hash").isNotNull() & (F.col("s.hash") != F.col("b.hash"))
-    return s.join(b, key, "full_outer").select(
-        key,
+    return s.join(b, F.col(f"s.{key}").eqNullSafe(F.col(f"b.{key}")), "full_outer").select(
+        F.coalesce(f"s.{key}", f"b.{key}").alias(key),
         F.coalesce("b.hash", "s.hash").alias("hash"),
         F.coalesce(F.col("s.first_seen"), now).alias("first_seen"),
         F.when(seen, now).otherwise(F.col("s.last_crawled")).alias("last_crawled"),
@@ -40,6 +38,23 @@ def advance_state(state: DataFrame, batch: DataFrame, now: Column, key: str = "u
     )
 
 
+STATE = "url string, hash string, first_seen timestamp, last_crawled timestamp, change_count bigint"
+
+
+def merge_crawl(table: StateTable, batch: DataFrame, now: Column, number: int | str, ttl_days: int | None = None) -> bool:
+    """Advance a state table by one crawl: only the buckets of the crawled URLs are read and written.
+
+    A URL twice in the batch counts once, with its greatest hash. With `ttl_days`, rows of touched buckets that were not crawled for so long go.
+    """
+    key = table.key[0]
+
+    def step(state: DataFrame, rows: DataFrame) -> DataFrame:
+        live = state if ttl_days is None else expire_state(state, now, ttl_days)
+        return advance_state(live, rows.groupBy(key).agg(F.max("hash").alias("hash")), now, key)
+
+    return table.merge(batch.select(key, "hash"), step, number)
+
+
 def expire_state(state: DataFrame, now: Column, days: int = 30) -> DataFrame:
     """Drop URLs not crawled for `days`, by event time. (The streaming form uses processing time.)"""
     return state.filter(F.col("last_crawled") > now - F.make_dt_interval(F.lit(days)))
@@ -52,7 +67,7 @@ def detect_changes_ordered(state: DataFrame, batch: DataFrame, ts: str, tie: str
     known = state.select(key, F.col("hash").alias("__state"))
     old = F.coalesce(F.col("__before"), F.col("__state"))
     kind = _change_type(old, F.col("hash"))
-    return lagged.join(known, key, "left").select(
+    return same_keys(lagged, known, [key], "left").select(
         key, ts, tie, kind.alias("change_type"), old.alias("old_hash"), F.col("hash").alias("new_hash"),
         (kind != "unchanged").alias("changed"),
     )

@@ -112,28 +112,58 @@ def health_label(df: DataFrame, healthy: float = HEALTHY_FROM, degraded: float =
     })
 
 
-def endpoint_health(log: DataFrame, now: Column, key: str = "endpoint", chunk_s: int = scans.HOUR) -> DataFrame:
-    """Smoothed rate, streak, breaker and totals of each endpoint in one pass over the log.
+def folded(log: DataFrame, key: str = "endpoint", chunk_s: int = scans.HOUR) -> DataFrame:
+    """What a stretch of log does to each endpoint's health, as one small row: key, n, n_ok, b, fails, last_ts, n_hits, b_latency.
 
-    A piece of an endpoint's time keeps its share of the linear fold, its totals and the failures behind its last success;
-    the streak adds these up from the last piece back to the one with a success.
+    A rate r before it is (1 - a)^n * r + b behind it, a latency likewise by n_hits and b_latency; `fails` are the failures behind the last success, all n if there is
+    none. Rows of stretches that follow each other compose (`composed`). A piece of an endpoint's time keeps its share of these; the
+    shares are added up from the last piece back, so no task holds an endpoint's rows.
     """
-    keep = 1.0 - EMA_ALPHA
-    pieces = log.select(key, "ts", "event_id", "ok", scans.time_chunk(F.col("ts"), chunk_s).alias(scans.CHUNK))
-    back = F.row_number().over(W.partitionBy(key, scans.CHUNK).orderBy(F.desc("ts"), F.desc("event_id"))) - 1
-    parts = pieces.withColumn("__back", back).groupBy(key, scans.CHUNK).agg(
-        F.count("*").alias("__n"), F.count_if("ok").alias("__ok"), F.max("ts").alias("__ts"),
+    keep, slow = 1.0 - EMA_ALPHA, 1.0 - LATENCY_ALPHA
+    hit = F.col("ok") & (F.coalesce("latency_ms", F.lit(0.0)) > 0)
+    pieces = log.select(
+        key, "ts", "event_id", "ok", hit.alias("__hit"), "latency_ms", scans.time_chunk(F.col("ts"), chunk_s).alias(scans.CHUNK))
+    backwards = W.partitionBy(key, scans.CHUNK).orderBy(F.desc("ts"), F.desc("event_id"))
+    hits_behind = F.coalesce(F.sum(F.col("__hit").cast("int")).over(backwards.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = pieces.withColumns({"__back": F.row_number().over(backwards) - 1, "__hits": hits_behind}).groupBy(key, scans.CHUNK).agg(
+        F.count("*").alias("__n"), F.count_if("ok").alias("__ok"), F.max("ts").alias("__ts"), F.count_if("__hit").alias("__nh"),
         F.sum(EMA_ALPHA * F.col("ok").cast("double") * F.pow(F.lit(keep), F.col("__back"))).alias("__b"),
+        F.sum(F.when(F.col("__hit"), LATENCY_ALPHA * F.col("latency_ms") * F.pow(F.lit(slow), F.col("__hits"))).otherwise(0.0)).alias("__bl"),
         F.coalesce(F.min(F.when(F.col("ok"), F.col("__back"))), F.count("*")).alias("__tail"),
     )
     later = W.partitionBy(key).orderBy(F.desc(scans.CHUNK)).rowsBetween(W.unboundedPreceding, -1)
-    summed = parts.withColumn("__after", F.coalesce(F.sum("__n").over(later), F.lit(0))).withColumn(
-        "__ok_after", F.coalesce(F.sum("__ok").over(later), F.lit(0)))
-    streaks = summed.groupBy(key).agg(
-        (F.sum(F.col("__b") * F.pow(F.lit(keep), F.col("__after"))) + F.pow(F.lit(keep), F.sum("__n"))).alias("ema_rate"),
-        F.sum(F.when(F.col("__ok_after") == 0, F.col("__tail")).otherwise(0)).cast("bigint").alias("consecutive_fails"),
-        F.max("__ts").alias("last_ts"), F.sum("__n").alias("total_requests"), F.sum("__ok").alias("total_successes"),
+    after = lambda c: F.coalesce(F.sum(c).over(later), F.lit(0))
+    return parts.withColumns({"__after": after("__n"), "__ok_after": after("__ok"), "__hits_after": after("__nh")}).groupBy(key).agg(
+        F.sum("__n").alias("n"), F.sum("__ok").alias("n_ok"),
+        F.sum(F.col("__b") * F.pow(F.lit(keep), F.col("__after"))).alias("b"),
+        F.sum(F.when(F.col("__ok_after") == 0, F.col("__tail")).otherwise(0)).cast("bigint").alias("fails"),
+        F.max("__ts").alias("last_ts"), F.sum("__nh").alias("n_hits"),
+        F.sum(F.col("__bl") * F.pow(F.lit(slow), F.col("__hits_after"))).alias("b_latency"),
     )
+
+
+def composed(state: DataFrame, stretch: DataFrame, key: str = "endpoint") -> DataFrame:
+    """Health behind a stretch, from the health before it (`state`, may lack endpoints) and the `folded` stretch: one row for each endpoint of either.
+
+    key, ema_rate, ema_latency_ms, consecutive_fails, total_requests, last_ts
+    """
+    s, d = state.alias("s"), stretch.alias("d")
+    n, hits = F.coalesce("d.n", F.lit(0)), F.coalesce("d.n_hits", F.lit(0))
+    return s.join(d, F.col(f"s.{key}").eqNullSafe(F.col(f"d.{key}")), "full_outer").select(
+        F.coalesce(f"d.{key}", f"s.{key}").alias(key),
+        (F.coalesce("s.ema_rate", F.lit(1.0)) * F.pow(F.lit(1.0 - EMA_ALPHA), n) + F.coalesce("d.b", F.lit(0.0))).alias("ema_rate"),
+        (F.coalesce("s.ema_latency_ms", F.lit(LATENCY_START)) * F.pow(F.lit(1.0 - LATENCY_ALPHA), hits) + F.coalesce("d.b_latency", F.lit(0.0))).alias("ema_latency_ms"),
+        (F.coalesce("d.fails", F.lit(0)) + F.when(F.coalesce("d.n_ok", F.lit(0)) == 0, F.coalesce("s.consecutive_fails", F.lit(0))).otherwise(0)).cast("bigint").alias("consecutive_fails"),
+        (F.coalesce("s.total_requests", F.lit(0)) + n).cast("bigint").alias("total_requests"),
+        F.coalesce("d.last_ts", "s.last_ts").alias("last_ts"),
+    )
+
+
+def endpoint_health(log: DataFrame, now: Column, key: str = "endpoint", chunk_s: int = scans.HOUR) -> DataFrame:
+    """Smoothed rate, streak, breaker and totals of each endpoint in one pass over the log."""
+    streaks = folded(log, key, chunk_s).select(
+        key, (F.col("b") + F.pow(F.lit(1.0 - EMA_ALPHA), F.col("n"))).alias("ema_rate"), F.col("fails").alias("consecutive_fails"), "last_ts",
+        F.col("n").alias("total_requests"), F.col("n_ok").alias("total_successes"))
     return health_label(with_breaker(streaks, now))
 
 
