@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from pageloom.catalog.base import query
 from pageloom.session import new_folder
-from pageloom.sources import pages as SP, records as SR
+from pageloom.sources import bulkindex as BI, pages as SP, pagestore as PS, records as SR
+from pageloom.streaming import streams as ST
 
 
 @query("page_store_round_trip", """
@@ -22,6 +23,93 @@ def page_store_round_trip(t):
     )
 
 
+STORED_SQL = """
+stored AS (
+  SELECT CASE WHEN contains(url, '/en/') THEN 'news' ELSE 'shop' END AS project, regexp_replace(regexp_extract(url, '//([^/?#]*)', 1), '^www\\.', '') AS domain,
+         CASE WHEN page_id % 2 = 0 THEN '2026-03-11' ELSE '2026-03-12' END AS date, md5(url) AS url_md5, html, page_id
+  FROM pages)
+"""
+
+
+def _to_store(t):
+    """All pages in two loads, those of the second day last; returns the store's address."""
+    root = new_folder(t.spark, "store")
+    day = F.when(F.col("page_id") % 2 == 0, "2026-03-11 10:00:00").otherwise("2026-03-12 10:00:00").cast("timestamp_ntz")
+    project = F.when(F.contains("url", F.lit("/en/")), "news").otherwise("shop")
+    rows = t.pages.withColumns({"project": project, "fetched_at": day})
+    for n in (0, 1):
+        PS.write_page_store(rows.filter(F.col("page_id") % 2 == n), root)
+    return root
+
+
+@query("page_store_source", f"""
+WITH {STORED_SQL}
+SELECT project, domain, date, url_md5, CAST(length(max(html)) AS INTEGER) AS n, md5(max(html)) AS hash FROM stored WHERE project = 'shop' AND date = '2026-03-12' GROUP BY ALL""")
+def page_store_source(t):
+    """Gzipped pages written and read by tasks through the data source; filters prune its folders."""
+    pages = t.spark.read.format("pagestore").option("splits", 16).load(_to_store(t))
+    return pages.filter("project = 'shop' AND date IN ('2026-03-12')").select(
+        "project", "domain", "date", "url_md5", F.length("html").alias("n"), F.md5(F.encode("html", "UTF-8")).alias("hash"))
+
+
+@query("page_store_stream", f"WITH {STORED_SQL} SELECT project, date, url_md5, md5(max(html)) AS hash FROM stored GROUP BY ALL")
+def page_store_stream(t):
+    """The store as a stream of its committed loads."""
+    pages = t.spark.readStream.format("pagestore").load(_to_store(t))
+    return ST.drain(pages.select("project", "date", "url_md5", F.md5(F.encode("html", "UTF-8")).alias("hash")), "store-stream")
+
+
+def flaky(path: str, batch: str, task: str):
+    """A client that is down for every other request, and takes no document of over 3,000 characters."""
+    store, calls = BI.FileClient(path, batch, task), [0]
+
+    def send(docs: list[dict]) -> dict[str, str]:
+        calls[0] += 1
+        if calls[0] % 2:
+            raise ConnectionError("down")
+        errors = {d["doc_id"]: "too long" for d in docs if json.loads(d["doc"])["n_chars"] > 3000}
+        store([d for d in docs if d["doc_id"] not in errors])
+        return errors
+
+    return send
+
+
+_BULK_SQL = """
+sent AS (
+  SELECT CASE WHEN doc_id % 10 <> 9 THEN md5(CAST(doc_id AS VARCHAR)) END AS doc_id, n_chars, 'first' AS load FROM documents
+  UNION ALL SELECT md5(CAST(d.doc_id AS VARCHAR)), n_chars, 'second' FROM documents d JOIN labels l ON l.doc_id = d.doc_id)
+"""
+
+
+def _bulk(t):
+    """Two batches, the first of them sent a second time with other documents: that one is not sent."""
+    path = new_folder(t.spark, "bulk")
+    t.spark.dataSource.register(BI.bulk_index(flaky))
+    key = F.md5(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    docs = t.documents.join(t.labels.select("doc_id", F.lit(1).alias("labelled")), "doc_id", "left")
+    for batch, load, rows, doc_id in (
+        ("1", "first", docs, F.when(F.col("doc_id") % 10 != 9, key)), ("2", "second", docs.filter("labelled = 1"), key), ("1", "again", docs, key),
+    ):
+        records = rows.select(doc_id.alias("uniq_id"), "n_chars", F.lit(load).alias("load"))
+        SR.index_docs(records, "web").write.format("bulkindex").mode("append").option("batch", batch).option("wait", 0.01).save(path)
+    return path
+
+
+@query("bulk_index_documents", f"""
+WITH {_BULK_SQL} SELECT doc_id, max(load) AS load FROM sent WHERE doc_id IS NOT NULL AND n_chars <= 3000 GROUP BY doc_id""")
+def bulk_index_documents(t):
+    """The index behind a flaky client: one document for each key, of the last batch that has it."""
+    docs = BI.documents(t.spark, _bulk(t))
+    return docs.select("doc_id", F.get_json_object("doc", "$.load").alias("load"))
+
+
+@query("bulk_index_rejects", f"""
+WITH {_BULK_SQL} SELECT doc_id, load, CASE WHEN doc_id IS NULL THEN 'no uniq_id' ELSE 'too long' END AS error FROM sent WHERE doc_id IS NULL OR n_chars > 3000""")
+def bulk_index_rejects(t):
+    """All documents that two batches could not place, and why."""
+    return BI.rejects(t.spark, _bulk(t)).select("doc_id", F.get_json_object("doc", "$.load").alias("load"), "error")
+
+
 @query("fetch_metadata", """
 SELECT url, CAST(page_id + 1 AS INTEGER) AS rank, 'out/' || md5(url) || '.html' AS output_file, md5(url || '|{''rank'': ' || CAST(page_id + 1 AS VARCHAR) || '}') AS uniq_id FROM pages""")
 def fetch_metadata(t):

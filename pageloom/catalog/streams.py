@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pageloom.catalog.base import DOMAIN_LOG_SQL, LOG_SQL, domain_log, fetch_log, query
 from pageloom.catalog.quality import DLQ_SQL, dlq
 from pageloom.session import new_folder
+from pageloom.sources import bulkindex as BI, records as SR
 from pageloom.streaming import runs as RN, stateful as SF, streams as ST
 
 
@@ -249,6 +250,19 @@ def stream_index_batches(t):
     return docs.select("doc_id", F.get_json_object("doc", "$.batch").alias("batch"))
 
 
+@query("stream_bulk_index", """
+SELECT CAST(user_id AS VARCHAR) AS doc_id, max(event_id % 6)::VARCHAR AS batch, (SELECT count(*) FROM events WHERE user_id IS NOT NULL) AS sent FROM events GROUP BY 1""")
+def stream_bulk_index(t):
+    """Micro-batches as batches of the bulk sink."""
+    path = new_folder(t.spark, "bulk")
+    t.spark.dataSource.register(BI.bulk_index())
+    rows = in_time_order(t, "events", "event_id").select(
+        F.col("user_id").cast("string").alias("uniq_id"), F.pmod("event_id", F.lit(6)).cast("string").alias("batch"))
+    BI.load_stream(SR.index_docs(rows, "web"), path)
+    sent = BI.commits(t.spark, path).agg(F.sum("sent")).first()[0]
+    return BI.documents(t.spark, path).select("doc_id", F.get_json_object("doc", "$.batch").alias("batch"), F.lit(sent).alias("sent"))
+
+
 @query("stream_index_rejects", """
 SELECT count(*) AS rejects FROM events WHERE user_id % 10 = 3""")
 def stream_index_rejects(t):
