@@ -239,18 +239,19 @@ def without_repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """
     texts = numbered(docs)
     runs = written(anchors(texts, s), "anchors")
-    shared = runs.groupBy("a").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("a")
+    # What is summed by hash is written before it is joined: then both sides of the join are read as they are, and a hot hash is split at run time.
+    shared = written(runs.groupBy("a").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("a"), "shared")
     seeded = written(runs.join(shared, "a", "left_semi"), "seeded")
-    same = seeded.groupBy("a", "r").agg(F.min("d").alias("first"), F.max("d").alias("last"))
-    mixed = same.groupBy("a").agg((F.min("first") < F.max("first")).alias("mixed"))
-    known = same.join(mixed, "a").filter("first < last OR mixed")
+    same = written(seeded.groupBy("a", "r").agg(F.min("d").alias("first"), F.max("d").alias("last")), "same")
+    mixed = written(same.groupBy("a").agg((F.min("first") < F.max("first")).alias("mixed")), "mixed")
+    known = written(same.join(mixed, "a").filter("first < last OR mixed"), "known")
     placed = written(
         seeded.join(known.select("a", "r", "first", "mixed"), ["a", "r"]).filter("first < d OR mixed").select(
             "row", "span", "a", (F.col("first") < F.col("d")).alias("covered")), "runs")
     part = F.shiftright("row", 33).alias("part")
     open_runs = placed.filter("NOT covered").groupBy("row").agg(F.collect_list(F.struct("span", "a")).alias("runs")).select(part, "row", "runs")
     found = written(windows(texts.join(open_runs.hint("shuffle_hash"), ["part", "row"]), s), "windows")
-    firsts = found.groupBy("a", "w").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("a", "w", "lo")
+    firsts = written(found.groupBy("a", "w").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("a", "w", "lo"), "firsts")
     single = found.join(firsts, ["a", "w"]).filter("lo < d").select("row", F.shiftleft("at", 16).bitwiseOR(F.lit(1)).alias("span"))
     spans = placed.filter("covered").select("row", "span").unionByName(single).groupBy("row").agg(
         F.collect_list("span").alias("spans")).select(part, "row", "spans")
