@@ -22,7 +22,7 @@ from pageloom.llm.bpe import byte_characters
 
 SHIFT = 16                  # a pair of ids is one number: A's id, then 16 bits of B's
 BLOCK_LINKS = 2_000_000     # links of one block, and what bounds its memory
-REMEMBERED = 150_000        # runs of text a worker keeps from block to block
+REMEMBERED = 400_000        # runs of text a worker keeps from block to block
 
 
 class Runs:
@@ -38,13 +38,15 @@ class Runs:
 class Aligner:
     """Both tokenizers, and a memory of aligned runs.
 
-    Where neither tokenizer has a token that begins before a run of white space and ends behind it, a text is cut there
-    and each distinct run is encoded and aligned once: that holds for texts of common characters, for which A's split pattern is known and B's pieces are looked through here.
-    Any other text is one run.
+    Before white space that follows another character, and between a letter and a sentence mark, no token of either tokenizer goes on. So a text is cut there
+    and each distinct run is encoded and aligned once. That holds for texts of common characters, for which A's split pattern is known and B's pieces are looked
+    through here. Any other text is one run.
     """
 
     COMMON = "\t\n\x0b\x0c -~À-ÖØ-öø-ÿ"
-    RUN = re.compile(r"[\t\n\x0b\x0c ]*[^\t\n\x0b\x0c ]+|[\t\n\x0b\x0c ]+")
+    SPACE, LETTER, MARK = "\t\n\x0b\x0c ", "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
+    RUN = re.compile(f"[{SPACE}]*[^{SPACE}]*?[{LETTER}](?=[{MARK}])|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+    WORD = re.compile(" ?[A-Za-z]+")
 
     def __init__(self, a: bytes, b: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -62,12 +64,15 @@ class Aligner:
             raise ValueError("ids of A must be below 2^17 and of B below 2^16")
         self.a_lengths, self.b_lengths = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
         inner = "".join(pieces)
-        self.common = re.compile(r"(?!)" if any("▁" in p.lstrip("▁") for p in pieces) or not self._splits_as_known() else
+        crossing = re.compile(f"[^▁]▁|[{self.LETTER}][{self.MARK}]|\n")
+        self.known = not any(map(crossing.search, pieces)) and self._splits_as_known()
+        self.common = re.compile(r"(?!)" if not self.known else
                                  "[" + re.sub("[\t\n\x0b\x0c]", lambda m: "" if m[0] in inner else m[0], self.COMMON) + "]*")
+        self.space = byte_characters()[32]
         self.runs = Runs()
 
     def _splits_as_known(self) -> bool:
-        probe = "It's  a\n\n probe, ÀÉ 12\t x \x0b\x0cy  "
+        probe = "It's  a\n\n probe, ÀÉ.b?! 12\t x \x0b\x0cy  "
         split = self.a.pre_tokenizer
         whole = [x for x, _ in split.pre_tokenize_str(" " + probe)] if split else []
         parts = [x for run in self.RUN.findall(" " + probe) for x, _ in split.pre_tokenize_str(run)] if split else []
@@ -75,42 +80,50 @@ class Aligner:
         return self.a.normalizer is None and bool(whole) and whole == parts and joined == (" " + probe).encode()
 
     def _encoded(self, runs: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of runs of a text: B puts a space before what it gets (but for nothing), so a run's own first space, or the piece of that space, goes."""
-        a = [e.ids for e in self.a.encode_batch_fast(runs, add_special_tokens=False)]
-        b = self.b.encode([r[1:] if r[0] == " " else r for r in runs], num_threads=1)
-        return a, [(ids or [self.b.piece_to_id("▁")]) if r[0] == " " else ids[1:] for r, ids in zip(runs, b, strict=True)]
-
-    def slices(self, a: list[int], b: list[int]) -> Iterator[tuple[list[int], list[int]]]:
-        """The groups of two encodings of the same bytes: ends that both have cut the lists of ids."""
-        index_a = {end: k for k, end in enumerate(accumulate(map(self.a_lengths.__getitem__, a)), 1)}
-        index_b = {end: k for k, end in enumerate(accumulate(map(self.b_lengths.__getitem__, b)), 1)}
-        i = j = 0
-        for end in sorted(index_a.keys() & index_b.keys()):
-            yield a[i:(i := index_a[end])], b[j:(j := index_b[end])]
+        """Ids of runs of a text. A word is one piece to A, so its model gets it as it is. B puts a space before what it gets (but for nothing): a run's own first space goes, and before any other run stands a
+        line break, which like the space before it is a piece of its own."""
+        words = [r.replace(" ", self.space) if self.known and self.WORD.fullmatch(r) else None for r in runs]
+        others = iter(self.a.encode_batch_fast([r for r, w in zip(runs, words, strict=True) if w is None], add_special_tokens=False))
+        a = [next(others).ids if w is None else [t.id for t in self.a.model.tokenize(w)] for w in words]
+        b = self.b.encode([r[1:] if r[0] == " " else "\n" + r for r in runs], num_threads=1)
+        return a, [(ids or [self.b.piece_to_id("▁")]) if r[0] == " " else ids[2:] for r, ids in zip(runs, b, strict=True)]
+
+    def slices(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
+        """Where the groups of two encodings of the same bytes end: places in both lists of ids behind which both have reached the same byte."""
+        index_a = dict(zip(accumulate([self.a_lengths[i] for i in a]), range(1, len(a) + 1)))
+        index_b = dict(zip(accumulate([self.b_lengths[i] for i in b]), range(1, len(b) + 1)))
+        return [(index_a[end], index_b[end]) for end in sorted(index_a.keys() & index_b.keys())]
 
     def _add(self, run: str, a: list[int], b: list[int]) -> int:
         """Align a run and number it; its links as pairs of ids with how often each stands, never one by one."""
         known, data = self.runs, run.encode()
-        links: Counter = Counter()
-        text, n_groups, n_links = [], 0, 0
+        links: dict[int, int] = {}
+        text, n_links = [], 0
         if b"".join([self.a_bytes[i] for i in a]) == data == b"".join([self.b_bytes[i] for i in b]):
-            for own, other in self.slices(a, b):
-                n_groups += 1
-                n_links += len(own) * len(other)
-                text.append(",".join(map(str, own)) + "|" + ",".join(map(str, other)))
-                if len(own) == len(other) == 1:
-                    links[own[0] << SHIFT | other[0]] += 1
+            i = j = 0
+            for p, q in self.slices(a, b):
+                if p - i == q - j == 1:
+                    x, y = a[i], b[j]
+                    text.append(f"{x}|{y}")
+                    links[x << SHIFT | y] = links.get(x << SHIFT | y, 0) + 1
+                    n_links += 1
                 else:
-                    others = Counter(other).items()
-                    for x, n in Counter(own).items():
-                        for y, m in others:
-                            links[x << SHIFT | y] += n * m
+                    own, other = a[i:p], b[j:q]
+                    text.append(",".join(map(str, own)) + "|" + ",".join(map(str, other)))
+                    n_links += (p - i) * (q - j)
+                    if n_links > 100:
+                        counted = [(x, n, y, m) for x, n in Counter(own).items() for y, m in Counter(other).items()]
+                    else:
+                        counted = [(x, 1, y, 1) for x in own for y in other]
+                    for x, n, y, m in counted:
+                        links[x << SHIFT | y] = links.get(x << SHIFT | y, 0) + n * m
+                i, j = p, q
             known.n_a.append(len(a))
             known.n_b.append(len(b))
         else:
             known.n_a.append(-1)
             known.n_b.append(-1)
-        known.n_groups.append(n_groups)
+        known.n_groups.append(len(text))
         known.n_links.append(n_links)
         known.text.append(";".join(text))
         known.pairs.extend(links)
