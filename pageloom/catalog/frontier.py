@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pageloom.catalog.base import DOMAIN_LOG_SQL, domain_log, query
 from pageloom.functions import html as H, urls as U
 from pageloom.operators import frontier as FR
+from pageloom.session import new_folder
 
 _ORIGIN = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)"
 LINKS_SQL = f"""
@@ -129,6 +130,72 @@ def stop_at_first_empty_page(t):
     return FR.stop_at_empty(listed, ["user_id"], "page", "items")
 
 
+_LISTED_SQL = """
+listed AS (
+  SELECT CASE WHEN user_id % 9 <> 0 THEN user_id % 40 END AS site, CAST(date_diff('day', TIMESTAMP '2024-01-01', ts) AS INTEGER) AS page,
+         event_id, event_type <> 'error' AS item FROM events),
+p AS (SELECT site, page, count(*) FILTER (WHERE item) AS items FROM listed GROUP BY 1, 2),
+s AS (SELECT site, min(page) AS stop FROM p WHERE items = 0 GROUP BY site),
+upto AS (SELECT p.* FROM p LEFT JOIN s ON p.site IS NOT DISTINCT FROM s.site WHERE stop IS NULL OR page < stop),
+summed AS (SELECT *, coalesce(sum(items) OVER (PARTITION BY site ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM upto)
+"""
+
+
+def _listed(t):
+    """Events as items of listing pages, a page a day; a ninth of the rows has no site."""
+    return t.events.select(
+        F.when(F.col("user_id") % 9 != 0, F.col("user_id") % 40).alias("site"), F.datediff("ts", F.lit("2024-01-01").cast("date")).alias("page"),
+        "event_id", (F.col("event_type") != "error").alias("item"))
+
+
+@query("stop_at_most_items", f"""
+WITH {_LISTED_SQL} SELECT site, page, items, CAST(least(items, 100 - before) AS BIGINT) AS take FROM summed WHERE before < 100""")
+def stop_at_most_items(t):
+    """Both stop rules: the first empty page, and the page at which a site has a hundred items."""
+    pages = _listed(t).groupBy("site", "page").agg(F.count_if("item").alias("items"))
+    return FR.stop_at_total(FR.stop_at_empty(pages, ["site"], "page", "items"), ["site"], "page", "items", 100, width=3)
+
+
+@query("first_items", f"""
+WITH {_LISTED_SQL}
+SELECT site, page, event_id FROM (SELECT site, page, event_id, row_number() OVER (PARTITION BY site ORDER BY page, event_id) AS n FROM listed WHERE item) WHERE n <= 50""")
+def first_items(t):
+    """The first fifty items of each site, exact inside the last page."""
+    items = _listed(t).filter("item")
+    ranked = FR.rank_by_number(items, ["site", "page"], "event_id", "rank")
+    return FR.first_items(ranked, ["site"], "page", "rank", 50, width=4).select("site", "page", "event_id")
+
+
+_SHOP_LINKS = """
+shop AS (SELECT 's' || CAST(p_partkey % 3 AS VARCHAR) AS site, p_partkey AS k,
+                [p_partkey // 2, p_partkey * 3 % 1999, p_size, p_partkey] AS ks FROM part),
+links AS (SELECT site, 'https://shop.example/p/' || CAST(k AS VARCHAR) AS url, 'https://shop.example/p/' || CAST(unnest(ks) AS VARCHAR) AS link FROM shop),
+l0 AS (SELECT DISTINCT site, 'https://shop.example/p/' || CAST(k AS VARCHAR) AS url FROM shop WHERE k % 100 = 0)"""
+for _n in range(1, 7):
+    _SHOP_LINKS += f""",
+l{_n} AS (SELECT DISTINCT f.site, link AS url FROM l{_n - 1} f JOIN links USING (url)
+  WHERE NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(f'SELECT * FROM l{k}' for k in range(_n))}) b WHERE b.site = f.site AND b.url = link))"""
+_SHOP_LEVELS = " UNION ALL ".join(f"SELECT site, url, {n} AS level FROM l{n}" for n in range(7))
+
+
+@query("kept_frontier", f"WITH {_SHOP_LINKS} {_SHOP_LEVELS}")
+def kept_frontier(t):
+    """Pages that link in circles, followed for six levels; the crawl breaks off after the second and after a half-written third."""
+    link = lambda k: F.concat(F.lit('<a href="/p/'), k.cast("string"), F.lit('">x</a>'))
+    key, base = F.col("p_partkey"), F.lit("https://shop.example/p/")
+    pages = t.part.select(
+        F.concat(base, key.cast("string")).alias("url"), F.concat("p_brand", link(F.floor(key / 2)), link(key * 3 % 1999), link(F.col("p_size")), link(key)).alias("html"))
+    seeds = t.part.filter(key % 100 == 0).select(
+        F.lit("shop").alias("project"), F.concat(F.lit("s"), (key % 3).cast("string")).alias("site"), F.lit("1").alias("schedule_id"),
+        F.concat(base, key.cast("string")).alias("url"))
+    sites = t.part.select(F.lit("shop").alias("project"), F.concat(F.lit("s"), (key % 3).cast("string")).alias("site")).distinct()
+    config = sites.select("*", F.lit(1).alias("level"), F.lit("all_links").alias("method"))
+    path = new_folder(t.spark, "frontier")
+    FR.KeptFrontier(t.spark, path, ["all_links"]).crawl(seeds, pages, config, follow=True, most_levels=2)
+    FR.KeptFrontier(t.spark, path, ["all_links"]).read(2).limit(1).drop("level").write.parquet(f"{path}/level=3")
+    return FR.KeptFrontier(t.spark, path, ["all_links"]).crawl(seeds, pages, config, follow=True, most_levels=4).select("site", "url", "level")
+
+
 @query("on_domain_links", f"""
 WITH {LINKS_SQL}
 SELECT n_name AS site, count(*) AS links FROM links JOIN nation ON contains(regexp_extract(link, '//([^/]*)', 1), 'example.' || CASE n_nationkey WHEN 0 THEN 'com' WHEN 1 THEN 'net' ELSE 'org' END)

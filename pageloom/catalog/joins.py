@@ -32,13 +32,15 @@ def with_config(t):
 
 
 @query("overlay", """
-SELECT coalesce(c.c_custkey, s.s_suppkey) AS key, CASE WHEN s.s_suppkey IS NOT NULL THEN s.s_name ELSE c.c_name END AS name,
-       CASE WHEN s.s_suppkey IS NOT NULL THEN s.s_acctbal ELSE c.c_acctbal END AS balance,
-       CASE WHEN s.s_suppkey IS NOT NULL THEN 'top' ELSE 'base' END AS source
-FROM customer c FULL JOIN supplier s ON s.s_suppkey = c.c_custkey""")
+WITH c AS (SELECT CASE WHEN c_custkey % 50 <> 7 THEN c_custkey END AS key, c_name AS name, c_acctbal AS balance FROM customer),
+s AS (SELECT CASE WHEN s_suppkey <> 3 THEN s_suppkey END AS key, s_name AS name, s_acctbal AS balance, true AS top FROM supplier)
+SELECT coalesce(c.key, s.key) AS key, CASE WHEN top THEN s.name ELSE c.name END AS name, CASE WHEN top THEN s.balance ELSE c.balance END AS balance,
+       CASE WHEN top THEN 'top' ELSE 'base' END AS source
+FROM c FULL JOIN s ON s.key IS NOT DISTINCT FROM c.key""")
 def overlay(t):
-    base = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
-    top = t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
+    """Rows without a key meet like any others."""
+    base = t.customer.select(F.when(F.col("c_custkey") % 50 != 7, F.col("c_custkey")).alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    top = t.supplier.select(F.when(F.col("s_suppkey") != 3, F.col("s_suppkey")).alias("key"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
     return J.overlay(base, top, "key")
 
 

@@ -121,6 +121,32 @@ def strip_html(t):
     return t.spread("pages").select("page_id", H.strip_html(F.col("html")).alias("text"))
 
 
+def nested_page():
+    """Boxes in boxes, with tags in a comment and a script, a stray closing tag, a tag whose name only begins alike, and a last box that is not closed."""
+    inner = F.concat(F.lit("<div class='in'>"), F.col("p_brand"), F.lit("<DIV\n>deep</DIV></div>"))
+    return F.concat(
+        F.lit("</div><p>lead</p><div id=a>"), F.col("p_name"), F.lit(" "), F.when(F.col("p_size") % 2 == 0, inner).otherwise(F.lit("")),
+        F.lit("<!-- <div> --><script>var x = '</div>';</script>"), F.lit(" tail</div><divider>no</divider>"),
+        F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("<div>second <div>"), F.col("p_type"), F.lit("</div></div>"))).otherwise(F.lit("")),
+        F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("<div>open <div>"), F.col("p_type"), F.lit("</div> end"))).otherwise(F.lit("")))
+
+
+@query("nested_container_text", """
+SELECT p_partkey, p_name || CASE WHEN p_size % 2 = 0 THEN ' ' || p_brand || ' deep' ELSE '' END || ' tail' AS body FROM part""")
+def nested_container_text(t):
+    return t.part.select("p_partkey", H.container_text(nested_page(), "div").alias("body"))
+
+
+@query("nested_sections", """
+SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY k) - 1 AS INTEGER) AS section, text FROM (
+  SELECT p_partkey, 1 AS k, p_name || CASE WHEN p_size % 2 = 0 THEN ' ' || p_brand || ' deep' ELSE '' END || ' tail' AS text FROM part
+  UNION ALL SELECT p_partkey, 2, 'second ' || p_type FROM part WHERE p_size % 3 = 0
+  UNION ALL SELECT p_partkey, 3, 'open ' || p_type || ' end' FROM part WHERE p_size % 5 = 0)""")
+def nested_sections(t):
+    parts = X.split_sections(t.part.select("p_partkey", nested_page().alias("html")), "div", ["p_partkey"])
+    return parts.select("p_partkey", "section", H.visible_text(F.col("html")).alias("text"))
+
+
 @query("split_sections", """
 SELECT page_id, CAST(i - 1 AS INTEGER) AS section, CAST(length(ps[i]) AS INTEGER) AS n FROM (
   SELECT page_id, ps, unnest(generate_series(1, len(ps))) AS i FROM (

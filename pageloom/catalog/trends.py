@@ -56,24 +56,28 @@ def discount_bands(t):
 
 
 @query("brand_growth", """
-WITH m AS (SELECT p_brand AS brand, year(l_shipdate) * 12 + month(l_shipdate) AS month, count(DISTINCT l_partkey) AS skus FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)
+WITH m AS (SELECT CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS brand, year(l_shipdate) * 12 + month(l_shipdate) AS month, count(DISTINCT l_partkey) AS skus FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)
 SELECT a.brand, a.month, a.skus, b.skus AS prev_skus, round((a.skus - b.skus) * 100.0::DOUBLE / b.skus, 6) AS growth_pct
-FROM m a LEFT JOIN m b ON b.brand = a.brand AND b.month = a.month - 1""")
+FROM m a LEFT JOIN m b ON b.brand IS NOT DISTINCT FROM a.brand AND b.month = a.month - 1""")
 def brand_growth(t):
-    parts = t.part.select(F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("brand"))
+    """A seventh of the products has no brand."""
+    parts = t.part.select(F.col("p_partkey").alias("product_id"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_brand")).alias("brand"))
     rows = products(t).select("product_id", "scraped_at").join(parts, "product_id")
     out = TR.brand_growth(rows)
     return out.withColumns({"month": F.col("month").cast("bigint"), "growth_pct": F.round(F.col("growth_pct").cast("double"), 6)})
 
 
 @query("size_gap", """
-WITH c AS (SELECT p_type AS category, p_size AS size, count(*) AS skus FROM part GROUP BY 1, 2), tot AS (SELECT category, sum(skus) AS total FROM c GROUP BY 1),
-d AS (SELECT p_size AS size, avg(p_retailprice) / 1000 AS demand_index FROM part WHERE p_size > 10 GROUP BY 1)
-SELECT category, size, skus, round(skus / total::DOUBLE, 6) AS supply_share, round(demand_index, 6) AS demand_index, round(demand_index - skus / total::DOUBLE, 6) AS gap
-FROM c JOIN tot USING (category) LEFT JOIN d USING (size)""")
+WITH p AS (SELECT CASE WHEN p_partkey % 5 <> 0 THEN p_type END AS category, CASE WHEN p_size <> 20 THEN p_size END AS size, p_retailprice FROM part),
+c AS (SELECT category, size, count(*) AS skus FROM p GROUP BY 1, 2), tot AS (SELECT category, sum(skus) AS total FROM c GROUP BY 1),
+d AS (SELECT size, avg(p_retailprice) / 1000 AS demand_index FROM p GROUP BY 1)
+SELECT c.category, c.size, skus, round(skus / total::DOUBLE, 6) AS supply_share, round(demand_index, 6) AS demand_index, round(demand_index - skus / total::DOUBLE, 6) AS gap
+FROM c JOIN tot ON tot.category IS NOT DISTINCT FROM c.category LEFT JOIN d ON d.size IS NOT DISTINCT FROM c.size""")
 def size_gap(t):
-    supply = t.part.select(F.col("p_type").alias("category"), F.col("p_size").alias("size"))
-    demand = t.part.filter("p_size > 10").groupBy(F.col("p_size").alias("size")).agg((F.avg("p_retailprice") / 1000).alias("demand_index"))
+    """Some products have no category, some no size."""
+    supply = t.part.select(
+        F.when(F.col("p_partkey") % 5 != 0, F.col("p_type")).alias("category"), F.when(F.col("p_size") != 20, F.col("p_size")).alias("size"), "p_retailprice")
+    demand = supply.groupBy("size").agg((F.avg("p_retailprice") / 1000).alias("demand_index"))
     out = TR.size_gap(supply, demand)
     return out.withColumns({c: F.round(c, 6) for c in ("supply_share", "demand_index", "gap")})
 
@@ -109,11 +113,42 @@ def keyword_peaks(t):
     return out.withColumn("peak_week", F.col("peak_week").cast("timestamp_ntz"))
 
 
-@query("phrase_mentions", f"""
-WITH p AS (SELECT doc_id, ' ' || array_to_string({_TOK}, ' ') || ' ' AS padded FROM documents)
-SELECT doc_id, term FROM p, (VALUES ('of the'), ('de la'), ('in the'), ('and the')) AS v(term) WHERE contains(padded, ' ' || term || ' ')""")
+_VOCAB_SQL = f"""
+words AS (SELECT item_id, {_TOK} AS w FROM benchmark),
+vocab AS (
+  SELECT DISTINCT array_to_string(w[1:n], ' ') AS term, n FROM (SELECT w, unnest([1, 2, 3, 5]) AS n FROM words) WHERE len(w) >= n
+  UNION SELECT 'of the', 2 UNION SELECT 'de la', 2),
+padded AS (SELECT doc_id, lang, TIMESTAMP '2024-01-01' + to_days(CAST(least(n_chars // 25, 200) AS INTEGER)) AS ts, ' ' || array_to_string({_TOK}, ' ') || ' ' AS padded FROM documents),
+hits AS (SELECT doc_id, nullif(lang, 'de') AS lang, ts, term FROM padded, vocab WHERE contains(padded, ' ' || term || ' '))
+"""
+
+
+def vocabulary(t):
+    """The first one, two, three and five words of each benchmark item, and two common phrases, as a table."""
+    words = F.col("w")
+    heads = t.benchmark.select(TR.tokens(F.col("text")).alias("w")).select(
+        "w", F.explode(F.array(*[F.lit(n) for n in (1, 2, 3, 5)])).alias("n")).filter(F.size("w") >= F.col("n")).select(
+        F.initcap(F.array_join(F.slice(words, F.lit(1), F.col("n")), " ")).alias("term"))
+    return heads.unionByName(t.spark.createDataFrame([("of the",), ("de la",)], "term string"))
+
+
+@query("phrase_mentions", f"WITH {_VOCAB_SQL} SELECT doc_id, term FROM hits")
 def phrase_mentions(t):
-    return TR.phrase_mentions(t.spread("documents", "doc_id", "text"), "text", ["of the", "de la", "in the", "and the"], ["doc_id"])
+    """Phrases of a table in whole texts."""
+    hits = TR.vocabulary_mentions(t.spread("documents", "doc_id", "text"), "text", vocabulary(t), ["doc_id"])
+    return hits.select("doc_id", F.lower("term").alias("term"))
+
+
+@query("vocab_delta_phrases", f"""
+WITH {_VOCAB_SQL}, m AS (SELECT term, lang, year(ts) * 12 + month(ts) AS month, count(*) AS n FROM hits GROUP BY 1, 2, 3)
+SELECT a.term, a.lang, a.month, a.n, coalesce(b.n, 0) AS prev, a.n - coalesce(b.n, 0) AS delta
+FROM m a LEFT JOIN m b ON b.term = a.term AND b.lang IS NOT DISTINCT FROM a.lang AND b.month = a.month - 1""")
+def vocab_delta_phrases(t):
+    """Monthly counts of phrases by language, one of which is unknown."""
+    docs = dated(t).withColumn("lang", F.nullif(F.col("lang"), F.lit("de")))
+    hits = TR.vocabulary_mentions(docs, "text", vocabulary(t), ["doc_id", "lang", "ts"])
+    rows = hits.select(F.lower("term").alias("term"), "lang", TR.month_index(F.col("ts")).cast("bigint").alias("month"))
+    return TR.period_delta(rows, ["term", "lang"], "month")
 
 
 @query("trend_heatmap", f"""

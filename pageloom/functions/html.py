@@ -73,10 +73,49 @@ def h1(html: Column) -> Column:
     return tag_text(html, "h1")
 
 
+def _nested(html: Column, tag: str, first: bool) -> Column:
+    """Outermost `tag` elements as struct<open, body, close>, in page order (only the first, if that is all that is wanted).
+
+    The page is cut at the tag's own tags; a fold over these counts the depth, so an element ends at the closing tag that belongs to it. Comments, scripts and
+    styles count as text. An element that is not closed goes to the end of the page; closing tags without an element are text.
+    """
+    pattern = rf"(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)>|</?{tag}(?![-\w])[^>]*>"
+    tags, texts = F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), F.split(html, pattern)
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("start"), none.alias("found"))
+    is_own = lambda t: ~F.rlike(t, F.lit(r"(?is)^<(?:!--|script\b|style\b)"))
+
+    def step(s: Column, t: Column) -> Column:
+        closes = F.startswith(t, F.lit("</"))
+        depth = F.when(~is_own(t), s["depth"]).when(closes, F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"] + 1)
+        at = s["at"] + 1
+        ends = (s["depth"] == 1) & (depth == 0)
+        done = F.array(F.struct(s["start"].alias("start"), at.alias("stop")))
+        return F.struct(
+            at.alias("at"), depth.alias("depth"), F.when((s["depth"] == 0) & (depth == 1), at).otherwise(s["start"]).alias("start"),
+            F.when(ends & (F.size(s["found"]) == 0 if first else F.lit(True)), F.concat(s["found"], done)).otherwise(s["found"]).alias("found"))
+
+    def finish(s: Column) -> Column:
+        unclosed = F.array(F.struct(s["start"].alias("start"), F.lit(None).cast("int").alias("stop")))
+        return F.when((s["depth"] > 0) & (F.size(s["found"]) == 0 if first else F.lit(True)), F.concat(s["found"], unclosed)).otherwise(s["found"])
+
+    def element(e: Column) -> Column:
+        # text number k (from 1) stands before tag number k; an element of tags i to j holds texts i + 1 to j and the tags between
+        stop = F.coalesce(e["stop"], F.size(tags) + 1)
+        inner = F.zip_with(
+            F.slice(texts, e["start"] + 1, stop - e["start"]),
+            F.concat(F.slice(tags, e["start"] + 1, F.greatest(stop - e["start"] - 1, F.lit(0))), F.array(F.lit(""))), lambda x, t: F.concat(x, t))
+        return F.struct(
+            F.element_at(tags, e["start"]).alias("open"), F.array_join(inner, "").alias("body"),
+            F.coalesce(F.try_element_at(tags, e["stop"]), F.lit("")).alias("close"))
+
+    # most pages lack most tags, and the fold costs nothing there
+    return F.when(F.size(tags) > 0, F.transform(F.aggregate(tags, state, step, finish), element))
+
+
 def container_text(html: Column, tag: str = "article") -> Column:
-    """Visible text inside the first `tag`, text nodes joined by a space."""
-    body = F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
-    return _null_if_blank(visible_text(body))
+    """Visible text inside the first `tag`, with all that is nested in it, text nodes joined by a space."""
+    return _null_if_blank(visible_text(F.try_element_at(_nested(html, tag, True), F.lit(1))["body"]))
 
 
 def meta(html: Column, name: str) -> Column:
@@ -129,8 +168,16 @@ def hrefs(html: Column) -> Column:
     return F.transform(found, unescape_html)
 
 
+# Elements that cannot stand in an element of their own kind.
+FLAT = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "a", "button", "option", "title")
+
+
 def sections(html: Column, tag: str = "p") -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?is)(<{tag}\b[^>]*>.*?</{tag}>)"), F.lit(1))
+    """The outermost `tag` elements, each with all that is nested in it, as HTML. An element that cannot nest ends at the first closing tag."""
+    if tag.lower() in FLAT:
+        return F.regexp_extract_all(html, F.lit(rf"(?is)(<{tag}\b[^>]*>.*?</{tag}>)"), F.lit(1))
+    parts = F.transform(_nested(html, tag, False), lambda e: F.concat(e["open"], e["body"], e["close"]))
+    return F.coalesce(parts, F.array().cast("array<string>"))
 
 
 def sitemap_locs(xml: Column) -> Column:

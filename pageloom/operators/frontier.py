@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from pageloom.functions import html as H, pagination as P, urls as U
-from pageloom.operators.scans import first_per_key, rank_by_number
+from pageloom.operators.scans import first_per_key, rank_by_number, same_keys
+from pageloom.sources.state import Folder
 
 FRONTIER_KEY = ["project", "site", "schedule_id", "url"]
 
@@ -109,6 +111,27 @@ def _dedup_level(df: DataFrame) -> DataFrame:
     ).select(*FRONTIER_KEY, "__first.rank", "__first.parent_url")
 
 
+def expand_level(todo: DataFrame, pages: DataFrame, methods: Sequence[str], registry: dict[str, Method]) -> DataFrame:
+    """What the URLs of a level, each with its method, lead to: frontier key, rank, parent_url."""
+    if any(registry[m].kind == "links" for m in methods):
+        # only the level's own pages are searched for links; their text stays behind
+        read = pages.select("url", "html").join(todo.select("url").distinct(), "url", "left_semi")
+        links = read.select("url", resolved_links(F.col("url"), H.hrefs(F.col("html"))).alias("__links"))
+        todo = todo.join(links, "url", "left")
+    # one branch for all methods, so that the plan grows with the depth only
+    urls = F.array().cast("array<string>")
+    for name in methods:
+        method = registry[name]
+        if method.kind == "pages":
+            mine = method.fn(F.col("url"))
+        else:
+            mine = F.coalesce(kept_links(F.col("__links"), method.fn), F.array().cast("array<string>"))
+        urls = F.when(F.col("method") == name, mine).otherwise(urls)
+    return todo.select(
+        "project", "site", "schedule_id", F.col("url").alias("parent_url"), F.posexplode(urls).alias("__p", "url")
+    ).select(*FRONTIER_KEY, (F.col("__p") + 1).alias("rank"), "parent_url")
+
+
 def expand_frontier(seeds: DataFrame, pages: DataFrame, config: DataFrame, methods: Sequence[str],
                     depth: int = 2, methods_by_name: dict[str, Method] | None = None) -> DataFrame:
     """Expand seeds level by level; the last level is returned.
@@ -126,24 +149,7 @@ def expand_frontier(seeds: DataFrame, pages: DataFrame, config: DataFrame, metho
     )
     for number in range(1, depth + 1):
         steps = config.filter(F.col("level") == number).select("project", "site", "method")
-        todo = _dedup_level(level).join(steps, ["project", "site"])
-        if any(registry[m].kind == "links" for m in methods):
-            # only the level's own pages are searched for links; their text stays behind
-            read = pages.select("url", "html").join(todo.select("url").distinct(), "url", "left_semi")
-            links = read.select("url", resolved_links(F.col("url"), H.hrefs(F.col("html"))).alias("__links"))
-            todo = todo.join(links, "url", "left")
-        # one branch for all methods, so that the plan grows with the depth only
-        urls = F.array().cast("array<string>")
-        for name in methods:
-            method = registry[name]
-            if method.kind == "pages":
-                mine = method.fn(F.col("url"))
-            else:
-                mine = F.coalesce(kept_links(F.col("__links"), method.fn), F.array().cast("array<string>"))
-            urls = F.when(F.col("method") == name, mine).otherwise(urls)
-        level = todo.select(
-            "project", "site", "schedule_id", F.col("url").alias("parent_url"), F.posexplode(urls).alias("__p", "url")
-        ).select(*FRONTIER_KEY, (F.col("__p") + 1).alias("rank"), "parent_url")
+        level = expand_level(_dedup_level(level).join(steps, ["project", "site"]), pages, methods, registry)
     return level.withColumn("depth", F.lit(depth))
 
 
@@ -159,10 +165,110 @@ def pending(frontier: DataFrame, done: DataFrame, on: str | Sequence[str] = "url
 
 
 def stop_at_empty(df: DataFrame, by: Sequence[str], page: str, count: str) -> DataFrame:
-    """Listing pages before the first empty one."""
+    """Listing pages before the first empty one; a NULL site is a site of its own."""
     first_empty = df.filter(F.col(count) == 0).groupBy(*by).agg(F.min(page).alias("__stop"))
     return (
-        df.join(first_empty, list(by), "left")
+        same_keys(df, first_empty, list(by), "left")
         .filter(F.col("__stop").isNull() | (F.col(page) < F.col("__stop")))
         .drop("__stop")
     )
+
+
+def stop_at_total(df: DataFrame, by: Sequence[str], page: str, count: str, most: int | Column, width: int = 1000, out: str = "take") -> DataFrame:
+    """Listing pages up to the one at which a site's running number of items reaches `most`, with how many items of each count (`out`).
+
+    `df` has one row for each page of a site. A long listing is cut every `width` pages: sums run within a piece, and one row
+    for each piece carries the total before it. `most` may be a column, a bound for each site.
+    """
+    bound = F.lit(most) if isinstance(most, int) else most
+    keys, n = list(by), F.coalesce(F.col(count), F.lit(0))
+    rows = df.withColumns({"__bound": bound, "__piece": F.floor(F.col(page) / width)})
+    before = W.partitionBy(*keys, "__piece").orderBy(page).rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("__before", F.coalesce(F.sum(n).over(before), F.lit(0)))
+    earlier = W.partitionBy(*keys).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
+    pieces = df.groupBy(*keys, F.floor(F.col(page) / width).alias("__piece")).agg(F.sum(n).alias("__n"))
+    pieces = pieces.select(*keys, "__piece", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__carry"))
+    left = F.col("__bound") - F.col("__before") - F.col("__carry")
+    return (
+        same_keys(rows, pieces, [*keys, "__piece"]).filter(left > 0)
+        .withColumn(out, F.least(n, left).cast("bigint")).drop("__bound", "__piece", "__before", "__carry")
+    )
+
+
+def first_items(items: DataFrame, by: Sequence[str], page: str, rank: str, most: int | Column, width: int = 1000) -> DataFrame:
+    """The first `most` items of each site in the order of (page, rank); `rank` counts the items of a page from 1."""
+    keys = [*by, page]
+    bound = [] if isinstance(most, int) else [F.max(most).alias("__most")]
+    counts = items.groupBy(*keys).agg(F.count("*").alias("__n"), *bound)
+    kept = stop_at_total(counts, by, page, "__n", most if isinstance(most, int) else F.col("__most"), width, "__take").select(*keys, "__take")
+    return same_keys(items, kept, keys).filter(F.col(rank) <= F.col("__take")).drop("__take")
+
+
+# ---- levels kept in a table -----------------------------------------------------------------
+
+KEPT = "project string, site string, schedule_id string, url string, rank int, parent_url string, method string"
+
+
+class KeptFrontier:
+    """A crawl's frontier by levels in a folder: `level=0` the seeds, `level=n` what the URLs of the level before led to.
+
+    A level is a table and, once that is written, a marker; `crawl` goes on behind the last marker, so a crawl that broke off is resumed at the
+    level it broke off in. A URL that a level leads to again, for the same method, is dropped by an anti join with all earlier levels:
+    so each URL is expanded once, and a crawl that follows links to their end ends where nothing new turns up.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, methods: Sequence[str], registry: dict[str, Method] | None = None):
+        self.spark, self.path, self.methods = spark, path.rstrip("/"), list(methods)
+        self.registry = registry or METHODS
+        unknown = [m for m in methods if m not in self.registry]
+        if unknown:
+            raise KeyError(f"unregistered methods: {unknown}")
+        self.folder = Folder(spark, path)
+
+    def levels(self) -> int:
+        """Number of whole levels."""
+        return len(self.folder.names("done"))
+
+    def read(self, level: int | None = None) -> DataFrame:
+        """The URLs of a level, or of all whole levels with `level`."""
+        numbers = range(self.levels()) if level is None else [level]
+        found = None
+        for n in numbers:
+            rows = self.spark.read.schema(KEPT).parquet(f"{self.path}/level={n}").withColumn("level", F.lit(n))
+            found = rows if found is None else found.unionByName(rows)
+        return found if found is not None else self.spark.createDataFrame([], f"{KEPT}, level int")
+
+    def _keep(self, rows: DataFrame, number: int, config: DataFrame, follow: bool) -> int:
+        """Write a level: its new URLs with the method that will expand them, none at the end of a site's chain."""
+        steps = config.filter(F.col("level") == number + 1).select("project", "site", "method")
+        if follow:  # a site whose chain is shorter goes on with its last method
+            last = config.filter(F.col("level") <= number + 1)
+            steps = last.groupBy("project", "site").agg(F.max_by("method", "level").alias("method"))
+        identity = [*FRONTIER_KEY, "method"]
+        named = same_keys(rows, steps, ["project", "site"], "left").groupBy(*identity).agg(
+            F.min(F.struct("rank", "parent_url")).alias("__first"))
+        named = named.select(*FRONTIER_KEY, "__first.rank", "__first.parent_url", "method")
+        if number:
+            named = same_keys(named, self.read().select(*identity).withColumn("__seen", F.lit(1)).distinct(), identity, "left_anti")
+        named.write.mode("overwrite").parquet(f"{self.path}/level={number}")
+        found = self.spark.read.schema(KEPT).parquet(f"{self.path}/level={number}").agg(F.count("*"), F.count("method")).first()
+        self.folder.publish(f"done/{number:06d}.json", f'{{"urls": {found[0]}, "open": {found[1]}}}')
+        return found[1]
+
+    def _open(self) -> int:
+        return json.loads(self.folder.read(f"done/{self.levels() - 1:06d}.json"))["open"]
+
+    def crawl(self, seeds: DataFrame, pages: DataFrame, config: DataFrame, follow: bool = False, most_levels: int | None = None) -> DataFrame:
+        """Expand level by level until no URL is left with a method, or for `most_levels` levels of this call; all URLs with their level.
+
+        `pages` are read once for each level, and only those of the level's own URLs.
+        """
+        if not self.levels():
+            self._keep(seeds.select(*FRONTIER_KEY, F.lit(None).cast("int").alias("rank"), F.lit(None).cast("string").alias("parent_url")), 0, config, follow)
+        done = 0
+        while self._open() and (most_levels is None or done < most_levels):
+            number = self.levels()
+            todo = self.read(number - 1).filter(F.col("method").isNotNull()).drop("rank", "parent_url", "level")
+            self._keep(expand_level(todo, pages, self.methods, self.registry), number, config, follow)
+            done += 1
+        return self.read().drop("method")

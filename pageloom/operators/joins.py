@@ -29,13 +29,14 @@ def with_config(df: DataFrame, config: DataFrame, on: Sequence[str] = ("project"
 
 
 def overlay(base: DataFrame, top: DataFrame, key: str) -> DataFrame:
-    """Merge two sources; a key in `top` takes all its values from `top`."""
+    """Merge two sources; a key in `top` takes all its values from `top`. A NULL key is a key of its own."""
     rest = [c for c in base.columns if c != key]
     t = top.select(key, *rest, F.lit(True).alias("__t")).alias("t")
     b = base.alias("b")
     picked = [F.when(F.col("t.__t"), F.col(f"t.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in rest]
     source = F.when(F.col("t.__t"), "top").otherwise("base").alias("source")
-    return b.join(t, key, "full_outer").select(key, *picked, source)
+    same = F.col(f"b.{key}").eqNullSafe(F.col(f"t.{key}"))
+    return b.join(t, same, "full_outer").select(F.coalesce(f"b.{key}", f"t.{key}").alias(key), *picked, source)
 
 
 def missing_rules(fields: DataFrame, rules: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from pageloom.operators.scans import HOUR, lag_by_time
+from pageloom.operators.scans import HOUR, lag_by_time, same_keys
 
 # Price bands (upper bounds, exclusive) and discount bands.
 PRICE_BANDS = [
@@ -61,7 +61,7 @@ def brand_growth(df: DataFrame, brand: str = "brand", product: str = "product_id
     )
     before = monthly.select(brand, (F.col("month") + 1).alias("month"), F.col("skus").alias("prev_skus"))
     growth = F.try_divide((F.col("skus") - F.col("prev_skus")) * F.lit(100.0), F.col("prev_skus"))
-    return monthly.join(before, [brand, "month"], "left").withColumn("growth_pct", growth)
+    return same_keys(monthly, before, [brand, "month"], "left").withColumn("growth_pct", growth)
 
 
 def size_gap(supply: DataFrame, demand: DataFrame, category: str = "category", size: str = "size") -> DataFrame:
@@ -70,7 +70,7 @@ def size_gap(supply: DataFrame, demand: DataFrame, category: str = "category", s
     totals = counts.groupBy(category).agg(F.sum("skus").alias("total"))
     share = F.col("skus") / F.col("total")
     return (
-        counts.join(totals, category).join(demand, size, "left")
+        same_keys(same_keys(counts, totals, [category]), demand, [size], "left")
         .select(category, size, "skus", share.alias("supply_share"), "demand_index",
                 (F.col("demand_index") - share).alias("gap"))
     )
@@ -87,11 +87,32 @@ def mentions(df: DataFrame, text: str, vocab: Sequence[str], keep: Sequence[str]
     return df.select(*keep, F.explode(found).alias("term"))
 
 
-def phrase_mentions(df: DataFrame, text: str, phrases: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """As `mentions` for terms of several words: whole words, in sequence."""
-    padded = F.concat(F.lit(" "), F.array_join(tokens(F.col(text)), " "), F.lit(" "))
-    hits = [F.when(F.contains(F.col("__text"), F.lit(f" {p.lower()} ")), F.lit(p)) for p in phrases]
-    return df.select(*keep, padded.alias("__text")).select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("term"))
+def phrase_table(vocab: DataFrame, term: str = "term") -> DataFrame:
+    """term, the number of its words, its words in lower case and their hash, one row for each term with a word."""
+    words = tokens(F.col(term))
+    rows = vocab.select(F.col(term).alias("term"), F.size(words).alias("n_words"), F.array_join(words, " ").alias("phrase")).filter("n_words > 0").distinct()
+    return rows.withColumn("h", F.xxhash64("phrase"))
+
+
+def vocabulary_mentions(df: DataFrame, text: str, vocab: DataFrame, keep: Sequence[str], term: str = "term") -> DataFrame:
+    """One row for each row of `df` and term of the vocabulary table that stands in its text, as whole words in sequence.
+
+    A text's word runs, of the lengths that terms have, are hashed inside its row and met with the hashed terms in one join, then compared. So the work
+    follows the texts and the lengths, of which there are few, and not the number of terms; a vocabulary below Spark's broadcast limit leaves texts where they are.
+    """
+    phrases = phrase_table(vocab, term)
+    lengths = sorted(r[0] for r in phrases.select("n_words").distinct().collect())
+    words = F.col("__w")
+
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+        found = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.array_distinct(F.when(F.size(words) >= n, found).otherwise(F.array().cast("array<string>")))
+
+    found = F.concat(*[runs(n) for n in lengths]) if lengths else F.array().cast("array<string>")
+    rows = df.select(*keep, tokens(F.col(text)).alias("__w")).select(*keep, F.explode(found).alias("__run"))
+    hit = (F.xxhash64("__run") == F.col("h")) & (F.col("__run") == F.col("phrase"))
+    return rows.join(phrases, hit).select(*keep, "term")
 
 
 def week_of(ts: Column) -> Column:
@@ -130,7 +151,7 @@ def period_delta(df: DataFrame, keys: Sequence[str], period: str) -> DataFrame:
     """Counts by period and the change from the period before; absent periods count zero."""
     counts = df.groupBy(*keys, period).agg(F.count("*").alias("n"))
     before = counts.select(*keys, (F.col(period) + 1).alias(period), F.col("n").alias("prev"))
-    return counts.join(before, [*keys, period], "left").select(
+    return same_keys(counts, before, [*keys, period], "left").select(
         *keys, period, "n", F.coalesce("prev", F.lit(0)).cast("bigint").alias("prev"),
         (F.col("n") - F.coalesce("prev", F.lit(0))).alias("delta"),
     )
