@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -35,6 +38,28 @@ def small_batches(df: DataFrame) -> None:
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
 
 
+_STATE: dict[tuple, object] = {}
+
+
+def forget_state() -> None:
+    """Drop what an operator keeps in this worker process, and give the memory back to the system."""
+    if _STATE:
+        _STATE.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def worker_state(key: tuple, make: Callable[[], object]):
+    """What an operator keeps from task to task in a worker process. There is room for one: a worker lives on when the next stage begins, and
+    the state of the stage before goes."""
+    if key not in _STATE:
+        forget_state()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -12,10 +11,10 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
-from pageloom.llm.base import id_and_text
+from pageloom.llm.base import id_and_text, worker_state
 
 START = 0
 DEAD = -1
@@ -166,7 +165,7 @@ def byte_characters() -> dict[int, str]:
 
 
 class WordTokenizer:
-    """Lower-cased words with word ends: NFC, lower case, split by the file's pattern, bytes as characters, then the automaton."""
+    """Lower-cased words with word ends: the file's normalizer and pattern, bytes as characters, then the automaton."""
 
     # Texts of these characters are split by a class of characters instead of Unicode categories, with the same result.
     COMMON = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
@@ -180,22 +179,18 @@ class WordTokenizer:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         named = self.automaton.labels | {i: t for t, i in self.special.items()}
         self.labels = [named.get(i, "") for i in range(max(named, default=-1) + 1)]
-        self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        # \s as the pattern's own library takes it: Unicode white space, without the separators 1C to 1F
-        self.pattern = regex.compile(pattern.replace(r"\s", r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"))
         common = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{self.COMMON_OTHERS}]").replace(r"[\p{L}]", f"[{self.COMMON_LETTERS}]").replace(r"[\p{N}]", "[0-9]")
         self.common = re.compile(common) if r"\p" not in common and r"\s" not in common else None
+        # Letters, digits and lower case of all other texts are those of the library's own Unicode tables.
+        self.library = Tokenizer.from_str(json.dumps(spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []}))
         self.bytes = byte_characters()
+        self.byte_of = {c: b for b, c in self.bytes.items()}
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.remembered = remembered
 
-    @staticmethod
-    def lowered(text: str) -> str:
-        """Each character for itself, so a final sigma stays like any other."""
-        return text.lower() if text.isascii() else text.replace("Σ", "σ").lower()
-
     def _encoded(self, word: str) -> bytes:
         """Ids of a word as 32-bit integers; kept in one of two memories, of which the older one is dropped."""
         found = self.older.get(word)
@@ -209,12 +204,16 @@ class WordTokenizer:
             self.recent[word] = found
         return found
 
+    def _words(self, text: str) -> list[str]:
+        """The lower-cased words of a text, as the library's normalizer and pre-tokenizer give them."""
+        if self.common is not None and self.COMMON.fullmatch(text):
+            return self.common.findall(text.lower())
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes([self.byte_of[c] for c in piece]).decode("utf-8", "surrogatepass") for piece, _ in pieces]
+
     def _plain(self, text: str) -> bytes:
-        simple = self.common is not None and self.COMMON.fullmatch(text)
-        text = self.lowered(text if simple else unicodedata.normalize("NFC", text))
-        words = (self.common if simple else self.pattern).findall(text)
         known = self.recent.get
-        return b"".join([known(w) or self._encoded(w) for w in words])
+        return b"".join([known(w) or self._encoded(w) for w in self._words(text)])
 
     def encode(self, text: str) -> array:
         """Ids of a text; the strings of special tokens in it are these tokens."""
@@ -234,16 +233,9 @@ class WordTokenizer:
         return " ".join([labels[i] for i in ids])
 
 
-_TOKENIZERS: dict[int, WordTokenizer] = {}
-
-
 def tokenizer_of(raw: bytes) -> WordTokenizer:
     """One tokenizer for each worker process and file."""
-    key = hash(raw)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = WordTokenizer(json.loads(zlib.decompress(raw)))
-    return _TOKENIZERS[key]
+    return worker_state(("words", hash(raw)), lambda: WordTokenizer(json.loads(zlib.decompress(raw))))
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

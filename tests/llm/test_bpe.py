@@ -48,6 +48,26 @@ def test_random_words(library, mine):
             check(library, mine, " ".join("".join(rng.choices(alphabet, k=rng.randint(1, 14))) for _ in range(5)))
 
 
+def test_all_code_points(library, mine):
+    """Every character between a letter, a digit and spaces, and next to others of its kind."""
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for start in range(0, len(points), 500):
+        some = points[start:start + 500]
+        text = " ".join(f"x{chr(c)}1 a{chr(c)}" for c in some)
+        want = library.encode(text, add_special_tokens=False).ids
+        if list(mine.encode(text)) != want:
+            for c in some:
+                check(library, mine, f"x{chr(c)}1 a{chr(c)}")
+            check(library, mine, text)
+
+
+def test_random_mixtures(library, mine):
+    rng = random.Random(9)
+    points = [c for c in range(0x20000) if not 0xD800 <= c <= 0xDFFF] + [0x301, 0x308, 0x3A3, 0x130, 0x1C89, 0xA7CB, 0x558, 0x10940] * 400
+    for _ in range(1500):
+        check(library, mine, "".join(chr(rng.choice(points)) if rng.random() < 0.4 else rng.choice("aE é1'. \n") for _ in range(rng.randint(1, 40))))
+
+
 def brute_force(symbols, ranks):
     """Merge the best pair again and again, all its places from the left."""
     out = list(symbols)
