@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from pageloom.llm.base import id_and_text, written
+from pageloom.llm.base import id_and_text, worker_state, written
 from pageloom.llm.bpe import byte_characters
 
 SHIFT = 16                  # a pair of ids is one number: A's id, then 16 bits of B's
@@ -142,15 +142,8 @@ class Aligner:
         return [[known[r] for r in runs] for runs in cut]
 
 
-_ALIGNER: dict[tuple[int, int], Aligner] = {}
-
-
 def aligner_of(a: bytes, b: bytes) -> Aligner:
-    key = (hash(a), hash(b))
-    if key not in _ALIGNER:
-        _ALIGNER.clear()
-        _ALIGNER[key] = Aligner(a, b)
-    return _ALIGNER[key]
+    return worker_state(("aligner", hash(a), hash(b)), lambda: Aligner(a, b))
 
 
 def _held(docs: DataFrame, a_file: str, b_file: str):

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from pageloom.llm.base import file_system, id_and_text, put
+from pageloom.llm.base import file_system, id_and_text, put, worker_state
 from pageloom.llm.bpe import byte_characters
 
 
@@ -69,15 +69,8 @@ class ByteTokenizer:
         return b"".join([known(p) or self._piece(p) for p in self.PIECES.findall(text)])
 
 
-_TOKENIZERS: dict[tuple[int, str], ByteTokenizer] = {}
-
-
 def tokenizer_of(raw: bytes, dtype: str) -> ByteTokenizer:
-    key = (hash(raw), dtype)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = ByteTokenizer(zlib.decompress(raw), dtype)
-    return _TOKENIZERS[key]
+    return worker_state(("bytes", hash(raw), dtype), lambda: ByteTokenizer(zlib.decompress(raw), dtype))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 0) -> dict:

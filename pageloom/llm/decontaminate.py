@@ -9,7 +9,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pageloom.llm.base import id_and_text, quoted, small_batches
+from pageloom.llm.base import id_and_text, quoted, small_batches, worker_state
 
 
 def normal(text: str | None) -> str:
@@ -115,20 +115,10 @@ def blocks(benchmark: DataFrame, block_chars: int) -> list[list[tuple[int | None
     return [sorted(map(tuple, items.filter(own == k).collect()), key=str) for k in range(n)]
 
 
-_MATCHERS: dict[str, Matcher] = {}
-
-
-def _matcher(name: str, items: list, rate: float, piece: int) -> Matcher:
-    if name not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[name] = Matcher(items, rate, piece)
-    return _MATCHERS[name]
-
-
 def _shared(df: DataFrame, items: list, rate: float, piece: int):
     held = df.sparkSession.sparkContext.broadcast(items)
     name = f"{df.sparkSession.sparkContext.applicationId}-{held._jbroadcast.id()}"
-    return lambda: _matcher(name, held.value, rate, piece)
+    return lambda: worker_state(("matcher", name, rate, piece), lambda: Matcher(held.value, rate, piece))
 
 
 FOUND = "doc_id long, item_id long, distance long, end long"

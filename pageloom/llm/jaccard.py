@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pageloom.llm.base import quoted, small_batches, written
+from pageloom.llm.base import forget_state, quoted, small_batches, written
 from pageloom.llm.components import components
 
 WORDS = re.compile(r"\w+")
@@ -26,12 +26,13 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """Words in a shingle, least similarity, the chance below which a pair is dropped, texts in a block."""
+    """Words in a shingle, least similarity, the chance below which a pair is dropped, sets in a block and shingles in it, on average and at most."""
 
     size: int = 5
     threshold: Fraction = Fraction(4, 5)
     tolerance: float = 1e-6
     block: int = 1024
+    block_shingles: int = 300_000
 
 
 class Shingler:
@@ -97,20 +98,23 @@ def prune(signatures: np.ndarray, a: np.ndarray, b: np.ndarray, least: list[int]
 
 
 def common_shingles(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact size of the intersection for each pair.
+    """Exact size of the intersection for each pair, met one by one."""
+    out = np.empty(len(a), np.int64)
+    for k, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        x, y = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
+        at = np.searchsorted(y, x)
+        at[at == len(y)] = 0
+        out[k] = np.count_nonzero(y[at] == x)
+    return out
+
 
-    A few pairs are met one by one. For many pairs of a block, shingles of many sets are counted by a matrix product, the others by their lists of sets.
+def overlaps(sets: list[np.ndarray], step: int = 1 << 20) -> np.ndarray:
+    """Sizes of the intersections of all sets of a block with each other, for i < j.
+
+    Shingles of many sets are counted by a matrix product, the others by their lists of sets, some at a time: besides the matrix, memory follows the shingles.
     """
     n = len(sets)
-    if len(a) <= 8 * n:
-        out = np.empty(len(a), np.int64)
-        for k, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-            x, y = (sets[i], sets[j]) if len(sets[i]) <= len(sets[j]) else (sets[j], sets[i])
-            at = np.searchsorted(y, x)
-            at[at == len(y)] = 0
-            out[k] = np.count_nonzero(y[at] == x)
-        return out
-    rows = np.repeat(np.arange(n), [len(s) for s in sets])
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s in sets])
     _, columns, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     order = np.argsort(columns, kind="stable")
     rows, columns = rows[order], columns[order]
@@ -125,21 +129,14 @@ def common_shingles(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.
         x = np.zeros((n, min(1024, len(dense) - start)), np.float32)
         x[rows[here], own[here] - start] = 1
         total += x @ x.T
-    out = total[a, b].astype(np.int64)
-    keys = a * n + b
-    order = np.argsort(keys)
-    for d in range(2, 25):  # shingles of d sets: all their pairs at once
-        first = starts[counts == d]
-        if len(first) == 0:
-            continue
-        members = rows[first[:, None] + np.arange(d)]
+    flat = total.reshape(-1)
+    for d in range(2, 25):
         i, j = np.triu_indices(d, 1)
-        x, y = members[:, i].ravel(), members[:, j].ravel()
-        found, times = np.unique(np.minimum(x, y) * n + np.maximum(x, y), return_counts=True)
-        at = np.searchsorted(found, keys)
-        at[at == len(found)] = 0
-        out += np.where(found[at] == keys, times[at], 0)
-    return out
+        first = starts[counts == d]
+        for k in range(0, len(first), max(1, step // len(i))):
+            members = rows[first[k:k + max(1, step // len(i)), None] + np.arange(d)]
+            np.add.at(flat, members[:, i].ravel().astype(np.int64) * n + members[:, j].ravel(), np.float32(1))
+    return total
 
 
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -156,14 +153,21 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def group_pairs(group: np.ndarray, side: np.ndarray, within: np.ndarray, small: int = 48) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+SMALL = 48
+
+
+def group_bounds(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.empty(0, int)
+    return starts, np.diff(np.append(starts, len(group)))
+
+
+def group_pairs(group: np.ndarray, side: np.ndarray, within: np.ndarray, small: int = SMALL) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of rows in one group, for rows in order of their groups.
 
     A group is one block (`within`: every pair) or two (pairs with one row of either side). Small groups are met together, one distance
-    between rows at a time; the pairs of large ones come in slices.
+    between rows at a time; the pairs of large ones come in slices, all of one group after the other.
     """
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.empty(0, int)
-    sizes = np.diff(np.append(starts, len(group)))
+    starts, sizes = group_bounds(group)
     large = np.repeat(sizes > small, sizes)
     for d in range(1, min(small, int(sizes[sizes <= small].max(initial=0)))):
         a = np.flatnonzero((group[:-d] == group[d:]) & ~large[:-d])
@@ -232,6 +236,7 @@ def marked(docs: DataFrame, settings: Settings) -> DataFrame:
     rows = _columns(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         shingler = Shingler(settings.size)
         for batch in batches:
             keys, signatures = [], []
@@ -260,6 +265,7 @@ def similar_by_sketch(classes: DataFrame, settings: Settings) -> DataFrame:
     least, names = least_matches(settings.threshold, settings.tolerance), ("bucket", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         for rows in whole_groups(batches, names):
             keys, side = rows.column("key").combine_chunks(), rows.column("side").to_numpy()
             signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, HASHES)
@@ -312,6 +318,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> Data
     rows = _columns(docs).select(_place().alias("place"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         shingler = Shingler(settings.size)
         for batch in batches:
             some = np.flatnonzero(in_map(held.value, batch.column("place").to_numpy()))
@@ -330,34 +337,45 @@ def verified(near: DataFrame, settings: Settings) -> DataFrame:
 
     `links` adds up the copies of the partners met in one pair of blocks, `other` is a set it is linked with, over others, there.
     """
-    sized = near.join(near.groupBy("label").agg(F.count("*").alias("n")), "label")
+    sized = near.withColumn("n_shingles", F.octet_length("shingles") / 8)
+    groups = written(sized.groupBy("label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles_of_all")), "groups")
+    # in blocks of so many sets, or fewer if these are long: either way a block has a bounded number of bytes on average
+    sized = sized.drop("n_shingles").join(groups.select("label", F.greatest(
+        F.col("n"), F.col("shingles_of_all") * settings.block / settings.block_shingles).alias("n")), "label")
     least, names, t = least_matches(settings.threshold, settings.tolerance), ("number", "i", "j"), settings.threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         for rows in whole_groups(batches, names):
             keys, side, copies = rows.column("key").combine_chunks(), rows.column("side").to_numpy(), rows.column("copies").to_numpy()
             signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, HASHES)
             within = rows.column("i").to_numpy() == rows.column("j").to_numpy()
             group = numbered(rows, names)
-            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            starts, counts = group_bounds(group)
+            sets = [np.frombuffer(s.as_buffer(), np.uint64) for chunk in rows.column("shingles").chunks for s in chunk]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            links, label = np.zeros(len(sets), np.int64), np.arange(len(sets))
+            matrix, matrix_of = None, -1
             for x, y in group_pairs(group, side, within):
                 good = prune(signatures, x, y, least)
-                a.append(x[good])
-                b.append(y[good])
-            a, b = np.concatenate(a), np.concatenate(b)
-            sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
-            sizes = np.array([len(s) for s in sets], np.int64)
-            common = np.empty(len(a), np.int64)
-            order = np.argsort(group[a], kind="stable")
-            cuts = np.flatnonzero(np.diff(group[a][order])) + 1
-            for own in np.split(order, cuts) if len(a) else []:
-                low = np.searchsorted(group, group[a[own[0]]])
-                high = np.searchsorted(group, group[a[own[0]]], side="right")
-                common[own] = common_shingles(sets[low:high], a[own] - low, b[own] - low)
-            real = common * t.denominator >= t.numerator * (sizes[a] + sizes[b] - common)
-            a, b = a[real], b[real]
-            links = np.bincount(a, copies[b], len(sets)).astype(np.int64) + np.bincount(b, copies[a], len(sets)).astype(np.int64)
-            label = roots(len(sets), a, b)
+                a, b = x[good], y[good]
+                if len(a) == 0:
+                    continue
+                at = int(np.searchsorted(starts, a[0], side="right")) - 1
+                low, n = int(starts[at]), int(counts[at])
+                if n > SMALL and len(a) > 2 * n:
+                    # one large group's pairs come together, so its matrix is made once
+                    if matrix_of != at:
+                        matrix, matrix_of = None, at
+                        matrix = overlaps(sets[low:low + n])
+                    common = matrix[a - low, b - low].astype(np.int64)
+                else:
+                    common = common_shingles(sets, a, b)
+                real = common * t.denominator >= t.numerator * (sizes[a] + sizes[b] - common)
+                a, b = a[real], b[real]
+                links += np.bincount(a, copies[b], len(sets)).astype(np.int64) + np.bincount(b, copies[a], len(sets)).astype(np.int64)
+                moved = np.flatnonzero(label != np.arange(len(label)))
+                label = roots(len(sets), np.concatenate([a, moved]), np.concatenate([b, label[moved]]))
             some = np.flatnonzero(links)
             yield pa.RecordBatch.from_pydict({
                 "key": keys.take(pa.array(some)), "links": pa.array(links[some]), "other": keys.take(pa.array(label[some]))})

@@ -9,7 +9,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pageloom.llm.base import id_and_text, quoted, small_batches
+from pageloom.llm.base import id_and_text, quoted, small_batches, worker_state
 
 ORDER = 3  # bytes of context
 PAD = b"\n" * ORDER  # what stands before the first byte of a text
@@ -184,22 +184,11 @@ def train(docs: DataFrame, documents_per_language: int = 400) -> dict[str, tuple
     return out
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(name: str, counts) -> Scorer:
-    """One scorer for each worker process; its table is filled only once."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(counts)
-    return _SCORERS[name]
-
-
 def _shared(docs: DataFrame, counts):
     """The counts go to each executor once; they are bounded by the training sample."""
     held = docs.sparkSession.sparkContext.broadcast(counts)
     name = f"{docs.sparkSession.sparkContext.applicationId}-{held._jbroadcast.id()}"
-    return lambda: _scorer(name, held.value)
+    return lambda: worker_state(("scorer", name), lambda: Scorer(held.value))
 
 
 def identify(docs: DataFrame, counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
