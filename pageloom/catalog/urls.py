@@ -251,42 +251,44 @@ def counted_pages(t):
 
 @query("labelled_pages", """
 SELECT p_partkey, CAST(i - 1 AS INTEGER) AS page_pos, 'https://shop.example/s?k=' || p_type || '&page=' || CAST(i AS VARCHAR) AS page_url
-FROM (SELECT *, unnest(generate_series(2, CASE WHEN p_size > 40 THEN 10 ELSE p_size END)) AS i FROM part)""")
+FROM (SELECT *, unnest(generate_series(2, CASE WHEN p_size > 40 THEN p_partkey % 20 + 2 ELSE p_size END)) AS i FROM part)""")
 def labelled_pages(t):
     labels = F.when(F.col("p_size") > 40, F.array(F.lit("Next"))).otherwise(
         F.array(F.lit("1"), F.concat(F.lit(" "), F.col("p_size").cast("string")), F.lit("Next"))
     )
     seeds = t.part.select("p_partkey", labels.alias("labels"), F.concat(F.lit("https://shop.example/s?k="), F.col("p_type")).alias("url"))
-    return P.paginate(seeds, "url", "labelled", labels=F.col("labels")).select("p_partkey", "page_pos", "page_url")
+    return P.paginate(seeds, "url", "labelled", labels=F.col("labels"), unlabelled=F.col("p_partkey") % 20 + 2).select("p_partkey", "page_pos", "page_url")
 
 
 @query("next_pages", """
 WITH s AS (SELECT page_id, url, TRY_CAST(regexp_extract(url, 'page=([0-9]+)', 1) AS INTEGER) AS here, contains(url, '#top') AS has_next FROM pages),
-g AS (SELECT *, unnest(generate_series(1, CASE WHEN has_next THEN 1 ELSE 10 END)) AS i FROM s)
+g AS (SELECT *, unnest(generate_series(1, CASE WHEN has_next THEN 1 ELSE page_id % 15 + 1 END)) AS i FROM s)
 SELECT page_id, CAST(i AS INTEGER) AS page_pos, CASE WHEN has_next THEN url || '-next'
   WHEN here IS NOT NULL THEN regexp_replace(url, 'page=[0-9]+', 'page=' || CAST(here + i AS VARCHAR))
   ELSE url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'page=' || CAST(i + 1 AS VARCHAR) END AS page_url
 FROM g""")
 def next_pages(t):
     link = F.when(F.contains("url", F.lit("#top")), F.concat(F.col("url"), F.lit("-next")))
-    return P.paginate(t.pages, "url", "next", next_link=link).select("page_id", "page_pos", "page_url")
+    return P.paginate(t.pages, "url", "next", next_link=link, ahead=F.col("page_id") % 15 + 1).select("page_id", "page_pos", "page_url")
 
 
 @query("api_pages", """
 SELECT page_id, CAST(i + 1 AS INTEGER) AS page_pos,
   'https://api.example/browse?fields=SITE&currentPage=' || CAST(i AS VARCHAR) || '&pageSize=45&format=json&query=%3Arelevance&fnl=' || regexp_extract(url, '/([0-9]+)/?$', 1) AS page_url
-FROM (SELECT *, unnest(generate_series(0, 9)) AS i FROM pages WHERE regexp_matches(url, '/[0-9]+/?$'))""")
+FROM (SELECT *, unnest(generate_series(0, CASE WHEN page_id % 4 = 0 THEN 0 ELSE page_id % 30 END)) AS i FROM pages WHERE regexp_matches(url, '/[0-9]+/?$'))""")
 def api_pages(t):
-    seeds = t.pages.select("page_id", U.category_code(F.col("url")).alias("code"), F.lit("https://api.example/browse").alias("api"))
-    urls = P.api_pages("https://api.example/browse", F.col("code"))
+    """As many pages as the payload of the first says; one where it says nothing."""
+    payload = F.when(F.col("page_id") % 4 != 0, F.to_json(F.struct(F.struct((F.col("page_id") % 30 + 1).alias("totalNumberOfPages")).alias("pagination")))).otherwise("{}")
+    seeds = t.pages.select("page_id", U.category_code(F.col("url")).alias("code"), payload.alias("payload"))
+    urls = P.api_pages("https://api.example/browse", F.col("code"), P.total_pages(F.col("payload")))
     return seeds.select("page_id", F.posexplode(urls).alias("p", "page_url")).select(
         "page_id", (F.col("p") + 1).alias("page_pos"), "page_url"
     )
 
 
-@query("sitemap_shards", _pages_sql(f"CASE WHEN i < 0 THEN url ELSE {_ORIGIN} || '/sitemap/discovery/' || CAST(i AS VARCHAR) || '.xml' END", "-1", "5"))
+@query("sitemap_shards", _pages_sql(f"CASE WHEN i < 0 THEN url ELSE {_ORIGIN} || '/sitemap/discovery/' || CAST(i AS VARCHAR) || '.xml' END", "-1", "page_id % 9"))
 def sitemap_shards(t):
-    return P.paginate(t.pages, "url", "sitemap").select("page_id", "page_pos", "page_url")
+    return P.paginate(t.pages, "url", "sitemap", shards=F.col("page_id") % 9 + 1).select("page_id", "page_pos", "page_url")
 
 
 @query("category_pages", """
@@ -296,4 +298,4 @@ FROM (SELECT *, unnest(generate_series(1, CASE WHEN p_size > 10 THEN 8 ELSE 1 EN
 def category_pages(t):
     tail = F.when(F.col("p_size") > 10, F.concat(F.lit("-"), F.col("p_size").cast("string"))).otherwise("")
     seeds = t.part.select("p_partkey", F.concat(F.lit("https://news.example/"), F.col("p_type"), tail).alias("url"))
-    return P.paginate(seeds, "url", "category").select("p_partkey", "page_pos", "page_url")
+    return P.paginate(seeds, "url", "category", last=8).select("p_partkey", "page_pos", "page_url")

@@ -73,7 +73,7 @@ def path_number_pages(c: Column, count: int = 10) -> Column:
     return _fill(F.concat(_base(c), F.lit(f"/{_SLOT}/")), _numbers(1, count))
 
 
-def append_pages(c: Column, param: str = "page", start: int = 2, count: int = 10) -> Column:
+def append_pages(c: Column, param: str = "page", start: int = 2, count: int | Column = 10) -> Column:
     """Plain append: `&` when the URL already has a `?`."""
     joiner = F.when(F.contains(c, F.lit("?")), F.lit("&")).otherwise(F.lit("?"))
     return _fill(F.concat(c, joiner, F.lit(f"{param}={_SLOT}")), _numbers(start, start + count - 1))
@@ -86,46 +86,56 @@ def counted_pages(c: Column, items: Column, per_page: int = 12) -> Column:
     return F.when(n > 1, pages).otherwise(F.array(c))
 
 
-def labelled_pages(c: Column, labels: Column, cap: int | None = None, unlabelled: int = 10) -> Column:
+def _bound(n: int | Column) -> Column:
+    """A bound of a page list: a number, or a column with one for each row (from the site's row, or what a page says)."""
+    return F.lit(n) if isinstance(n, int) else n.cast("int")
+
+
+def labelled_pages(c: Column, labels: Column, unlabelled: int | Column, cap: int | Column | None = None) -> Column:
     """Pages 2..largest numeric label, or 2..cap if a site's row gives a lower one; 2..`unlabelled` without a numeric label."""
     nums = F.filter(F.transform(labels, lambda s: F.trim(s).try_cast("int")), lambda n: n.isNotNull())
-    last = F.coalesce(F.array_max(nums), F.lit(unlabelled))
-    last = last if cap is None else F.least(last, F.lit(cap))
+    last = F.coalesce(F.array_max(nums), _bound(unlabelled))
+    last = last if cap is None else F.least(last, _bound(cap))
     return _fill(F.concat(c, F.lit(f"&page={_SLOT}")), _numbers(2, last))
 
 
-def next_pages(c: Column, next_link: Column, cap: int | None = None, ahead: int = 10) -> Column:
+def next_pages(c: Column, next_link: Column, ahead: int | Column, cap: int | Column | None = None) -> Column:
     """The next link alone; else `ahead` pages on from `page=c`; else the first `ahead` pages from 2 on. A site's row may give a cap."""
     here = F.regexp_extract(c, r"[?&]page=(\d+)", 1).try_cast("int")
     first = F.regexp_extract(c, r"^(.*?[?&]page=)\d+", 1)
     rest = F.regexp_extract(c, r"^.*?[?&]page=\d+(.*)$", 1)
-    onward = _fill(F.concat(first, F.lit(_SLOT), rest), _numbers(here + 1, here + ahead))
+    onward = _fill(F.concat(first, F.lit(_SLOT), rest), _numbers(here + 1, here + _bound(ahead)))
     urls = (
         F.when(next_link.isNotNull(), F.array(next_link))
         .when(here.isNotNull(), onward)
-        .otherwise(append_pages(c, "page", 2, ahead))
+        .otherwise(append_pages(c, "page", 2, _bound(ahead)))
     )
-    return urls if cap is None else F.slice(urls, 1, cap)
+    return urls if cap is None else F.slice(urls, F.lit(1), _bound(cap))
 
 
-def api_pages(api_base: str, code: Column, pages: int = 10, size: int = 45) -> Column:
-    """Zero-based listing API pages of a category."""
+def api_pages(api_base: str, code: Column, pages: int | Column, size: int = 45) -> Column:
+    """Zero-based listing API pages of a category; `pages` is what the first page's payload says (`total_pages`). Unknown: the first page alone."""
     template = F.concat(
         F.lit(f"{api_base}?fields=SITE&currentPage={_SLOT}&pageSize={size}&format=json&query=%3Arelevance&fnl="),
         code,
     )
-    return F.when(code.isNotNull(), _fill(template, _numbers(0, pages - 1)))
+    return F.when(code.isNotNull(), _fill(template, _numbers(0, F.greatest(F.coalesce(_bound(pages), F.lit(1)), F.lit(1)) - 1)))
+
+
+def total_pages(payload: Column) -> Column:
+    """Number of listing pages that a listing payload names."""
+    return F.get_json_object(payload, "$.pagination.totalNumberOfPages").try_cast("int")
 
 
-def sitemap_shards(c: Column, shards: int = 6) -> Column:
+def sitemap_shards(c: Column, shards: int | Column) -> Column:
     """The seed, then its numbered sitemap files."""
     root = F.regexp_extract(c, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    return F.concat(F.array(c), _fill(F.concat(root, F.lit(f"/sitemap/discovery/{_SLOT}.xml")), _numbers(0, shards - 1)))
+    return F.concat(F.array(c), _fill(F.concat(root, F.lit(f"/sitemap/discovery/{_SLOT}.xml")), _numbers(0, _bound(shards) - 1)))
 
 
-def category_pages(c: Column, first: int = 2, last: int = 8) -> Column:
+def category_pages(c: Column, last: int | Column, first: int = 2) -> Column:
     """The seed, then `?page=n` when its path ends in an id."""
-    more = _fill(F.concat(c, F.lit(f"?page={_SLOT}")), _numbers(first, last))
+    more = _fill(F.concat(c, F.lit(f"?page={_SLOT}")), _numbers(first, _bound(last)))
     return F.when(trailing_id(c).isNull(), F.array(c)).otherwise(F.concat(F.array(c), more))
 
 

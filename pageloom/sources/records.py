@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Callable, Iterator, Sequence
 
@@ -38,7 +39,7 @@ def merge_sites(parts: dict[str, DataFrame], schedule_id: str) -> DataFrame:
 
 
 def merge_site_files(spark: SparkSession, root: str, project: str, schedule_id: str) -> DataFrame:
-    """The same from `{root}/{site}_{project}_{schedule_id}/*.csv`, in one read for each kind of header; the site comes from the path."""
+    """The same from `{root}/{site}_{project}_{schedule_id}/*.csv`, whatever the order of their columns; the site comes from the path."""
     suffix = f"_{project}_{schedule_id}"
     rows = read_csv_by_header(spark, f"{root.rstrip('/')}/*{suffix}")
     folder = F.regexp_extract("__path", r"([^/]+)/[^/]+$", 1)
@@ -126,23 +127,32 @@ def upsert_index(spark: SparkSession, path: str, docs: DataFrame, new_path: str)
     return spark.read.parquet(new_path)
 
 
-def read_csv_by_header(spark: SparkSession, files: DataFrame | str, pattern: str = "*.csv") -> DataFrame:
+def read_csv_by_header(spark: SparkSession, files: str, pattern: str = "*.csv") -> DataFrame:
     """All CSV files under a folder with the column names of each file's own header, and its path as `__path`.
 
-    Files are grouped by their header line; each group is one read, so the plan grows with the number of different
-    headers (record shapes), not of files. Columns a file lacks are NULL. Files without any line give no rows.
+    One read takes the fields by position; a file's header, met by its path, says which position a name has in it. What comes to the driver is the
+    different headers (record shapes), no paths. Columns a file lacks are NULL, as are empty fields; a row that repeats its file's header is not a record.
+    Files without any line, and a folder without files, give no rows.
     """
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(files)
     first = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
                          F.monotonically_increasing_id().alias("n"))
-    headers = first.filter("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header")).groupBy("header").agg(
-        F.sort_array(F.collect_list("path")).alias("paths"))
-    merged = None
-    for row in headers.orderBy("header").collect():
-        part = spark.read.options(**CSV).option("maxCharsPerColumn", -1).csv(row.paths)
-        part = part.select("*", F.col("_metadata.file_path").alias("__path"))
-        merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
-    return merged
+    headers = first.filter("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("header"))
+    known = {line: next(csv.reader([line])) for line, in headers.select("header").distinct().collect()}
+    named = {line: [n or f"_c{k}" for k, n in enumerate(row)] for line, row in known.items()}
+    names = list(dict.fromkeys(n for line in sorted(named) for n in named[line]))
+    if not names:
+        return spark.createDataFrame([], "__path string")
+    width = max(map(len, known.values()))
+    shapes = spark.createDataFrame([(line, row, named[line]) for line, row in known.items()], "header string, __header array<string>, __names array<string>")
+    options = {**CSV, "header": False, "maxCharsPerColumn": -1, "recursiveFileLookup": True, "pathGlobFilter": pattern}
+    fields = spark.read.options(**options).schema(", ".join(f"c{k} string" for k in range(width))).csv(files).select(
+        F.array(*[F.col(f"c{k}") for k in range(width)]).alias("__fields"), F.col("_metadata.file_path").alias("path"))
+    rows = fields.join(headers.join(shapes, "header").select("path", "__header", "__names"), "path")
+    as_text = F.transform(F.slice("__fields", F.lit(1), F.size("__names")), lambda v: F.coalesce(v, F.lit("")))
+    rows = rows.filter(~as_text.eqNullSafe(F.col("__header")))
+    place = lambda n: F.array_position("__names", n).cast("int")
+    return rows.select(*[F.when(place(n) > 0, F.get("__fields", place(n) - 1)).alias(n) for n in names], F.col("path").alias("__path"))
 
 
 def backfill_records(spark: SparkSession, root: str) -> DataFrame:
@@ -162,7 +172,7 @@ def backfill_records(spark: SparkSession, root: str) -> DataFrame:
 def backfill_index(spark: SparkSession, root: str, path: str, prefix: str = "", key: str = "uniq_id") -> DataFrame:
     """Backfill down to the index: every record of every run as a document of its project's index; returns the rejects."""
     rows = backfill_records(spark, root)
-    rows = rows if key == "uniq_id" else rows.withColumn("uniq_id", F.col(key))
+    rows = rows.withColumn("uniq_id", F.col(key) if key in rows.columns else F.lit(None).cast("string"))
     keyed, rejects = split_unkeyed(index_docs(rows, F.col("project"), prefix))
     first_per_key(keyed, ["doc_id"], ["doc"], last=True).write.mode("overwrite").parquet(path)
     return rejects

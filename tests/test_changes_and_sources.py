@@ -94,3 +94,27 @@ def test_log_lines_keep_file_order(spark, tmp_path):
     (tmp_path / "p.log").write_text("\n".join(lines))
     rows = SP.read_pipeline_log(spark, str(tmp_path)).orderBy("file", "block_start", "line_no").collect()
     assert [r.info for r in rows] == ["n0", "n1", "n2", "n3", "n4", "no level"]
+
+
+def test_csv_files_of_several_headers(spark, tmp_path):
+    root = tmp_path / "web"
+    texts = {
+        "a_web_1/x.csv": 'uniq_id,name,price\n1,"two\nlines, quoted ""x""",\n2,,5\n', "b_web_1/x.csv": "price,uniq_id\n7,3\nprice,uniq_id\n",
+        "b_web_1/empty.csv": "", "c_web_1/only_header.csv": "uniq_id,color\n", "d_web_1/odd.csv": ",uniq_id\nfirst,4\n",
+        "d_web_1/other.txt": "uniq_id\n9\n",
+    }
+    for name, text in texts.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(text)
+    rows = SR.backfill_records(spark, str(tmp_path))
+    assert set(rows.columns) == {"project", "site", "schedule_id", "uniq_id", "name", "price", "color", "_c0"}
+    got = {r.uniq_id: (r.site, r.name, r.price, r.color, r._c0) for r in rows.select("site", "uniq_id", F.col("name"), "price", "color", "_c0").toLocalIterator()}
+    assert got == {
+        "1": ("a", 'two\nlines, quoted "x"', None, None, None), "2": ("a", None, "5", None, None), "3": ("b", None, "7", None, None),
+        "4": ("d", None, None, None, "first")}
+    (tmp_path / "nothing").mkdir()
+    assert SR.read_csv_by_header(spark, str(tmp_path / "nothing")).count() == 0
+    assert SR.backfill_records(spark, str(tmp_path / "nothing")).count() == 0
+    out = str(tmp_path / "index")
+    assert SR.backfill_index(spark, str(tmp_path / "nothing"), out).count() == 0 and spark.read.parquet(out).count() == 0
+    assert SR.merge_site_files(spark, str(root), "web", "1").filter("site_name = 'a'").count() == 2

@@ -38,12 +38,12 @@ def test_query_page_keeps_first_value_and_drops_blanks(spark):
 def test_empty_ranges_stay_empty(spark):
     assert one(spark, "https://a.example/x", lambda c: P.counted_pages(c, F.lit(12))) == ["https://a.example/x"]
     assert one(spark, "https://a.example/x", lambda c: P.counted_pages(c, F.lit(25))) == ["https://a.example/x?page=1", "https://a.example/x?page=2"]
-    assert one(spark, "u", lambda c: P.labelled_pages(c, F.array(F.lit("1")))) == []
+    assert one(spark, "u", lambda c: P.labelled_pages(c, F.array(F.lit("1")), 10)) == []
 
 
 def test_next_pages(spark):
-    assert one(spark, "https://a.example/?q=1&page=4&z=2", lambda c: P.next_pages(c, F.lit(None).cast("string")))[0] == "https://a.example/?q=1&page=5&z=2"
-    assert one(spark, "https://a.example/", lambda c: P.next_pages(c, F.lit("https://a.example/n"))) == ["https://a.example/n"]
+    assert one(spark, "https://a.example/?q=1&page=4&z=2", lambda c: P.next_pages(c, F.lit(None).cast("string"), 10))[0] == "https://a.example/?q=1&page=5&z=2"
+    assert one(spark, "https://a.example/", lambda c: P.next_pages(c, F.lit("https://a.example/n"), 10)) == ["https://a.example/n"]
 
 
 def test_resolve_url_matches_the_standard_library(spark):
