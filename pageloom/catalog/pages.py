@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from pageloom.catalog.base import LOG_SQL, fetch_log, query
 from pageloom.functions import classify as C, cleaning as K, embedded as E, html as H, urls as U
 from pageloom.operators import extraction as X
 from pageloom.plans.crawl import domain_digest, records_of_crawl
 from pageloom.plans.rules import RULE_SETS
-from pageloom.session import spread
+from pageloom.session import new_folder, spread
+from pageloom.streaming import streams as ST
 
 
 def sql_unescape(c: str) -> str:
@@ -259,6 +260,71 @@ def product_page(broken: bool = False):
     return F.concat(F.lit("<html><head>"), open_tag, F.lit("not json"), close_tag, open_tag, body, close_tag, F.lit("</head></html>"))
 
 
+def _shop_pages(t):
+    """Product pages with a price that may be no price and a state that may be no JSON, under two rule sets."""
+    price = F.when(F.col("p_size") % 4 == 0, "call us").when(F.col("p_size") % 4 == 1, "").otherwise(F.col("p_retailprice").cast("string"))
+    state = F.when(F.col("p_size") % 3 == 0, F.lit("{broken,}")).otherwise(F.to_json(F.struct(F.col("p_brand").alias("brand"))))
+    html = F.concat(
+        F.lit('<meta property="price" content="'), price, F.lit('"><script>window.__S__ = '), state, F.lit(";</script>"), product_page())
+    return t.part.select(
+        F.col("p_partkey").alias("page_id"), F.concat(F.lit("https://shop.example/"), F.col("p_partkey").cast("string")).alias("url"),
+        html.alias("html"), F.when(F.col("p_partkey") % 2 == 0, "even").otherwise("odd").alias("rule_set"))
+
+
+def _shop_rules():
+    def sometimes(page):
+        return "x" if "broken" in page.select("//script/text()")[0] else str(1 // 0)
+
+    return {
+        "even": [X.Rule("list_price", "meta", "price", post="price"), X.Rule("brand", "state", ("window.__S__ = ", "$.brand")),
+                 X.Rule("sku", "ldjson", ("$.sku",)), X.Rule("color", "meta", "color")],
+        "odd": [X.Rule("list_price", "meta", "price", post="price"), X.Rule("list_price", "const", "9"), X.Rule("note", "python", sometimes)],
+    }
+
+
+_SHOP_SQL = """
+shop AS (
+  SELECT CASE WHEN p_partkey % 2 = 0 THEN 'even' ELSE 'odd' END AS rule_set, p_size, p_type NOT IN ('SMALL', 'LARGE') AS good, p_partkey FROM part),
+failed AS (
+  SELECT rule_set, 'list_price' AS field, CASE WHEN p_size % 4 = 0 THEN 'cast' ELSE 'empty' END AS kind FROM shop WHERE rule_set = 'even' AND p_size % 4 < 2
+  UNION ALL SELECT rule_set, 'brand', 'json' FROM shop WHERE rule_set = 'even' AND p_size % 3 = 0
+  UNION ALL SELECT rule_set, 'sku', 'json' FROM shop WHERE rule_set = 'even' AND NOT good
+  UNION ALL SELECT rule_set, 'color', 'empty' FROM shop WHERE rule_set = 'even'
+  UNION ALL SELECT rule_set, 'note', 'python' FROM shop WHERE rule_set = 'odd' AND p_size % 3 <> 0)
+"""
+
+
+@query("field_accounts", f"WITH {_SHOP_SQL} SELECT rule_set, field, kind, count(*) AS n FROM failed GROUP BY ALL")
+def field_accounts(t):
+    """Failed casts, bad JSON, Python errors and empty fields, counted by the pass that writes the records."""
+    seen = Observation()
+    records = X.extract_fields(_shop_pages(t), _shop_rules(), observation=seen)
+    records.write.parquet(new_folder(t.spark, "records"))
+    return X.observed(t.spark, seen)
+
+
+@query("field_accounts_stream", f"WITH {_SHOP_SQL} SELECT rule_set, field, kind, count(*) AS n FROM failed GROUP BY ALL")
+def field_accounts_stream(t):
+    """The same over the micro-batches of a stream, added up by a listener."""
+    folder, pages = new_folder(t.spark, "shop-pages"), _shop_pages(t)
+    pages.repartition(4).write.parquet(folder)
+    seen = X.ObservedFields("shop-fields")
+    t.spark.streams.addListener(seen)
+    try:
+        stream = ST.stream_table(t.spark, folder, pages.schema, 1)
+        ST.drain(X.extract_fields(stream, _shop_rules(), observation="shop-fields").select("page_id", "errors"), "shop-records")
+        t.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        t.spark.streams.removeListener(seen)
+    return seen.accounts(t.spark)
+
+
+@query("field_errors_all", f"WITH {_SHOP_SQL} SELECT rule_set, CASE WHEN kind = 'python' THEN 'note: ZeroDivisionError' ELSE field || ': ' || kind END AS error, count(*) AS n FROM failed WHERE kind <> 'empty' GROUP BY ALL")
+def field_errors_all(t):
+    """Errors of column rules beside those of Python rules, from the records."""
+    return X.field_errors(X.extract_fields(_shop_pages(t), _shop_rules(), observation=Observation()))
+
+
 @query("ld_json", """
 SELECT p_partkey, CASE WHEN good THEN p_name END AS name, CASE WHEN good THEN 'SKU' || CAST(p_partkey AS VARCHAR) END AS sku,
        CASE WHEN good THEN p_brand END AS brand, CASE WHEN good THEN p_retailprice END AS price, CASE WHEN good THEN CAST(p_size AS BIGINT) END AS reviews,

@@ -33,6 +33,11 @@ def ld_json(html: Column, types: Sequence[str] = ("Product", "product")) -> Colu
     return F.try_element_at(wanted, F.lit(1))
 
 
+def ld_broken(html: Column) -> Column:
+    """Whether a page has a schema.org block that is not JSON."""
+    return F.exists(F.regexp_extract_all(html, F.lit(_LD), F.lit(1)), lambda b: F.try_parse_json(F.trim(b)).isNull())
+
+
 def field(v: Column, path: str, as_type: str = "string") -> Column:
     return F.try_variant_get(v, path, as_type)
 

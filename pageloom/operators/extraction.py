@@ -8,11 +8,13 @@ gives back one string for each selector.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from pageloom.functions import cleaning as K, embedded as E, html as H, urls as U
 from pageloom.operators.dom import Page, compile_path, css_to_path
@@ -146,6 +148,18 @@ class _Sources:
             return f"__state_{r.rule[0]}"
         return {"next": "__next", "apollo": "__cache"}.get(r.kind)
 
+    def broken(self) -> dict[str, Column]:
+        """For each parsed JSON column, whether the page carries that JSON in a form that does not parse."""
+        html, out = F.col("html"), {}
+        for name in self.columns:
+            if name.startswith("__ld_"):
+                out[name] = E.ld_broken(html)
+            elif name.startswith("__state_"):
+                out[name] = E.embedded_state(html, name.removeprefix("__state_")).isNotNull() & F.col(f"`{name}`").isNull()
+            else:
+                out[name] = E.next_json(html).isNotNull() & F.col(f"`{name}`").isNull()
+        return {f"__bad{name}": c for name, c in out.items()}
+
     def value(self, r: Rule) -> Column:
         html = F.col("html")
         if r.kind == "meta":
@@ -188,12 +202,20 @@ def _typed(rule: Rule, value: Column) -> Column:
     return value.try_cast(wanted) if wanted else F.nullif(F.trim(value.cast("string")), F.lit(""))
 
 
+def _has_text(c: Column) -> Column:
+    return F.trim(c.cast("string")) != ""
+
+
 def extract_fields(pages: DataFrame, rule_sets: dict[str, list[Rule]] | None = None, keep: Sequence[str] = ("page_id",),
-                   compat: bool = False) -> DataFrame:
+                   compat: bool = False, observation: Observation | str | None = None) -> DataFrame:
     """`pages`: url, html, rule_set and the `keep` columns, optionally url_rank and fetched_at.
 
     One record for each page: keep, page_url, uniq_id, the fields, and `errors`.
     A rule set may have a field others lack; such fields are NULL for the others.
+
+    With an `observation` (a name for streams), `errors` also tells of fields that stayed empty for a reason: `field: cast`, a candidate had text that is no value
+    of the field's type, and `field: json`, a candidate's JSON is on the page and does not parse. The same pass counts these, Python errors and
+    empty fields by rule set and field; see `observed` and `ObservedFields`.
     """
     rule_sets = rule_sets or RULE_SETS
     everything = [r for rules in rule_sets.values() for r in rules]
@@ -206,11 +228,12 @@ def extract_fields(pages: DataFrame, rule_sets: dict[str, list[Rule]] | None = N
         df = df.withColumn("__dom", F.struct(
             F.array().cast("array<string>").alias("values"), F.array().cast("array<string>").alias("errors")
         ))
-    for columns in (sources.columns, sources.second):
+    for columns in (sources.columns, sources.second, sources.broken() if observation is not None else {}):
         df = df.withColumns(columns) if columns else df
 
     fields = list(dict.fromkeys(r.field for r in everything))
     base, later = {}, {"field": {}, "discount": {}}
+    failures: dict[tuple[str, str], Column] = {}  # (field, reason) to whether a candidate failed so
     for field in fields:
         chains = []
         for name, rules in rule_sets.items():
@@ -220,11 +243,15 @@ def extract_fields(pages: DataFrame, rule_sets: dict[str, list[Rule]] | None = N
                     continue
                 if r.kind in later:
                     later[r.kind].setdefault(field, []).append((name, r.rule))
-                elif r.kind in DOM_KINDS:
-                    slot = dom_plan[name].index(r)
-                    chain.append(_typed(r, F.get(F.col("__dom.values"), F.lit(slot))))
-                else:
-                    chain.append(_typed(r, sources.value(r)))
+                    continue
+                raw = F.get(F.col("__dom.values"), F.lit(dom_plan[name].index(r))) if r.kind in DOM_KINDS else sources.value(r)
+                chain.append(_typed(r, raw))
+                reasons = {"cast": _has_text(raw) & chain[-1].isNull()} if field in FIELD_TYPES else {}
+                if sources.name(r):
+                    reasons["json"] = F.col(f"`__bad{sources.name(r)}`")
+                for reason, failed in reasons.items() if observation is not None else ():
+                    failed = (F.col("rule_set") == name) & failed
+                    failures[field, reason] = failures[field, reason] | failed if (field, reason) in failures else failed
             if chain:
                 chains.append((name, F.coalesce(*chain)))
         value = F.lit(None).cast(FIELD_TYPES.get(field, "string"))
@@ -236,7 +263,7 @@ def extract_fields(pages: DataFrame, rule_sets: dict[str, list[Rule]] | None = N
     identity = {"page_url": F.col("url"), "uniq_id": U.uniq_id(F.col("url"), rank, compat), **stamp}
     out = df.select(
         *keep, "rule_set", *[c.alias(n) for n, c in {**identity, **base}.items() if n not in keep],
-        F.col("__dom.errors").alias("errors"),
+        F.col("__dom.errors").alias("errors"), *[c.alias(f"__{reason}_{field}") for (field, reason), c in failures.items()],
     )
     # fields that fall back on, or are computed from, other fields
     fallbacks = {}
@@ -255,7 +282,67 @@ def extract_fields(pages: DataFrame, rule_sets: dict[str, list[Rule]] | None = N
             pct = F.coalesce(K.discount_pct(F.col("list_price"), F.col("selling_price")), last)
             value = F.when((F.col("rule_set") == name) & value.isNull(), pct).otherwise(value)
         computed[field] = value
-    return out.withColumns(computed) if computed else out
+    out = out.withColumns(computed) if computed else out
+    if observation is None:
+        return out
+    told = [F.when(F.col(f"__{reason}_{field}") & F.col(field).isNull(), F.lit(f"{field}: {reason}")) for field, reason in failures]
+    out = out.withColumn("errors", F.concat("errors", F.array_compact(F.array(*told)))) if told else out
+    out = out.drop(*[f"__{reason}_{field}" for field, reason in failures])
+    return out.observe(observation, *_counts(rule_sets, failures))
+
+
+def _tells_of(field: str) -> Callable[[Column], Column]:
+    return lambda error: F.startswith(error, F.lit(f"{field}: "))
+
+
+def _counts(rule_sets: dict[str, list[Rule]], failures: Iterable[tuple[str, str]]) -> list[Column]:
+    """One count for each rule set, field and kind of failure: a number of columns that follows the rules, not the pages."""
+    out = [F.count("*").alias("||records")]
+    for name, rules in rule_sets.items():
+        own = F.col("rule_set") == name
+        for field in dict.fromkeys(r.field for r in rules):
+            missing = F.col(field).isNull()
+            told = F.filter("errors", _tells_of(field))
+            kinds = {"empty": missing & (F.size(told) == 0)}
+            kinds |= {reason: F.array_contains("errors", f"{field}: {reason}") for f, reason in failures if f == field}
+            if any(r.field == field and r.kind == "python" for r in rules):
+                kinds["python"] = F.size(F.array_except(told, F.array(F.lit(f"{field}: cast"), F.lit(f"{field}: json")))) > 0
+            out += [F.count_if(own & F.coalesce(c, F.lit(False))).alias(f"{name}|{field}|{kind}") for kind, c in kinds.items()]
+    return out
+
+
+def _accounts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    rows = [(*key.split("|"), n) for key, n in counts.items() if n and not key.startswith("||")]
+    return spark.createDataFrame(rows, "rule_set string, field string, kind string, n long")
+
+
+def observed(spark: SparkSession, observation: Observation) -> DataFrame:
+    """rule_set, field, kind (empty, cast, json, python) and n, once an action has run over the records; waits for it."""
+    return _accounts(spark, observation.get)
+
+
+class ObservedFields(StreamingQueryListener):
+    """The same for streams: add it to the session, and give `extract_fields` the same name. A replayed batch replaces its own counts."""
+
+    def __init__(self, name: str):
+        self.name, self.batches = name, {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is not None and (event.progress.numInputRows or event.progress.batchId not in self.batches):
+            self.batches[event.progress.batchId] = row.asDict()
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def accounts(self, spark: SparkSession) -> DataFrame:
+        total: Counter = Counter()
+        for counts in self.batches.values():
+            total.update(counts)
+        return _accounts(spark, total)
 
 
 def field_errors(records: DataFrame) -> DataFrame:

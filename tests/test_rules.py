@@ -76,3 +76,25 @@ def test_register_rule(spark):
     X.register_rule("mine", X.Rule("name", "column", lambda html, url: F.upper(html)))
     pages = spark.createDataFrame([(1, "u", "x", "mine")], "page_id int, url string, html string, rule_set string")
     assert X.extract_fields(pages, {"mine": X.RULE_SETS.pop("mine")}).first().name == "X"
+
+
+def test_failures_of_column_rules_are_told_and_counted(spark):
+    from pyspark.sql import Observation
+
+    rules = {"a": [
+        X.Rule("list_price", "meta", "price", post="price"), X.Rule("list_price", "meta", "other", post="price"), X.Rule("brand", "ldjson", ("$.brand",)),
+        X.Rule("color", "next", "$.color"), X.Rule("title", "xpath", "//title/text()")], "b": [X.Rule("title", "meta", "title")]}
+    meta = lambda n, v: f'<meta name="{n}" content="{v}">'
+    next_data = '<script id="__NEXT_DATA__">{}</script>'
+    pages = [
+        (1, "a", meta("price", "free") + meta("other", "12.50") + next_data.format('{"color":"red"}')),  # the second candidate has it
+        (2, "a", meta("price", "free") + next_data.format("{bad") + '<script type="application/ld+json">{bad</script>'),
+        (3, "a", "<title>t</title>"), (4, "a", None), (5, "b", "x"), (6, None, meta("price", "free"))]
+    df = spark.createDataFrame([(i, "https://x.example/", h, r) for i, r, h in pages], "page_id int, url string, html string, rule_set string")
+    seen = Observation()
+    got = {r.page_id: sorted(r.errors) for r in X.extract_fields(df, rules, observation=seen).collect()}
+    assert got == {1: [], 2: ["brand: json", "color: json", "list_price: cast"], 3: [], 4: [], 5: [], 6: []}
+    assert {(r.rule_set, r.field, r.kind, r.n) for r in X.observed(spark, seen).collect()} == {
+        ("a", "list_price", "cast", 1), ("a", "list_price", "empty", 2), ("a", "brand", "json", 1), ("a", "brand", "empty", 3),
+        ("a", "color", "json", 1), ("a", "color", "empty", 2), ("a", "title", "empty", 3), ("b", "title", "empty", 1)}
+    assert X.extract_fields(df, rules).columns == X.extract_fields(df, rules, observation=Observation()).columns
