@@ -96,12 +96,12 @@ def _histogram(bounds, value: str) -> str:
     return f"WITH {DOMAIN_LOG_SQL} " + " UNION ALL ".join([*parts, "SELECT domain, '+Inf', count(*) FROM dlog GROUP BY domain"])
 
 
-@query("fetch_latency_histogram", _histogram(HE.FETCH_BUCKETS, "latency_ms / 10"))
+@query("fetch_latency_histogram", _histogram([0.1, 0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 30.0], "latency_ms / 10"))
 def fetch_latency_histogram(t):
     return HE.latency_histogram(domain_log(t), seconds=F.col("latency_ms") / 10)
 
 
-@query("parse_latency_histogram", _histogram(HE.PARSE_BUCKETS, "latency_ms / 1000"))
+@query("parse_latency_histogram", _histogram([0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.0], "latency_ms / 1000"))
 def parse_latency_histogram(t):
     return HE.latency_histogram(domain_log(t), HE.PARSE_BUCKETS)
 
@@ -144,7 +144,7 @@ def queue_depths(t):
     return HE.queue_depths(dlq, stages)
 
 
-@query("publish_latency_histogram", _histogram(HE.PUBLISH_BUCKETS, "latency_ms / 1000"))
+@query("publish_latency_histogram", _histogram([0.001, 0.005, 0.01, 0.05, 0.1, 0.5], "latency_ms / 1000"))
 def publish_latency_histogram(t):
     return HE.latency_histogram(domain_log(t), HE.PUBLISH_BUCKETS)
 

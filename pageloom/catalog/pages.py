@@ -7,7 +7,7 @@ from pyspark.sql import Observation, functions as F
 from pageloom.catalog.base import LOG_SQL, fetch_log, query
 from pageloom.functions import classify as C, cleaning as K, embedded as E, html as H, urls as U
 from pageloom.operators import extraction as X
-from pageloom.plans.crawl import domain_digest, records_of_crawl
+from pageloom.plans.crawl import domain_digest, records_of_crawl, rejected_pages
 from pageloom.plans.rules import RULE_SETS
 from pageloom.session import new_folder, spread
 from pageloom.streaming import streams as ST
@@ -35,7 +35,12 @@ def sql_visible(c: str) -> str:
 
 TITLE, H1 = sql_unescape(sql_strip(sql_tag("title"))), sql_unescape(sql_strip(sql_tag("h1")))
 ARTICLE = sql_visible(sql_tag("article"))
-BLOCKED = "length(regexp_replace(html, '^\\s+|\\s+$', '', 'g')) < 500 OR regexp_matches(lower(html), '" + "|".join(C.BLOCK_SIGNALS) + "')"
+# Written out here, so that the SQL does not follow a change of the list.
+BLOCK_TEXTS = (
+    "access denied|403 forbidden|blocked|please verify you are a human|checking your browser|just a moment|cf-browser-verification|ddos-guard|"
+    "perimeterx|datadome|enable javascript and cookies to continue|please enable cookies|ray id|captcha")
+SHORT = "length(regexp_replace(html, '^\\s+|\\s+$', '', 'g')) < 500"
+BLOCKED = f"{SHORT} OR regexp_matches(lower(html), '{BLOCK_TEXTS}')"
 DOMAIN = "regexp_replace(regexp_extract(url, '//([^/?#]*)', 1), '^www\\.', '')"
 
 
@@ -66,10 +71,19 @@ def is_challenge_page(t):
 
 @query("is_blocked", f"""
 SELECT doc_id, CASE WHEN {_DOC_STATUS} IN (403, 407, 429, 503) THEN true WHEN {_DOC_STATUS} <> 200 THEN false
-  ELSE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) < 500 OR regexp_matches(lower(text), '{"|".join(C.BLOCK_SIGNALS)}') END AS blocked
+  ELSE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) < 500 OR regexp_matches(lower(text), '{BLOCK_TEXTS}') END AS blocked
 FROM documents""")
 def is_blocked(t):
-    return t.spread("documents", "doc_id", "lang", "text").select("doc_id", C.is_blocked(_doc_status(), F.col("text")).alias("blocked"))
+    return t.spread("documents", "doc_id", "lang", "text").select("doc_id", C.is_blocked(_doc_status(), F.col("text"), 500).alias("blocked"))
+
+
+@query("rejected_pages", f"""
+SELECT page_id, url, CASE WHEN {SHORT} THEN 'short' ELSE 'block text' END AS reason
+FROM (SELECT page_id, url, CASE WHEN page_id % 3 = 0 THEN left(html, 400) WHEN page_id % 3 = 1 THEN html || ' Access DENIED ' ELSE html END AS html FROM pages) WHERE {BLOCKED}""")
+def rejected(t):
+    """A third of the pages cut short, a third with a block text."""
+    html = F.when(F.col("page_id") % 3 == 0, F.left("html", F.lit(400))).when(F.col("page_id") % 3 == 1, F.concat("html", F.lit(" Access DENIED "))).otherwise(F.col("html"))
+    return rejected_pages(t.pages.withColumn("html", html))
 
 
 @query("is_ok", f"SELECT doc_id, {_DOC_STATUS} = 200 AND trim(text) <> '' AS ok FROM documents")
@@ -294,6 +308,18 @@ failed AS (
 """
 
 
+@query("registered_rules", """
+SELECT p_partkey AS page_id, 'no. ' || CAST(p_partkey AS VARCHAR) AS name, CAST(round(p_retailprice, 2) AS DECIMAL(12, 2)) AS list_price FROM part WHERE p_size % 4 > 1""")
+def registered_rules(t):
+    """A rule set that is only in the registry: a selector, and a column function."""
+    if "registered_shop" not in X.RULE_SETS:
+        X.register_rule("registered_shop", X.Rule("name", "column", lambda html, url: F.concat(F.lit("no. "), F.regexp_extract(url, r"(\d+)$", 1))))
+        X.register_rule("registered_shop", X.Rule("list_price", "xpath", "//meta[@property='price']/@content", post="price"))
+    pages = _shop_pages(t).withColumn("rule_set", F.lit("registered_shop"))
+    records = X.extract_fields(pages, {"registered_shop": X.RULE_SETS["registered_shop"]})
+    return records.filter("list_price IS NOT NULL").select("page_id", "name", "list_price")
+
+
 @query("field_accounts", f"WITH {_SHOP_SQL} SELECT rule_set, field, kind, count(*) AS n FROM failed GROUP BY ALL")
 def field_accounts(t):
     """Failed casts, bad JSON, Python errors and empty fields, counted by the pass that writes the records."""

@@ -52,6 +52,13 @@ def page_store_source(t):
         "project", "domain", "date", "url_md5", F.length("html").alias("n"), F.md5(F.encode("html", "UTF-8")).alias("hash"))
 
 
+@query("page_files", f"WITH {STORED_SQL} SELECT project, domain, date, url_md5, md5(max(html)) AS hash FROM stored GROUP BY ALL")
+def page_files(t):
+    """The same files through Spark's own file source."""
+    pages = SP.read_pages(t.spark, _to_store(t))
+    return pages.select("project", "domain", "date", "url_md5", F.md5(F.encode("html", "UTF-8")).alias("hash"))
+
+
 @query("page_store_stream", f"WITH {STORED_SQL} SELECT project, date, url_md5, md5(max(html)) AS hash FROM stored GROUP BY ALL")
 def page_store_stream(t):
     """The store as a stream of its committed loads."""
@@ -307,10 +314,10 @@ def pipeline_log_file(t):
 
 
 @query("run_status", """
-SELECT CASE WHEN o_orderstatus = 'O' THEN 'current' ELSE 'history' END AS place, 'media_crawl__s' || CAST(o_custkey AS VARCHAR) || '__' || CAST(o_orderkey AS VARCHAR) AS run_key,
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'history' ELSE 'current' END AS place, 'media_crawl__s' || CAST(o_custkey AS VARCHAR) || '__' || CAST(o_orderkey AS VARCHAR) AS run_key,
        o_custkey AS discovery_urls, CAST(o_orderdate AS TIMESTAMP) AS started_at FROM orders""")
 def run_status(t):
-    """Status documents, one for each order: open ones in the map, the others in the list."""
+    """Status documents, one for each order: open ones in the map, finished ones in the list, the others in the old form with a single run."""
     path = new_folder(t.spark, "status")
     site, sid = F.concat(F.lit("s"), F.col("o_custkey").cast("string")), F.col("o_orderkey").cast("string")
     run = F.struct(
@@ -318,10 +325,10 @@ def run_status(t):
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("started_at"),
         F.create_map(F.lit("discovery_urls"), F.col("o_custkey")).alias("progress"),
     )
-    is_open = F.col("o_orderstatus") == "O"
+    status = F.col("o_orderstatus")
     doc = F.struct(
-        F.when(is_open, F.create_map(F.concat_ws("__", F.lit("media_crawl"), site, sid), run)).alias("current_runs"),
-        F.when(~is_open, F.array(run)).alias("last_runs"),
+        F.when(status == "O", F.create_map(F.concat_ws("__", F.lit("media_crawl"), site, sid), run)).alias("current_runs"),
+        F.when(status == "F", F.array(run)).alias("last_runs"), F.when(~status.isin("O", "F"), run).alias("current_run"),
     )
     t.orders.select(F.to_json(doc).alias("value")).write.text(path)
     runs = SR.flatten_runs(t.spark.read.schema(SR.schemas.RUN_STATUS).json(path))
@@ -358,12 +365,18 @@ def _write_files(rows) -> None:
         out.close()
 
 
-@query("output_inventory", "SELECT 'parser' AS stage, true AS has_files UNION ALL SELECT 'retriever', true")
+@query("output_inventory", """
+WITH written AS (
+  SELECT 'parser' AS stage, c_nationkey % 3 AS part, length(c_custkey::VARCHAR || ',' || c_name) + 1 AS bytes FROM customer
+  UNION ALL SELECT 'retriever', s_nationkey % 3, length(s_suppkey::VARCHAR || ',' || s_name) + 1 FROM supplier),
+files AS (SELECT stage, part, sum(bytes) + CASE stage WHEN 'parser' THEN length('c_custkey,c_name') ELSE length('s_suppkey,s_name') END + 1 AS bytes FROM written GROUP BY 1, 2)
+SELECT stage, count(*) AS files, round(sum(bytes) / 1048576.0::DOUBLE, 9) AS mb FROM files GROUP BY 1""")
 def output_inventory(t):
+    """Files and megabytes of two stages, a file for each third of the nations."""
     root = new_folder(t.spark, "inventory")
-    t.customer.write.option("header", True).csv(f"{root}/parser/a")
-    t.supplier.write.option("header", True).csv(f"{root}/retriever/b")
-    return SP.output_inventory(t.spark, root).select("stage", (F.col("files") > 0).alias("has_files"))
+    for stage, df, columns, nation in (("parser/a", t.customer, ["c_custkey", "c_name"], "c_nationkey"), ("retriever/b", t.supplier, ["s_suppkey", "s_name"], "s_nationkey")):
+        df.select(*columns, (F.col(nation) % 3).alias("part")).repartition(1).write.option("header", True).partitionBy("part").csv(f"{root}/{stage}")
+    return SP.output_inventory(t.spark, root).select("stage", "files", F.round("mb", 9).alias("mb"))
 
 
 @query("newest_files")

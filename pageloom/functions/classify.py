@@ -36,6 +36,7 @@ BLOCK_SIGNALS = [
     "captcha",
 ]
 BLOCK_STATUSES = [403, 407, 429, 503]
+MIN_PAGE_LENGTH = 500
 RETRY_STATUSES = [429, 500, 502, 503, 504]
 
 
@@ -57,11 +58,16 @@ def is_challenge_page(html: Column, sample: int | None = None) -> Column:
     return F.coalesce(F.lower(html if sample is None else F.substring(html, 1, sample)).rlike(_any_of(CHALLENGE_SIGNALS)), F.lit(False))
 
 
-def is_blocked(status: Column, html: Column, min_len: int = 500) -> Column:
-    """A blocking status; or a 200 that is too short or holds a block text anywhere."""
+def block_reason(status: Column, html: Column, min_len: int) -> Column:
+    """Why a page is no use: `status`, a blocking one; of a 200, `short`, fewer than `min_len` characters, or `block text`, such a text anywhere in it. NULL if it is
+    not blocked."""
     body = F.coalesce(html, F.lit(""))
-    bad_body = (F.length(strip_space(body)) < min_len) | F.lower(body).rlike(_any_of(BLOCK_SIGNALS))
-    return F.when(status.isin(BLOCK_STATUSES), True).when(status == 200, bad_body).otherwise(False)
+    page = F.when(F.length(strip_space(body)) < min_len, "short").when(F.lower(body).rlike(_any_of(BLOCK_SIGNALS)), "block text")
+    return F.when(status.isin(BLOCK_STATUSES), "status").when(status == 200, page)
+
+
+def is_blocked(status: Column, html: Column, min_len: int) -> Column:
+    return block_reason(status, html, min_len).isNotNull()
 
 
 def is_ok(status: Column, html: Column) -> Column:

@@ -118,7 +118,7 @@ def test_page_classes(spark):
     df = spark.createDataFrame(
         [(0, 200, long_text), (1, 200, "short"), (2, 403, long_text), (3, 200, long_text + "You are BLOCKED"), (4, 404, ""),
          (5, 200, long_text + "Just a Moment"), (6, None, None)], "i int, s int, h string")
-    rows = df.select("i", C.is_blocked(F.col("s"), F.col("h")).alias("b"), C.is_ok(F.col("s"), F.col("h")).alias("ok")).orderBy("i").collect()
+    rows = df.select("i", C.is_blocked(F.col("s"), F.col("h"), 500).alias("b"), C.is_ok(F.col("s"), F.col("h")).alias("ok")).orderBy("i").collect()
     assert [r.b for r in rows] == [False, True, True, True, False, True, False]
     assert [r.ok for r in rows] == [True, True, False, True, False, True, False]
     sample = ["x" * 7990 + "robot check", "Robot Check", "oops! something went wrong"]
@@ -128,7 +128,7 @@ def test_page_classes(spark):
 
 def test_each_signal_alone_is_found(spark):
     assert all(many(spark, ["~" + s.upper() for s in C.CHALLENGE_SIGNALS], C.is_challenge_page))
-    assert all(many(spark, ["word " * 200 + s.upper() for s in C.BLOCK_SIGNALS], lambda c: C.is_blocked(F.lit(200), c)))
+    assert all(many(spark, ["word " * 200 + s.upper() for s in C.BLOCK_SIGNALS], lambda c: C.is_blocked(F.lit(200), c, 500)))
 
 
 def test_html_columns(spark):
