@@ -12,8 +12,8 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
-# The value of a quoted or bare href is the only group: what follows the quote, or what follows no quote.
-LINK_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|(?<!["'])[^\s"'>]+)"""
+# The value of a quoted or bare href, with its opening quote, is the only group; hidden blocks are matched so that what is in them is not.
+LINK_PATTERN = r"""(?is)<(?:!--.*?--|script\b.*?</script|style\b.*?</style)>|<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*|'[^']*|[^\s"'>]+)"""
 REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 HIDDEN_PATTERN = r"(?is)<(?:!--.*?--|script\b.*?</script|style\b.*?</style)>"
 
@@ -164,8 +164,10 @@ def script_value(html: Column, key: str) -> Column:
 
 def hrefs(html: Column) -> Column:
     """All `a/@href` values in page order, quoted or bare; none of comments, scripts and styles."""
-    found = F.regexp_extract_all(F.regexp_replace(html, HIDDEN_PATTERN, " "), F.lit(LINK_PATTERN), F.lit(1))
-    return F.transform(found, unescape_html)
+    found = F.filter(F.regexp_extract_all(html, F.lit(LINK_PATTERN), F.lit(1)), lambda v: v != "")
+    plain = F.transform(found, lambda v: F.when(F.startswith(v, F.lit('"')) | F.startswith(v, F.lit("'")), F.substring(v, 2, 1 << 30)).otherwise(v))
+    # references are rare in links, so most pages' links are not looked through for them
+    return F.when(F.exists(plain, lambda v: F.contains(v, F.lit("&"))), F.transform(plain, unescape_html)).otherwise(plain)
 
 
 # Elements that cannot stand in an element of their own kind.
