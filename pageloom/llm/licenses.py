@@ -194,16 +194,29 @@ class Detection:
 
 
 def settle(found: list[Detection]) -> list[Detection]:
-    """Drop a detection contained in a longer one, or overlapping one of higher priority; equal spans keep the higher priority.
+    """The detections that stay; no two of them touch.
 
-    Ties are settled by length, start and label, so the result does not depend on the order of the rules.
+    In rounds: of what is left, those that lie in no longer one are settled by priority, then length, start and label; all that touches one that stays goes. So a detection
+    inside a longer one comes back when the longer one itself gives way, and the result does not depend on the order of the rules.
     """
-    kept: list[Detection] = []
-    for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.start, d.label)):
-        if all(d.end <= k.start or d.start >= k.end for k in kept):
-            inside = [o for o in found if o is not d and o.start <= d.start and d.end <= o.end and o.end - o.start > d.end - d.start]
-            if not inside:
+    rest, kept = list(dict.fromkeys(found)), []
+    while rest:
+        outer, reach, since = [], -1, -1
+        for d in sorted(rest, key=lambda d: (d.start, -d.end)):
+            if d.end > reach:
+                reach, since = d.end, d.start
+                outer.append(d)
+            elif d.end == reach and d.start == since:
+                outer.append(d)
+        starts, stops = [], []
+        for d in sorted(outer, key=lambda d: (-d.priority, d.start - d.end, d.start, d.label)):
+            at = bisect_right(stops, d.start)
+            if at == len(starts) or d.end <= starts[at]:
+                starts.insert(at, d.start)
+                stops.insert(at, d.end)
                 kept.append(d)
+        at = [bisect_right(stops, d.start) for d in rest]
+        rest = [d for d, k in zip(rest, at, strict=True) if k == len(starts) or d.end <= starts[k]]
     return sorted(kept, key=lambda d: (d.start, d.end, d.label))
 
 
@@ -262,10 +275,14 @@ class Scanner:
 
     @staticmethod
     def _windows(text: str, ends: list[int], keyword: str, reach: int = 400) -> list[tuple[int, int]]:
-        """Every pattern is shorter than `reach`, so what it can match around a keyword lies in these spans."""
+        """What a pattern can match around a keyword: `reach` characters to either side, as all that patterns hold but addresses is shorter, and to the end of an address."""
         out: list[list[int]] = []
         for end in ends:
             start, stop = max(0, end - len(keyword) - reach), min(len(text), end + reach)
+            start = text.rfind(" ", 0, start) + 1 if start and text[start - 1] != " " else start
+            if stop < len(text) and text[stop] != " ":
+                blank = text.find(" ", stop)
+                stop = len(text) if blank < 0 else min(len(text), blank + reach)
             if out and start <= out[-1][1]:
                 out[-1][1] = max(out[-1][1], stop)
             else:
