@@ -13,7 +13,7 @@ END = "<|end|>"
 
 def header(speaker: Column, perspective: Column) -> Column:
     return F.when(speaker == SYSTEM, F.lit("<|system|>")).when(speaker == perspective, F.lit("<|assistant|>")).otherwise(
-        F.concat(F.lit("<|user name="), speaker, F.lit("|>")))
+        F.concat(F.lit("<|user name="), F.replace(escaped(speaker), F.lit("|>"), F.lit("|\\>")), F.lit("|>")))
 
 
 def escaped(text: Column) -> Column:
@@ -27,7 +27,7 @@ def rotate(turns: DataFrame) -> DataFrame:
     A rendering of a conversation is its segments one after the other; `start` and `stop` are the segment's place in it, counted in characters. In the
     perspective's own turns text and end mark are to be learned: mask_start and mask_stop give their place, both are null elsewhere.
 
-    Every speaker but `system` gets a rendering; a conversation of system turns alone has none. Turns without a role are spoken by the user
+    Every speaker but `system` gets a rendering; a conversation of system turns alone has none. Markers in a text or a name are escaped. Turns without a role are spoken by the user
     `unknown`. Null texts are empty. Turns come in order of turn (null first), role and text; ties and repeated rows are all kept, one after the
     other. Turns without a conv_id make up one conversation. Columns other than conv_id, turn, role and text are ignored.
 

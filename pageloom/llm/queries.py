@@ -148,7 +148,7 @@ people AS (
 rendered AS (
   SELECT t.conv_id, perspective, turn, speaker,
          CASE WHEN speaker = 'system' THEN '<|system|>' WHEN speaker = perspective THEN '<|assistant|>'
-              ELSE '<|user name=' || speaker || '|>' END AS header, text
+              ELSE '<|user name=' || replace(replace(speaker, '<|', '<\|'), '|>', '|\>') || '|>' END AS header, text
   FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 segments AS (
   SELECT *, header || chr(10) || text || '<|end|>' || chr(10) AS segment FROM rendered),
