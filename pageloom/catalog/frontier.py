@@ -196,6 +196,45 @@ def kept_frontier(t):
     return FR.KeptFrontier(t.spark, path, ["all_links"]).crawl(seeds, pages, config, follow=True, most_levels=4).select("site", "url", "level")
 
 
+def _discovery(t):
+    """Rules of three sites; pages of any other have none."""
+    return t.spark.createDataFrame([
+        ("com", "append", 2, 4, "p", "example.com", ["/T", "/a"], ["ing"], None, None), ("net", "wordpress", 2, 3, None, None, None, None, "[a-m]$", ["TH", "on"]),
+        ("org", "seed", None, None, None, None, None, ["e"], None, None)], FR.DISCOVERY)
+
+
+def _sited(t):
+    return t.pages.select("page_id", "url", "html", F.regexp_extract(U.url_part(F.col("url"), "host"), r"\.([a-z]+)$", 1).alias("site"))
+
+
+_HOST = "regexp_extract(link, '//([^/?#]*)', 1)"
+
+
+@query("site_rule_links", f"""
+WITH {LINKS_SQL},
+sited AS (SELECT *, regexp_extract(regexp_extract(url, '//([^/?#]*)', 1), '\\.([a-z]+)$', 1) AS site FROM links),
+taken AS (
+  SELECT page_id, site, link, min(pos) AS pos FROM sited WHERE CASE site
+    WHEN 'com' THEN contains({_HOST}, 'example.com') AND (contains(link, '/T') OR contains(link, '/a')) AND NOT contains(link, 'ing')
+    WHEN 'net' THEN regexp_matches(link, '[a-m]$') AND (contains(lower(link), 'th') OR contains(lower(link), 'on'))
+    WHEN 'org' THEN NOT contains(link, 'e') ELSE false END GROUP BY 1, 2, 3)
+SELECT page_id, site, link, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS rank FROM taken""")
+def site_rule_links(t):
+    """Links that the rule row of a page's site takes."""
+    return FR.links_by_rule(_sited(t), _discovery(t))
+
+
+@query("site_rule_pages", """
+WITH sited AS (SELECT page_id, url, regexp_extract(regexp_extract(url, '//([^/?#]*)', 1), '\\.([a-z]+)$', 1) AS site FROM pages),
+g AS (SELECT *, unnest(generate_series(0, CASE site WHEN 'com' THEN 3 WHEN 'net' THEN 2 ELSE 0 END)) AS i FROM sited WHERE site IN ('com', 'net', 'org'))
+SELECT page_id, site, CAST(i AS INTEGER) AS page_pos, CASE WHEN i = 0 THEN url
+  WHEN site = 'com' THEN url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'p=' || CAST(i + 1 AS VARCHAR)
+  ELSE regexp_replace(url, '/+$', '') || '/page/' || CAST(i + 1 AS VARCHAR) || '/' END AS url FROM g""")
+def site_rule_pages(t):
+    """Listing pages by the rule row of a seed's site."""
+    return FR.page_lists_by_rule(_sited(t).drop("html"), _discovery(t), ["page_id"]).drop("seed_url")
+
+
 @query("on_domain_links", f"""
 WITH {LINKS_SQL}
 SELECT n_name AS site, count(*) AS links FROM links JOIN nation ON contains(regexp_extract(link, '//([^/]*)', 1), 'example.' || CASE n_nationkey WHEN 0 THEN 'com' WHEN 1 THEN 'net' ELSE 'org' END)

@@ -105,6 +105,54 @@ register_link_filter("article_links", lambda c: U.not_section(c))
 register_link_filter("all_links", lambda c: F.lit(True))
 
 
+# A site's discovery rule: which page lists its seeds have, and which links of a listing count. NULL is no condition.
+DISCOVERY = (
+    "site string, pages string, first int, last int, param string, host string, include array<string>, exclude array<string>, shape string, keywords array<string>"
+)
+PAGE_LISTS = ("seed", "query", "append", "wordpress", "path")
+
+
+def page_lists_by_rule(seeds: DataFrame, rules: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Listing pages of each seed (`site`, `url`, keep) by its site's rule row: the kind of list in `pages`, from `first` to `last`. One row for each, with its place.
+
+    A site without a rule gives nothing, an unknown kind and a missing bound the seed alone.
+    """
+    url, first, param = F.col("url"), F.col("first"), F.coalesce("param", F.lit("page"))
+    numbers = F.when(F.col("last") >= first, F.sequence(first, F.col("last"))).otherwise(F.array().cast("array<int>"))
+    base = F.regexp_replace(url, "/+$", "")
+    joiner = F.when(F.contains(url, F.lit("?")), F.lit("&")).otherwise(F.lit("?"))
+    more = lambda make: F.concat(F.array(url), F.transform(numbers, make))
+    urls = (
+        F.when(F.col("pages") == "append", more(lambda i: F.concat(url, joiner, param, F.lit("="), i.cast("string"))))
+        .when(F.col("pages") == "query", more(lambda i: F.concat(F.regexp_extract(url, "^([^?#]*)", 1), F.lit("?"), param, F.lit("="), i.cast("string"))))
+        .when(F.col("pages") == "wordpress", more(lambda i: F.concat(base, F.lit("/page/"), i.cast("string"), F.lit("/"))))
+        .when(F.col("pages") == "path", more(lambda i: F.concat(base, F.lit("/"), i.cast("string"), F.lit("/"))))
+    )
+    return seeds.join(rules, "site").select(
+        *keep, "site", F.col("url").alias("seed_url"), F.posexplode(F.coalesce(urls, F.array(url))).alias("page_pos", "url"))
+
+
+def links_by_rule(pages: DataFrame, rules: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
+    """Links of listing pages (`site`, `url`, html, keep) that their site's rule row takes, ranked in the page, first occurrences only.
+
+    A link's host holds `host`; the link holds one of `include` and none of `exclude`, fits `shape` (a pattern) and holds one of `keywords` in any case. A site without a rule gives nothing.
+    Rules are rows, so the plan is the same for one site and for hundreds; the rules' size decides how they are joined.
+    """
+    def any_of(column: str, link: Column, fold: bool = False) -> Column:
+        return F.exists(F.col(column), lambda part: F.contains(F.lower(link), F.lower(part)) if fold else F.contains(link, part))
+
+    def accept(link: Column) -> Column:
+        true = F.lit(True)
+        return (
+            F.coalesce(U.on_domain(link, F.col("host")), F.col("host").isNull()) & F.coalesce(any_of("include", link), true)
+            & ~F.coalesce(any_of("exclude", link), F.lit(False)) & F.coalesce(F.rlike(link, F.col("shape")), true)
+            & F.coalesce(any_of("keywords", link, True), true))
+
+    ruled = pages.select(*keep, "site", "url", "html").join(rules.select("site", "host", "include", "exclude", "shape", "keywords"), "site")
+    links = kept_links(resolved_links(F.col("url"), H.hrefs(F.col("html"))), accept)
+    return ruled.select(*keep, "site", F.posexplode(links).alias("__p", "link")).withColumn("rank", F.col("__p") + 1).drop("__p")
+
+
 def _dedup_level(df: DataFrame) -> DataFrame:
     return df.groupBy(*FRONTIER_KEY).agg(
         F.min(F.struct("rank", "parent_url")).alias("__first")

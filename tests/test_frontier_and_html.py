@@ -141,3 +141,21 @@ def test_vocabulary_table(spark):
     assert TR.vocabulary_mentions(df, "t", vocab.limit(0), ["id"]).count() == 0
     counts = TR.period_delta(spark.createDataFrame([(None, 1), (None, 1), (None, 2), ("a", 2)], "k string, m int"), ["k"], "m").collect()
     assert {(r.k, r.m, r.n, r.prev) for r in counts} == {(None, 1, 2, 0), (None, 2, 1, 2), ("a", 2, 1, 0)}
+
+
+def test_rules_of_sites(spark):
+    rules = spark.createDataFrame([
+        ("a", "query", 1, 3, "p", "a.example", ["/x", "/y"], ["/x/no"], r"\d$", ["Shoe"]), ("b", "path", 2, 1, None, None, None, None, None, None),
+        ("c", "seed", None, None, None, None, [], None, None, None), ("d", None, None, None, None, "b.example", None, [], None, None)], FR.DISCOVERY)
+    hrefs = ["/x/shoe1", "/x/SHOES2?q=3", "/x/no/shoe4", "/y/hat5", "/z/shoe6", "https://b.example/x/shoe7", "/x/shoe1", "/y/shoe"]
+    html = "".join(f'<a href="{h}">x</a>' for h in hrefs)
+    pages = spark.createDataFrame([(k, s, "https://a.example/", html) for k, s in enumerate(["a", "b", "c", "d", "none", None])], "page_id int, site string, url string, html string")
+    got = {}
+    for r in FR.links_by_rule(pages, rules).orderBy("page_id", "rank").collect():
+        got.setdefault(r.site, []).append(r.link.removeprefix("https://a.example"))
+    assert got == {"a": ["/x/shoe1", "/x/SHOES2?q=3"], "b": list(dict.fromkeys(hrefs)), "d": ["https://b.example/x/shoe7"]}
+    lists = {}
+    for r in FR.page_lists_by_rule(pages, rules, ["page_id"]).orderBy("page_id", "page_pos").collect():
+        lists.setdefault(r.site, []).append(r.url)
+    root = "https://a.example/"
+    assert lists == {"a": [root, *(f"{root}?p={k}" for k in (1, 2, 3))], "b": [root], "c": [root], "d": [root]}
