@@ -16,9 +16,9 @@ from pageloom.streaming import runs as RN, stateful as SF, streams as ST
 
 
 def stream(t, name: str):
-    """A table as a stream; NTZ times become timestamps, which watermarks need."""
-    schema = getattr(t, name).schema
-    return zoned(ST.stream_pages(t.spark, t.folder, schema, pattern=f"{name}.parquet"))
+    """A table, one file or a folder of files, as a stream; NTZ times become timestamps, which watermarks need."""
+    # as a pattern: a plain path is taken for the base of partition folders, which a file cannot be
+    return zoned(ST.stream_pages(t.spark, f"{t.folder}/{{{name}}}.parquet", getattr(t, name).schema))
 
 
 def zoned(df):

@@ -1,5 +1,7 @@
 """Several micro-batches: the stream gives what the batch form gives."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,16 @@ def test_index_load_has_one_document_per_key(spark, parts):
     docs = stream(spark, parts).select(F.col("user_id").cast("string").alias("uniq_id"), "event_type")
     got = ST.stream_index(docs, "web", purpose="t-index")
     assert got.count() == parts[1].select("user_id").distinct().count() == got.select("doc_id").distinct().count()
+
+
+def test_tables_in_several_files_as_streams(spark, tmp_path):
+    """A table is one file or a folder of files; both come whole."""
+    from pageloom.catalog import load
+
+    docs = [(i, f"text {i}", "en", "web", 6) for i in range(30)]
+    events = [(i, dt.datetime(2024, 1, 1 + i), i % 4, "view", 1.0, '{"k": 3}') for i in range(20)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    queries = load()[0]
+    assert queries["stream_index"](spark, str(tmp_path)).select("doc_id").distinct().count() == 30
+    assert {r.event_id for r in queries["stream_drain"](spark, str(tmp_path)).collect()} == set(range(20))
