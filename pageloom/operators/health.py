@@ -236,9 +236,7 @@ def latency_histogram(log: DataFrame, buckets: Sequence[float] = FETCH_BUCKETS,
 
 def rolling_success(log: DataFrame, seconds: int = 300, by: str = "domain", chunk_s: int = scans.HOUR) -> DataFrame:
     """Success % over the last `seconds` at each fetch."""
-    return scans.rolling_by_time(
-        log, [by], "ts", seconds, {"success_pct": F.avg(F.col("ok").cast("double") * 100)}, chunk_s
-    )
+    return scans.rolling_by_time(log, [by], "ts", seconds, {"success_pct": F.col("ok")}, chunk_s)
 
 
 def domain_strategies(log: DataFrame) -> DataFrame:

@@ -150,3 +150,16 @@ def test_frontier_missing_method_and_dedup(spark):
     assert [(r.site, r.url, r.rank, r.parent_url) for r in got] == [("one", "https://a.example/p/1", 1, "https://a.example/l")]
     with pytest.raises(KeyError):
         FR.expand_frontier(seeds, pages, config, ["nope"])
+
+
+def test_rolling_counts_run_on(spark):
+    """No frame is gone through again for each row; rows without a time share a frame, rows without a verdict do not count."""
+    rows = [(1, 0, True), (1, 0, False), (1, 299, None), (1, 300, True), (1, 301, True), (1, 601, None), (1, 602, None), (None, 5, False), (1, None, True), (1, None, False)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "event_id int, endpoint int, s long, ok boolean").withColumn("ts", F.timestamp_seconds("s"))
+    got = HE.rolling_success(df, 300, by="endpoint", chunk_s=300)
+    want = {}
+    for i, (k, s, _) in enumerate(rows):
+        seen = [o for k2, s2, o in rows if k2 == k and o is not None and (s2 is None if s is None else s2 is not None and s - 300 <= s2 <= s)]
+        want[i] = 100 * sum(seen) / len(seen) if seen else None
+    assert {r.event_id: r.success_pct for r in got.collect()} == pytest.approx(want)
+    assert "RangeFrame, -" not in got._jdf.queryExecution().toString()
