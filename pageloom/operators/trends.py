@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pageloom.operators.scans import HOUR, lag_by_time, same_keys
+from pageloom.session import new_folder
 
 # Price bands (upper bounds, exclusive) and discount bands.
 PRICE_BANDS = [
@@ -99,8 +100,11 @@ def vocabulary_mentions(df: DataFrame, text: str, vocab: DataFrame, keep: Sequen
 
     A text's word runs, of the lengths that terms have, are hashed inside its row and met with the hashed terms in one join, then compared. So the work
     follows the texts and the lengths, of which there are few, and not the number of terms; a vocabulary below Spark's broadcast limit leaves texts where they are.
+    The hashed terms are written first, so that Spark plans the join by their size in files: of a vocabulary made in the session it knows none and takes it for huge.
     """
-    phrases = phrase_table(vocab, term)
+    spark, path = df.sparkSession, new_folder(df.sparkSession, "phrases")
+    phrase_table(vocab, term).write.parquet(path)
+    phrases = spark.read.schema("term string, n_words int, phrase string, h bigint").parquet(path)
     lengths = sorted(r[0] for r in phrases.select("n_words").distinct().collect())
     words = F.col("__w")
 

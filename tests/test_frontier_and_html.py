@@ -159,3 +159,11 @@ def test_rules_of_sites(spark):
         lists.setdefault(r.site, []).append(r.url)
     root = "https://a.example/"
     assert lists == {"a": [root, *(f"{root}?p={k}" for k in (1, 2, 3))], "b": [root], "c": [root], "d": [root]}
+
+
+def test_texts_stay_where_they_are_for_a_small_vocabulary(spark):
+    """Also for one made in the session, whose size Spark does not know: its terms are sent to the texts, no word run is shuffled or sent."""
+    df = spark.createDataFrame([(1, "of the x")], "id int, t string")
+    hits = TR.vocabulary_mentions(df, "t", spark.createDataFrame([("of the",)], "term string"), ["id"])
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "Exchange hashpartitioning" not in plan and hits.count() == 1
