@@ -98,3 +98,20 @@ def test_failures_of_column_rules_are_told_and_counted(spark):
         ("a", "list_price", "cast", 1), ("a", "list_price", "empty", 2), ("a", "brand", "json", 1), ("a", "brand", "empty", 3),
         ("a", "color", "json", 1), ("a", "color", "empty", 2), ("a", "title", "empty", 3), ("b", "title", "empty", 1)}
     assert X.extract_fields(df, rules).columns == X.extract_fields(df, rules, observation=Observation()).columns
+
+
+def test_pages_pass_in_small_arrow_batches(spark):
+    """Bounded by rows and bytes: a worker holds several copies of a batch of whole pages."""
+    from pageloom.operators import extraction as X
+
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.unset(n)
+        pages = spark.createDataFrame([(1, "u", "<p>x</p>", "own")], "page_id int, url string, html string, rule_set string")
+        assert X.extract_fields(pages, {"own": [X.Rule("content", "xpath", "//p/text()")]}).first()["content"] == "x"
+        assert [spark.conf.get(n) for n in names] == ["512", "8m"]
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
