@@ -12,6 +12,7 @@ from pageloom.catalog.base import DOMAIN_LOG_SQL, LOG_SQL, domain_log, fetch_log
 from pageloom.catalog.quality import DLQ_SQL, dlq
 from pageloom.session import new_folder
 from pageloom.sources import bulkindex as BI, records as SR
+from pageloom.sources.state import Folder
 from pageloom.streaming import runs as RN, stateful as SF, streams as ST
 
 
@@ -52,14 +53,19 @@ def stream_split_good_bad(t):
 
 
 def in_slices(t, df, place, files: int = 6):
-    """Rows as a stream of several files, each a micro-batch, in the order of `place` (0 to files - 1).
+    """Rows as a stream of several slices, each a micro-batch, in the order of `place` (0 to files - 1).
 
-    File times are the order in which a stream takes files, so the files are written one after the other.
+    File times are the order in which a stream takes files, so the slices are written one after the other. Each is written by many tasks, and all have the
+    same number of files, which is what a micro-batch takes; files without rows make up for tasks that had none.
     """
-    folder = new_folder(t.spark, "slices")
+    folder, cores = new_folder(t.spark, "slices"), t.spark.sparkContext.defaultParallelism
+    each = max(cores, -(-df.rdd.getNumPartitions() // files))
+    there = Folder(t.spark, folder)
     for k in range(files):
-        df.filter(place == k).coalesce(1).write.mode("append").parquet(folder)
-    return zoned(ST.stream_table(t.spark, folder, df.schema, 1))
+        df.filter(place == k).repartition(each).write.mode("append").parquet(folder)
+        for _ in range(each * (k + 1) - sum(n.endswith(".parquet") for n in there.names())):
+            t.spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(folder)
+    return zoned(ST.stream_table(t.spark, folder, df.schema, each))
 
 
 def by_days(t, files: int = 6):

@@ -84,3 +84,33 @@ def test_tables_in_several_files_as_streams(spark, tmp_path):
     queries = load()[0]
     assert queries["stream_index"](spark, str(tmp_path)).select("doc_id").distinct().count() == 30
     assert {r.event_id for r in queries["stream_drain"](spark, str(tmp_path)).collect()} == set(range(20))
+
+
+def test_slices_are_written_and_read_by_many_tasks(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from pageloom.catalog.streams import in_slices
+
+    rows = spark.range(2000).select("id", F.when(F.col("id") < 3, 0).when(F.col("id") < 1500, 1).otherwise(3).alias("part"))
+    seen, taken, table = {}, [], ST.stream_table
+    monkeypatch.setattr(ST, "stream_table", lambda spark, path, schema, files=None: taken.append((path, files)) or table(spark, path, schema, files))
+
+    def save(batch, batch_id, out):
+        seen[batch_id] = (sorted({r.part for r in batch.select("part").distinct().collect()}), batch.count())
+
+    ST.run_batches(in_slices(SimpleNamespace(spark=spark), rows, F.col("part"), 4), "t-slices", save)
+    assert [seen[k] for k in sorted(seen)] == [([0], 3), ([1], 1497), ([], 0), ([3], 500)]
+    (path, files), = taken
+    assert files >= spark.sparkContext.defaultParallelism and len(spark.read.parquet(path).inputFiles()) == 4 * files
+
+
+def test_shop_stream_takes_a_file_for_each_core(spark, tmp_path, monkeypatch):
+    from pageloom.catalog import load
+
+    parts = [(k, "a b", "Brand#1", ["SMALL", "PROMO"][k % 2], k % 50, 10.5) for k in range(200)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    taken, table = [], ST.stream_table
+    monkeypatch.setattr(ST, "stream_table", lambda spark, path, schema, files=None, **kw: taken.append(files) or table(spark, path, schema, files, **kw))
+    queries = load()[0]
+    got = {tuple(r) for r in queries["field_accounts_stream"](spark, str(tmp_path)).collect()}
+    assert taken[-1] >= spark.sparkContext.defaultParallelism and got == {tuple(r) for r in queries["field_accounts"](spark, str(tmp_path)).collect()}
