@@ -124,3 +124,24 @@ def test_runs_leave_by_completion_and_by_timer(spark):
     assert (last[1]["stage"], json.loads(last[1]["counters"]), last[1]["status"]) == ("done", {"found": 3, "done": 7}, "completed")
     assert (last[2]["stage"], json.loads(last[2]["counters"]), last[2]["status"]) == ("discovery", {"n": 9}, "failed")
     assert (last[1]["completed_at"] - last[1]["started_at"]).total_seconds() == 20 * 3600
+
+
+def test_runs_do_not_depend_on_arrow_batches(spark):
+    """Events of a micro-batch apply in time order, also where a site has more of them than an Arrow batch holds."""
+    rows = [(f"r{k}", 10 * step + k % 7, 100 * step + k, kind, step) for step, kind in enumerate(["start", "progress", "complete"]) for k in range(40)]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, "schedule_id string, s long, tie long, kind string, step int").select(
+        F.lit("p").alias("project"), F.lit("s").alias("site"), "schedule_id", F.timestamp_seconds(F.col("s") + 1_700_000_000).alias("ts"), "tie", "kind",
+        F.lit(None).cast("string").alias("stage"), F.lit(None).cast("string").alias("status"), F.create_map(F.lit("step"), "step").alias("counters"),
+        F.lit(0).alias("part"))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10")
+    try:
+        current, history = RN.run_tables(sliced(spark, df, "part", 1), ttl_h=500, keep=3)
+        got = {r["number"]: (r["schedule_id"], json.loads(r["counters"])) for r in history.collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert current.count() == 0
+    want = sorted((r for r in rows if r[3] == "complete"), key=lambda r: (r[1], r[2]), reverse=True)[:3]
+    assert got == {n: (r[0], {"step": 2}) for n, r in enumerate(want, 1)}
